@@ -56,3 +56,24 @@ def free_name(df: DataFrame, want: str) -> str:
 
 def crc32_utf8(text: Column) -> Column:
     return F.crc32(F.encode(F.coalesce(text, F.lit("")), "UTF-8"))
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The same rows, written as a table in the shared folder and read back.
+
+    Unlike a checkpoint it has no known partitioning, so that a join shuffles both sides and skewed ones can be split.
+    """
+    spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for df in tables:
+        if path := getattr(df, "_stored_at", None):
+            jvm = df.sparkSession._jvm
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tidemark.llm import chat, exact_dedup, sharding
+from tidemark.llm import chat, exact_dedup, sharding, simhash
 
 QUERIES = {
     "op2_shards": sharding.op2_shards,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op6_chat": chat.op6_chat,
+    "op8_simhash": simhash.op8_simhash,
 }
 
 ORACLES = {
