@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from tidemark.llm import chat, exact_dedup, sharding, simhash
+from tidemark.llm import chat, exact_dedup, quality_rules, sharding, simhash, substring_dedup
 
 QUERIES = {
     "op2_shards": sharding.op2_shards,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op6_chat": chat.op6_chat,
+    "op7_quality_rules": quality_rules.op7_quality_rules,
     "op8_simhash": simhash.op8_simhash,
+    "op9_substring_dedup": substring_dedup.op9_substring_dedup,
 }
 
 ORACLES = {
