@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from tidemark.llm import chat, exact_dedup, quality_rules, sharding, simhash, substring_dedup
+from tidemark.llm import bpe, chat, exact_dedup, packing, quality_rules, sharding, simhash, substring_dedup
 
 QUERIES = {
     "op2_shards": sharding.op2_shards,
+    "op3_packing": packing.op3_packing,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op6_chat": chat.op6_chat,
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op8_simhash": simhash.op8_simhash,
     "op9_substring_dedup": substring_dedup.op9_substring_dedup,
+    "op10_byte_bpe": bpe.op10_byte_bpe,
 }
 
 ORACLES = {
