@@ -20,7 +20,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +48,7 @@ def features(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     number: dict[bytes, int] = defaultdict(count().__next__)
     lists = [(x or b"").split() for x in texts]
     size = np.fromiter(map(len, lists), np.int64, len(lists))
-    ids = np.fromiter((number[w] for words in lists for w in words), np.int64, int(size.sum()))
+    ids = np.fromiter(map(number.__getitem__, chain.from_iterable(lists)), np.int64, int(size.sum()))
     text = np.repeat(np.arange(len(texts)), size)
     hashed = lambda what: np.fromiter((xxhash.xxh64_intdigest(what(w)) for w in number), np.uint64, len(number))[ids]
     word, shape = hashed(bytes.lower), hashed(lambda w: _RUN.sub(rb"\1", w.translate(_SHAPE))[:12])
@@ -63,7 +63,7 @@ def features(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
                 break
             key = (key[:m] * _ODD[0] + grams[n - 1 :]) * _ODD[1]
             key ^= key >> np.uint64(29)
-            own = (key * _ODD[2] + np.uint64(10 * kind + n) * _ODD[4]) >> np.uint64(46)
+            own = (key * _ODD[2] + _ODD[4] // np.uint64(10 * kind + n)) >> np.uint64(46)
             inside = text[:m] == text[n - 1 :]
             found.append(text[:m][inside] * FEATURES + own[inside].astype(np.int64))
     every = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)

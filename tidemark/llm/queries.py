@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, chat, exact_dedup, packing, quality_rules, sharding, simhash, substring_dedup
+from tidemark.llm import bpe, chat, exact_dedup, packing, quality_model, quality_rules, sharding, simhash, substring_dedup, warc
 
 QUERIES = {
+    "op1_warc": warc.op1_warc,
     "op2_shards": sharding.op2_shards,
     "op3_packing": packing.op3_packing,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+    "op5_quality_model": quality_model.op5_quality_model,
     "op6_chat": chat.op6_chat,
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op8_simhash": simhash.op8_simhash,

@@ -5,9 +5,11 @@ document with a smaller id.  The minimiser of a window is the smallest hash amon
 consecutive windows with one minimiser travel as one packed string of words to the bucket of that minimiser, where all
 equal windows meet and sorting finds the smallest id of each.
 
-Before anything travels, the windows of a part of the input (``TOGETHER`` bytes) are sorted there: all but those of the
-smallest id are settled at once, so that a passage of any number of documents reaches its bucket once for each part, and
-a part's strings of one bucket go as one compressed row.  The places found come back as spans, are gathered for each
+A first pass over the input marks, in a bit map of at most ``MOST_SLOTS`` bits, the slots of minimisers that two or more
+documents have; only windows in marked slots can have an equal elsewhere, and only they travel (when the map is full all
+do: it saves work and never decides).  Before they travel, the windows of a part of the input (``TOGETHER`` bytes) are
+sorted there: all but those of the smallest id are settled at once, so that a passage of any number of documents reaches
+its bucket once for each part, and a part's strings of one bucket go as one compressed row.  The places found come back as spans, are gathered for each
 document, and cut out of it.  Windows meet by a 64-bit key and are then compared word by word.
 
 Defined results: a null text has no words; documents of fewer than ``width`` words keep all; a null id counts as
@@ -20,7 +22,7 @@ from __future__ import annotations
 import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +37,11 @@ from tidemark.llm.common import small_batches, table
 #: Words of a minimiser.
 GRAM = 3
 #: Bytes of text whose windows are sorted together before they travel, and of packed strings sorted in a bucket's task.
-TOGETHER = 16_000_000
+TOGETHER = 8_000_000
+#: Slots of the bit map for each byte of text, slots of a segment of it, and its slots at most (32 MB).
+SLOTS_PER_BYTE, SEGMENT, MOST_SLOTS = 0.25, 1 << 16, 1 << 28
 #: Bytes of text for each bucket.
-BUCKET_BYTES = 1_000_000
+BUCKET_BYTES = 4_000_000
 #: Of zstd, for packed strings.
 LEVEL = 5
 #: What a null id counts as.
@@ -52,7 +56,7 @@ class Words:
     def __init__(self, lists: list[list[bytes]]):
         number: dict[bytes, int] = defaultdict(count().__next__)
         self.size = np.fromiter(map(len, lists), np.int64, len(lists))
-        self.ids = np.fromiter((number[w] for words in lists for w in words), np.int64, int(self.size.sum()))
+        self.ids = np.fromiter(map(number.__getitem__, chain.from_iterable(lists)), np.int64, int(self.size.sum()))
         self.h = np.fromiter(map(xxhash.xxh64_intdigest, number), np.uint64, len(number))[self.ids]
         self.text = np.repeat(np.arange(len(lists)), self.size)
         self.first = np.cumsum(self.size) - self.size
@@ -124,7 +128,72 @@ def _covered(words: Words, at: np.ndarray, width: int, id: np.ndarray, mark: np.
         yield int(id[text[a]]), int(mark[text[a]]), pairs[a:b].tobytes()
 
 
-def _pack(width: int, buckets: int):
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[int], list[list[bytes]]]]:
+    """Rows (id, mark, text) as ids, marks and lists of words of about TOGETHER bytes."""
+    held: tuple[list, list, list] = ([], [], [])
+    size = 0
+    for b in batches:
+        for i, m, x in zip(*(b.column(k).to_pylist() for k in (0, 1)), b.column(2).cast(pa.binary()).to_pylist()):
+            for to, what in zip(held, (LAST if i is None else i, m, (x or b"").split())):
+                to.append(what)
+            size += len(x or b"")
+            if size >= TOGETHER:
+                yield held
+                held, size = ([], [], []), 0
+    if held[0]:
+        yield held
+
+
+def _slots(width: int, slots: int):
+    """Rows (id, mark, text): for each part and segment the slots (16 bits each) of its minimisers, twice if two rows have them."""
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, lists in _parts(batches):
+            words = Words(lists)
+            at = words.windows(width)
+            if not len(at):
+                continue
+            slot = (words.minimisers(at, width) & np.uint64(slots - 1)).astype(np.int64)
+            text = words.text[at]
+            new = np.r_[True, (slot[1:] != slot[:-1]) | (text[1:] != text[:-1])]
+            pair = np.unique(slot[new] * len(lists) + text[new]) // len(lists)
+            # the first two of each slot
+            pair = pair[np.r_[True, True, pair[2:] != pair[:-2]][: len(pair)]]
+            segment = pair // SEGMENT
+            cut = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1]])
+            low = (pair % SEGMENT).astype("<u2")
+            data = [low[a:b].tobytes() for a, b in zip(cut.tolist(), np.r_[cut[1:], len(pair)].tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(segment[cut]), pa.array(data, pa.binary())], names=["segment", "data"])
+
+    return over
+
+
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (segment, data), sorted by segment: for each segment the bits of the slots that came twice."""
+    last, seen = None, np.zeros(SEGMENT, np.uint8)
+    done: list[tuple[int, bytes]] = []
+    for b in batches:
+        for segment, data in zip(*(x.to_pylist() for x in b.columns)):
+            if segment != last:
+                if last is not None:
+                    done.append((last, np.packbits(seen > 1).tobytes()))
+                last, seen = segment, np.zeros(SEGMENT, np.uint8)
+            seen = np.minimum(seen + np.bincount(np.frombuffer(data, "<u2"), minlength=SEGMENT), 2).astype(np.uint8)
+    if last is not None:
+        done.append((last, np.packbits(seen > 1).tobytes()))
+    yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in done], pa.int64()), pa.array([x[1] for x in done], pa.binary())], names=["segment", "bits"])
+
+
+def shared_slots(df: DataFrame, width: int, slots: int) -> np.ndarray:
+    """A bit map of ``slots`` bits: those of minimisers that two rows (id, mark, text) or more have."""
+    found = df.mapInArrow(_slots(width, slots), "segment long, data binary").repartition("segment").sortWithinPartitions("segment")
+    out = np.zeros(max(slots, SEGMENT) // 8, np.uint8)
+    for r in found.mapInArrow(_marked, "segment long, bits binary").toLocalIterator():  # at most MOST_SLOTS bits
+        out[r["segment"] * SEGMENT // 8 :][: SEGMENT // 8] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
+def _pack(width: int, buckets: int, slots: int, bits):
     """Rows (id, mark, text): packed super-k-mers (bucket, data; id null) and spans settled here (id, mark, data)."""
 
     def part(id: list[int], mark: list[int], lists: list[list[bytes]]) -> pa.RecordBatch:
@@ -135,6 +204,9 @@ def _pack(width: int, buckets: int):
         settled = list(_covered(words, at[~open_], width, ids, marks, np.zeros(len(ids), np.int64)))
         at = at[open_]
         low = words.minimisers(at, width) if len(at) else np.zeros(0, np.uint64)
+        slot = (low & np.uint64(slots - 1)).astype(np.int64)
+        shared = (bits.value[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1).astype(bool)
+        at, low = at[shared], low[shared]
         first, lo, hi = spans(at, width, low)
         to = (low[first] % np.uint64(buckets)).astype(np.int64) if len(at) else first
         order = np.argsort(to, kind="stable")
@@ -163,17 +235,7 @@ def _pack(width: int, buckets: int):
         ], names=["bucket", "id", "mark", "data"])
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[list, list, list] = ([], [], [])
-        size = 0
-        for b in batches:
-            for i, m, x in zip(*(b.column(k).to_pylist() for k in (0, 1)), b.column(2).cast(pa.binary()).to_pylist()):
-                for to, what in zip(held, (LAST if i is None else i, m, (x or b"").split())):
-                    to.append(what)
-                size += len(x or b"")
-                if size >= TOGETHER:
-                    yield part(*held)
-                    held, size = ([], [], []), 0
-        if held[0]:
+        for held in _parts(batches):
             yield part(*held)
 
     return over
@@ -224,7 +286,10 @@ def repeats(df: DataFrame, width: int = 13) -> DataFrame:
     small_batches(df.sparkSession)
     size = df.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // BUCKET_BYTES))
-    packed = df.select("id", "mark", "text").mapInArrow(_pack(width, buckets), "bucket long, id long, mark long, data binary")
+    df = df.select("id", "mark", "text")
+    slots = min(MOST_SLOTS, max(SEGMENT, 1 << int(size * SLOTS_PER_BYTE).bit_length()))
+    bits = df.sparkSession.sparkContext.broadcast(shared_slots(df, width, slots))
+    packed = df.mapInArrow(_pack(width, buckets, slots, bits), "bucket long, id long, mark long, data binary")
     met = packed.repartition("bucket").sortWithinPartitions("bucket")
     found = met.mapInArrow(_count(width), "id long, mark long, data binary")
     return found.groupBy("id", "mark").agg(F.collect_list("data").alias("spans"))
