@@ -188,8 +188,8 @@ def shared_slots(df: DataFrame, width: int, slots: int) -> np.ndarray:
     """A bit map of ``slots`` bits: those of minimisers that two rows (id, mark, text) or more have."""
     found = df.mapInArrow(_slots(width, slots), "segment long, data binary").repartition("segment").sortWithinPartitions("segment")
     out = np.zeros(max(slots, SEGMENT) // 8, np.uint8)
-    for r in found.mapInArrow(_marked, "segment long, bits binary").toLocalIterator():  # at most MOST_SLOTS bits
-        out[r["segment"] * SEGMENT // 8 :][: SEGMENT // 8] = np.frombuffer(r["bits"], np.uint8)
+    for segment, bits in zip(*(x.to_pylist() for x in found.mapInArrow(_marked, "segment long, bits binary").toArrow().columns)):  # at most MOST_SLOTS bits
+        out[segment * SEGMENT // 8 :][: SEGMENT // 8] = np.frombuffer(bits, np.uint8)
     return out
 
 
@@ -228,7 +228,7 @@ def _pack(width: int, buckets: int, slots: int, bits):
             data.append((b - a).to_bytes(4, "little") + press.compress(head + strings))
         n, m = len(data), len(settled)
         return pa.RecordBatch.from_arrays([
-            pa.array(np.r_[to[cut], [x[1] % buckets for x in settled]].astype(np.int64)),
+            pa.array(np.r_[to[cut], [(x[0] * 0x9E3779B1 + x[1]) % buckets for x in settled]].astype(np.int64)),
             pa.array([None] * n + [x[0] for x in settled], pa.int64()),
             pa.array([None] * n + [x[1] for x in settled], pa.int64()),
             pa.array(data + [x[2] for x in settled], pa.binary()),
