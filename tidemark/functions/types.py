@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DecimalType, StringType, StructField, StructType, _parse_datatype_string
+from pyspark.sql.types import (
+    ByteType, DataType, DateType, DecimalType, DoubleType, FloatType, IntegerType, LongType, ShortType, StringType, StructField, StructType, TimestampType,
+)
 
 from tidemark.functions import convert
 
@@ -50,17 +52,17 @@ def data_type(kind: str, precision: int | None, scale: int | None) -> DataType:
         if scale is None:
             return DecimalType(38, FREE_SCALE)
         if p < 19 and -84 <= scale <= 0:
-            return _parse_datatype_string("bigint" if p > 9 else "int" if p > 4 else "smallint" if p > 2 else "tinyint")
+            return LongType() if p > 9 else IntegerType() if p > 4 else ShortType() if p > 2 else ByteType()
         if p < 19:
-            return _parse_datatype_string("double") if p > 0 else DecimalType(38, min(scale, 38))
+            return DoubleType() if p > 0 else DecimalType(38, min(scale, 38))
         return DecimalType(min(max(p - min(scale, 0), p), 38), max(scale, 0))
     if kind in TEXTS:
         return StringType()
-    known = {"BINARY_FLOAT": "float", "BINARY_DOUBLE": "double", "DATE": "date"}
+    known = {"BINARY_FLOAT": FloatType(), "BINARY_DOUBLE": DoubleType(), "DATE": DateType()}
     if kind in known:
-        return _parse_datatype_string(known[kind])
+        return known[kind]
     if kind.startswith("TIMESTAMP"):
-        return _parse_datatype_string("timestamp")
+        return TimestampType()
     raise UnsupportedTypeError(f"columns of type {kind} are not supported")
 
 
