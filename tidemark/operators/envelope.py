@@ -51,9 +51,8 @@ def key_struct(op: Column, before: Column, after: Column, key: StructType | None
 
 def envelopes(changes: DataFrame, value: StructType, key: StructType | None, db: str, connector: str, zone: str = "UTC") -> DataFrame:
     """Parsed changes of one table as topic, key, value (op, before, after, source, ts_ms) and what ``changes`` has for an offset."""
-    image = after_image(op_code(F.col("operation")), F.col("before"), F.col("after"))
-    rows = changes.withColumn("op", op_letter(F.col("operation")))
-    rows = rows.withColumn("old", typed_struct(F.col("before"), value, zone)).withColumn("new", typed_struct(image, value, zone))
+    rows = changes.withColumn("image", after_image(op_code(F.col("operation")), F.col("before"), F.col("after"))).withColumn("op", op_letter(F.col("operation")))
+    rows = rows.withColumn("old", typed_struct(F.col("before"), value, zone)).withColumn("new", typed_struct(F.col("image"), value, zone))
     source = source_struct(connector, F.col("timestamp"), F.col("xid"), F.col("scn"), F.col("seg_owner"), F.col("table_name"), F.col("username"))
     whole = F.struct("op", F.col("old").alias("before"), F.col("new").alias("after"), source.alias("source"), F.current_timestamp().alias("ts_ms"))
     rest = [c for c in ("offset", "commit_seq", "seq") if c in changes.columns]

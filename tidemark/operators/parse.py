@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.schema import UPDATE
 
-_STRING = r"'(?:[^']|'')*'"
+_STRING = r"'(?:[^']++|'')*+'"
 #: Comments, typed literals, strings, quoted names, calls on a right-hand side, words, signs.
 TOKEN = rf"(?i)--[^\n]*|/\*(?s:.*?)\*/|\b(?:TIMESTAMP|DATE)\s*{_STRING}|{_STRING}|\"[^\"]*\"|(?<=[=,(]|[=,(] )\w+\s*\((?:[^()']|{_STRING})*\)|[\w$#.+-]+|[(),=]"
 
@@ -45,34 +45,49 @@ def _between(array: Column, first: Column, stop: Column) -> Column:
     return F.slice(array, F.greatest(first, F.lit(1)), F.greatest(stop - first, F.lit(0)).cast("int"))
 
 
-def parse(changes: DataFrame) -> DataFrame:
-    """``changes`` with ``before`` and ``after``, and ``parsed``: whether the statement could be read.
+def _let(value: Column, then) -> Column:
+    """``then`` of a value that is computed once: a lambda's variable is never put back as its expression."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
 
-    Step by step, as columns: what a step uses twice is computed once, and lambdas refer to columns.
-    """
-    t, low = F.col("_tokens"), F.col("_low")
+def _places(low: Column) -> Column:
     at = lambda word: F.array_position(low, word).cast("int")
+    return F.struct(F.try_element_at(low, F.lit(1)).alias("kind"), at("(").alias("opens"), at("values").alias("values"), at("set").alias("sets"), at("where").alias("where"))
+
+
+def _clauses(t: Column, at: Column) -> Column:
+    """The tokens of a statement's parts: names and items of an insert, old and new equalities of the others."""
     plain = lambda part: F.filter(part, lambda x: x != ",")
-    end = F.size(t) + 1
-    opens, values, sets, where = (F.col(f"_{x}") for x in ("opens", "values", "sets", "where"))
-    rows = changes.withColumn("_tokens", tokens(F.col("sql_redo"))).withColumn("_low", F.transform(t, F.lower))
-    rows = rows.withColumns({"_kind": F.try_element_at(low, F.lit(1)), "_opens": at("("), "_values": at("values"), "_sets": at("set"), "_where": at("where")})
-    rows = rows.withColumns({
-        "_names": F.when(F.col("_kind") == "insert", plain(_between(t, opens + 1, values - 1))), "_items": F.when(F.col("_kind") == "insert", plain(_between(t, values + 2, end - 1))),
-        "_old": F.when(where > 0, _between(t, where + 1, end)), "_new": F.when(F.col("_kind") == "update", _between(t, sets + 1, F.when(where > 0, where).otherwise(end))),
-    })
-    pairs = F.arrays_zip(F.col("_names").alias("name"), F.col("_items").alias("value"))
-    rows = rows.withColumns({"_pairs": F.when(F.col("_kind") == "insert", pairs).otherwise(_equalities(F.col("_new"))), "_old_pairs": _equalities(F.col("_old"))})
-    whole = (opens > 0) & (values > opens) & (F.try_element_at(t, F.lit(-1)) == ")") & (F.size("_names") == F.size("_items")) & (F.size("_names") > 0)
-    ok = (
-        F.when(F.col("_kind") == "insert", whole).when(F.col("_kind") == "update", (sets > 0) & (where > sets) & (F.size("_pairs") > 0)).when(F.col("_kind") == "delete", where > 0)
-        .otherwise(False)
+    end, opens, values, sets, where = F.size(t) + 1, at["opens"], at["values"], at["sets"], at["where"]
+    return F.struct(
+        F.when(at["kind"] == "insert", plain(_between(t, opens + 1, values - 1))).alias("names"), F.when(at["kind"] == "insert", plain(_between(t, values + 2, end - 1))).alias("items"),
+        F.when(where > 0, _between(t, where + 1, end)).alias("old"), F.when(at["kind"] == "update", _between(t, sets + 1, F.when(where > 0, where).otherwise(end))).alias("new"),
     )
-    rows = rows.withColumn("parsed", F.coalesce(ok, F.lit(False)))
-    before = F.when(F.col("parsed") & (F.col("_kind") != "insert"), _map(F.col("_old_pairs")))
-    after = F.when(F.col("parsed") & (F.col("_kind") != "delete"), _map(F.col("_pairs")))
-    rows = rows.withColumns({"before": before, "after": after})
-    return rows.select(*changes.columns, "before", "after", "parsed")
+
+
+def _pairs(at: Column, part: Column) -> Column:
+    zipped = F.zip_with(part["names"], part["items"], lambda a, b: F.struct(a.alias("name"), b.alias("value")))
+    return F.struct(F.when(at["kind"] == "insert", zipped).otherwise(_equalities(part["new"])).alias("new"), _equalities(part["old"]).alias("old"))
+
+
+def _images(t: Column, at: Column, part: Column, pairs: Column) -> Column:
+    opens, values, sets, where = at["opens"], at["values"], at["sets"], at["where"]
+    whole = (opens > 0) & (values > opens) & (F.try_element_at(t, F.lit(-1)) == ")") & (F.size(part["names"]) == F.size(part["items"])) & (F.size(part["names"]) > 0)
+    ok = F.when(at["kind"] == "insert", whole).when(at["kind"] == "update", (sets > 0) & (where > sets) & (F.size(pairs["new"]) > 0)).when(at["kind"] == "delete", where > 0)
+    ok = F.coalesce(ok, F.lit(False))
+    before, after = F.when(ok & (at["kind"] != "insert"), _map(pairs["old"])), F.when(ok & (at["kind"] != "delete"), _map(pairs["new"]))
+    return F.struct(before.alias("before"), after.alias("after"), ok.alias("parsed"))
+
+
+def images(sql: Column) -> Column:
+    """A statement as struct<before, after, parsed>; it is cut into tokens once."""
+    return _let(tokens(sql), lambda t: _let(_places(F.transform(t, F.lower)), lambda at: _let(_clauses(t, at), lambda part: _let(_pairs(at, part), lambda pairs: _images(t, at, part, pairs)))))
+
+
+def parse(changes: DataFrame) -> DataFrame:
+    """``changes`` with ``before`` and ``after``, and ``parsed``: whether the statement could be read."""
+    rows = changes.withColumn("_images", images(F.col("sql_redo")))
+    return rows.select(*changes.columns, "_images.before", "_images.after", "_images.parsed")
 
 
 def drop_unparsable(changes: DataFrame) -> DataFrame:
