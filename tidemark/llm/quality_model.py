@@ -70,6 +70,18 @@ def features(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     return every // FEATURES, every % FEATURES
 
 
+def features_in_parts(texts: list[bytes | None], together: int = 2_000_000) -> tuple[np.ndarray, np.ndarray]:
+    """``features`` of many texts, taken together only up to so many bytes, as that bounds what is held besides the result."""
+    found, begin, size = [], 0, 0
+    for i, x in enumerate(texts, 1):
+        size += len(x or b"")
+        if size >= together or i == len(texts):
+            text, feature = features(texts[begin:i])
+            found.append(((text + begin).astype(np.int32), feature.astype(np.int32)))
+            begin, size = i, 0
+    return np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
+
+
 def dual_descent(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, size: int, c: np.ndarray, epochs: int = EPOCHS, seed: int = 3) -> np.ndarray:
     """Weights (the last is the bias) of the linear hinge-loss model of sparse rows (features, values) and labels of -1 and 1."""
     w = np.zeros(size + 1)
@@ -127,7 +139,7 @@ def fit(texts: list[bytes | None], label: np.ndarray, share: float) -> Model:
     if len(set(label.tolist())) < 2:
         odds = np.log(max(share, 1e-9) / max(1 - share, 1e-9))
         return Model(np.zeros(FEATURES), np.zeros(FEATURES), 0.0, 0.0, float(odds))
-    text, feature = features(texts)
+    text, feature = features_in_parts(texts)
     aside = np.arange(len(texts)) % 5 == 4  # texts come in the order of a hash
     if len(set(label[aside].tolist())) < 2 or len(set(label[~aside].tolist())) < 2:
         aside[:] = False
