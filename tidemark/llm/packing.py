@@ -2,7 +2,8 @@
 
 Tokens keep the order of the input partition.  Windows are cut at ends of documents or sentences: among all ways to cut
 a stretch, dynamic programming takes the one with the least padding plus penalties, where a cut inside a document costs
-as much as ``SENTENCE`` padding tokens and one inside a sentence, at every ``GRID``-th token, ``INSIDE``.  With b the place of a cut and f its cost,
+as much as ``SENTENCE`` padding tokens.  Only where the next such end is more than a window away can a cut be inside the
+sentence, at every ``GRID``-th token from its begin, for ``INSIDE``.  With b the place of a cut and f its cost,
 f(j) = min over b(j) - b(i) <= length of f(i) + b(i), plus length - b(j) + penalty(j); the window's minimum is kept in a
 monotone queue, so a stretch takes time in proportion to its sentences.
 
@@ -28,8 +29,8 @@ from pyspark.sql.types import LongType, StructType
 from tidemark.llm.bpe import per_worker
 from tidemark.llm.common import small_batches, table
 
-#: Costs of a cut, in padding tokens: at the end of a sentence inside a document, and inside a sentence, where every
-#: GRID-th token may be one; FREE stands for none.
+#: Costs of a cut, in padding tokens: at the end of a sentence inside a document, and inside a sentence longer than a
+#: window, where every GRID-th token may be one; FREE stands for none.
 SENTENCE, INSIDE, GRID, FREE = 4, 24, 32, -1
 #: Tokens that are cut together.
 STRETCH = 1_000_000
@@ -61,11 +62,13 @@ def candidates(sizes: list[int], sentences: list[np.ndarray], length: int) -> tu
     parts = [e - n + s for e, n, s in zip(ends.tolist(), sizes, sentences) if len(s)]
     total = int(ends[-1])
     cost = np.zeros(total + 1, np.int16)
-    cost[:: min(GRID, length)] = INSIDE
     if parts:
         cost[np.concatenate(parts)] = SENTENCE
     cost[ends] = FREE
     cost[0] = FREE
+    known = np.flatnonzero(cost)
+    for i in np.flatnonzero(np.diff(known) > length).tolist():
+        cost[known[i] + min(GRID, length) : known[i + 1] : min(GRID, length)] = INSIDE
     place = np.flatnonzero(cost)
     penalty = cost[place]
     penalty[penalty == FREE] = 0
