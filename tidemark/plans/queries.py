@@ -436,6 +436,49 @@ def snapshot_then_cdc(spark: SparkSession, sf: str) -> DataFrame:
     return snap.select(F.lit("snapshot").alias("part"), "source.scn").unionByName(log.select(F.lit("log").alias("part"), "scn"))
 
 
+# The same as of SCNs of the log, so that snapshots grow with their table
+
+
+def _current(spark: SparkSession, sf: str) -> int:
+    return snapshot.current_scn(synth.redo(spark, sf)).first()["current_scn"] or 0
+
+
+_NOW = f"{REDO}, now AS (SELECT coalesce(max(scn), 0) AS scn0 FROM redo)"
+
+
+@query(f"{_NOW} SELECT o_orderkey AS id, o_custkey AS cust FROM orders, now WHERE (o_orderkey + 1) * 10 <= scn0")
+def snapshot_read_current(spark: SparkSession, sf: str) -> DataFrame:
+    scn = _current(spark, sf)
+    rows = snapshot.read(snapshot.as_of(_table(spark, sf), scn), "SALES", "ORDERS", scn, CONNECTOR)
+    return rows.select(F.col("after.ID").alias("id"), F.col("after.CUST").alias("cust"))
+
+
+@query(f"""{_NOW} SELECT 'r' AS op, true AS no_before, o_orderkey AS id, 0 AS ms, 'NOT AVAILABLE' AS tx_id, (o_orderkey + 1) * 10 AS scn, NULL::VARCHAR AS username, 'select' AS offset_type, scn0 AS offset_scn, o_orderkey::VARCHAR AS offset_row FROM orders, now WHERE (o_orderkey + 1) * 10 <= scn0""")
+def snapshot_envelope_current(spark: SparkSession, sf: str) -> DataFrame:
+    scn = _current(spark, sf)
+    rows = snapshot.read(snapshot.as_of(_table(spark, sf), scn), "SALES", "ORDERS", scn, CONNECTOR)
+    s = F.col("source")
+    return rows.select(
+        "op", F.col("before").isNull().alias("no_before"), F.col("after.ID").alias("id"), F.unix_millis(s["ts_ms"]).alias("ms"), s["txId"].alias("tx_id"), s["scn"].alias("scn"),
+        s["user"].alias("username"), F.col("offset.type").alias("offset_type"), F.col("offset.scn").alias("offset_scn"), F.col("offset.rowId").alias("offset_row"),
+    )
+
+
+@query(f"{_NOW} SELECT o_orderkey AS id FROM orders, now WHERE o_orderkey > 250 AND (o_orderkey + 1) * 10 <= scn0")
+def snapshot_resume_current(spark: SparkSession, sf: str) -> DataFrame:
+    return snapshot.after(snapshot.as_of(_table(spark, sf), _current(spark, sf)), 250).select(F.col("ID").alias("id"))
+
+
+@query(f"""{_NOW}, h AS (SELECT d.seq FROM d JOIN t ON d.xid = t.xid, now WHERE t.operation = 'COMMIT' AND d.scn >= scn0 // 2 AND t.scn >= scn0 // 2 AND t.username = 'APP' AND NOT d.undone AND d.seg_owner = 'SALES')
+SELECT 'snapshot' AS part, (o_orderkey + 1) * 10 AS scn FROM orders, now WHERE (o_orderkey + 1) * 10 <= scn0 // 2 UNION ALL SELECT 'log', seq FROM h""")
+def snapshot_then_cdc_halfway(spark: SparkSession, sf: str) -> DataFrame:
+    scn = _current(spark, sf) // 2
+    snap = snapshot.read(snapshot.as_of(_table(spark, sf), scn), "SALES", "ORDERS", scn, CONNECTOR)
+    at = snapshot.handover({"type": "select", "scn": scn})
+    log = transactions.committed_changes(scan.resume(synth.redo(spark, sf), SALES, at["scn"], at["commitScn"], at["isTransactionComplete"]))
+    return snap.select(F.lit("snapshot").alias("part"), "source.scn").unionByName(log.select(F.lit("log").alias("part"), "scn"))
+
+
 # Log files and catalog
 
 
