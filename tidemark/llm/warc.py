@@ -8,12 +8,14 @@ writes files of its own, whose names no other attempt uses, and the manifest (a
 were committed; readers see only these.
 
 Reading: files are cut into ranges of bytes.  A task scans its range for the gzip magic, takes a candidate for a member
-if its first bytes inflate to a WARC header, and owns the records that start inside the range.  From one record on, the
-next starts where it ends; after broken bytes the scan goes on.
+if it inflates to a WARC header, and owns the records that start inside the range.  From one record on, the next starts
+where it ends; after broken bytes the scan goes on.  Nothing is left out in silence: a member that breaks off, a record
+without a length or shorter than it says, and a member found by scanning that no other follows (it may be part of the
+payload of one that was stored without compression) come with a ``problem``.
 
 Defined results: a null payload is empty; a null page id is never referred to, and its record is a response unless an
-equal payload has an id; records with the smallest id of a payload (repeated rows) are all responses; a null URL has no
-header; an empty table gives an empty manifest; other columns are not looked at.
+equal payload has an id; records with the smallest id of a payload (repeated rows) are all responses, of one record id; a null
+URL has no header; an empty table gives an empty manifest; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -36,8 +38,8 @@ from tidemark.llm.common import scratch, small_batches, stored, table
 HOT = 1024
 #: A file ends after the record with which it reaches this size; a split of a file has SPLIT_BYTES.
 FILE_BYTES, SPLIT_BYTES = 1 << 30, 16 << 20
-#: Bytes read at a time, and bytes of a candidate that must inflate to a header.
-READ_BYTES, HEAD_BYTES = 1 << 20, 4096
+#: Bytes read at a time, and tasks that read an archive at most (each takes several splits then).
+READ_BYTES, TASKS = 1 << 20, 100_000
 
 _MAGIC = b"\x1f\x8b\x08"
 _PROFILE = b"http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -135,24 +137,35 @@ class Source:
     def drop(self, n: int) -> None:
         self.at, self.held = self.at + n, self.held[n:]
 
+    def ended(self) -> bool:
+        return not self.held and not self.more()
+
 
 def is_member(source: Source) -> bool:
-    """Whether what comes next inflates to a WARC header."""
-    while len(source.held) < HEAD_BYTES and source.more():
+    """Whether what comes next inflates to a WARC header, however long the gzip header before it is.  Nothing is dropped."""
+    while len(source.held) < len(_MAGIC) and source.more():
         pass
     if not source.held.startswith(_MAGIC):
         return False
+    inflate, got, fed = zlib.decompressobj(31), b"", 0
     try:
-        return zlib.decompressobj(31).decompress(source.held[:HEAD_BYTES], 16).startswith(b"WARC/")
+        while len(got) < 5 and not inflate.eof:
+            if fed == len(source.held) and not source.more():
+                return False
+            part = inflate.unconsumed_tail or source.held[fed : fed + 512]
+            fed += 0 if inflate.unconsumed_tail else len(part)
+            got += inflate.decompress(part, 5 - len(got))
     except zlib.error:
         return False
+    return got == b"WARC/"
 
 
-def members(file, start: int, end: int) -> Iterator[tuple[int, bytes]]:
-    """(place, content) of the members that start in [start, end) of a seekable file."""
-    source = Source(file, start)
+def members(file, start: int, end: int) -> Iterator[tuple[int, bytes, str | None]]:
+    """(place, content, problem) of the members that start in [start, end) of a seekable file."""
+    source, chained = Source(file, start), start == 0
     while source.at < end:
         if not is_member(source):
+            chained = False
             at = source.held.find(_MAGIC, 1)
             if at < 0:
                 at = max(1, len(source.held) - 2)
@@ -160,65 +173,58 @@ def members(file, start: int, end: int) -> Iterator[tuple[int, bytes]]:
                     return
             source.drop(at)
             continue
-        inflate, parts, begin, used = zlib.decompressobj(31), [], source.at, 0
-        kept = source.held
+        inflate, parts, begin, used, broken = zlib.decompressobj(31), [], source.at, 0, None
         try:
-            while True:
+            while not inflate.eof:
+                if source.ended():
+                    raise zlib.error
                 parts.append(inflate.decompress(source.held))
-                if inflate.eof:
-                    used += len(source.held) - len(inflate.unused_data)
-                    break
-                used, source.held = used + len(source.held), b""
-                if not source.more():
-                    raise zlib.error("cut off")
-                kept += source.held
+                used += len(source.held)
+                source.held = b""
         except zlib.error:
-            source.held = kept
-            source.drop(1)
+            yield begin, b"".join(parts), "broken member"
+            source, chained = Source(file, begin + 1), False
             continue
         source.held = inflate.unused_data
-        source.at = begin + used
-        yield begin, b"".join(parts)
+        source.at = begin + used - len(source.held)
+        doubtful = not chained and not source.ended() and not is_member(source)
+        yield begin, b"".join(parts), "found inside other bytes" if doubtful else None
+        chained = not doubtful
 
 
-def parse(content: bytes) -> dict | None:
-    """The fields of a record, or None if it isn't whole."""
+def parse(content: bytes) -> dict:
+    """The fields of a record; ``problem`` says if it has no length or isn't whole."""
     head, _, rest = content.partition(b"\r\n\r\n")
     lines = head.split(b"\r\n")
     fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(b":") for x in lines[1:])}
-    try:
-        size = int(fields[b"content-length"])
-    except (KeyError, ValueError):
-        return None
-    if len(rest) < size:
-        return None
-    block = rest[:size]
-    http, _, payload = block.partition(b"\r\n\r\n")
+    number = lambda x: int(fields[x]) if fields.get(x, b"").isdigit() else None
+    size = number(b"content-length")
+    problem = "no length" if size is None else "cut off" if len(rest) < size else None
+    http, _, payload = rest[:size].partition(b"\r\n\r\n")
     length = re.search(rb"(?im)^content-length:\s*(\d+)", http)
-    kind = fields.get(b"warc-type", b"").decode()
+    kind = fields.get(b"warc-type", b"").decode("utf-8", "replace")
     url = fields.get(b"warc-target-uri")
     if b"page-url-base64" in fields:
         url = base64.b64decode(fields[b"page-url-base64"])
-    number = lambda x: int(fields[x]) if x in fields else None
-    said = fields.get(b"warc-payload-digest", b"").decode().removeprefix("sha1:") or None
+    said = fields.get(b"warc-payload-digest", b"").decode("utf-8", "replace").removeprefix("sha1:") or None
     found = base64.b32encode(hashlib.sha1(payload).digest()).decode() if kind == "response" else said
     return {
         "record_type": kind, "url": None if url is None else url.decode("utf-8", "replace"), "page_id": number(b"page-id"), "refers_to": number(b"refers-to-page-id"),
-        "payload_bytes": len(payload) if kind == "response" else int(length[1]) if length else None, "payload_digest": found, "intact": found == said,
-        "payload": payload if kind == "response" else None,
+        "payload_bytes": len(payload) if kind == "response" else int(length[1]) if length else None, "payload_digest": found, "intact": found == said and not problem,
+        "payload": payload if kind == "response" else None, "problem": problem,
     }
 
 
-FIELDS = "path string, place long, record_type string, url string, page_id long, refers_to long, payload_bytes long, payload_digest string, intact boolean, payload binary"
+FIELDS = "path string, place long, record_type string, url string, page_id long, refers_to long, payload_bytes long, payload_digest string, intact boolean, payload binary, problem string"
 
 
 def read(files: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """The records (FIELDS) of the files (path, bytes)."""
+    """The records (FIELDS) of the files (path, bytes); ``problem`` is null for those that are whole."""
     splits = files.select("path", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split_bytes).cast("long"))).alias("start"))
     splits = splits.select("path", "start", F.least(F.col("start") + split_bytes, "bytes").alias("stop"))
     n = files.agg(F.sum(F.ceil(F.greatest(F.col("bytes"), F.lit(1)) / split_bytes))).first()[0]
     names = [x.split()[0] for x in FIELDS.split(", ")]
-    types = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.binary()]
+    types = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.binary(), pa.string()]
 
     def batch(rows: list[dict]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([r[x] for r in rows], t) for x, t in zip(names, types)], names=names)
@@ -229,17 +235,16 @@ def read(files: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
             for path, start, stop in zip(*(x.to_pylist() for x in b.columns)):
                 system, at = filesystem(path)
                 with system.open_input_file(at) as file:
-                    for place, content in members(file, start, stop):
-                        if (r := parse(content)) is None:
-                            continue
-                        rows.append({"path": path, "place": place} | r)
+                    for place, content, problem in members(file, start, stop):
+                        r = parse(content)
+                        rows.append({"path": path, "place": place} | r | {"problem": problem or r["problem"]})
                         size += len(content)
                         if size >= 8 * READ_BYTES:
                             yield batch(rows)
                             rows, size = [], 0
         yield batch(rows)
 
-    return splits.repartition(max(1, int(n or 1))).mapInArrow(over, FIELDS)
+    return splits.repartition(max(1, min(int(n or 1), TASKS))).mapInArrow(over, FIELDS)
 
 
 def listing(spark: SparkSession, path: str) -> DataFrame:
@@ -250,3 +255,12 @@ def listing(spark: SparkSession, path: str) -> DataFrame:
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = write(table(spark, sf_dir, "pages"), scratch(spark, "archive"))
     return read(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, unhex(sha1(coalesce(html, '')))::BIT::VARCHAR AS bits, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages)
+SELECT page_id, strlen(html) AS payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + substr(bits, (5 * i + 1)::INT, 5)::BIT::INT, 1) for i in range(32)], '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p
+"""
