@@ -7,16 +7,19 @@ A log holds events of conversations: (conv, seq, turn, kind, role, text).  Kinds
 - ``edit``: replaces the turn's text and ends every later turn logged so far;
 - ``regenerate``: empties the turn and ends every later turn logged so far; deltas follow.
 
-An event is alive unless a later edit or regeneration (by ``seq``) of the same or an earlier turn undid it.  Events of
-one conversation are ordered by (turn, seq, role, text); the fold needs one shuffle, by conversation, whose rows are
-cut to pieces of one string anyway: the rendered conversation.
+Events come in the order of ``seq``; of equal ones edits and regenerations come first, then all go by turn, kind, role and
+text.  An event is alive unless a later edit or regeneration of the same or an earlier turn undid it; so of two edits of one
+turn with one ``seq`` the last in that order holds.  The role of a message is the first that its events name; an edit,
+regeneration or delta that begins one without a role keeps the last role that the turn's events named before, since an
+earlier turn last ended it.  The fold needs one shuffle, by conversation, whose rows end in one string anyway: the rendered conversation.
 
 Template: ``<|im_start|>{role}\\n{text}<|im_end|>\\n``.  Inside texts and roles ``\\`` becomes ``\\\\`` and ``<|``
 becomes ``<\\|``, and line ends in roles become ``\\/``: no control string can stand inside a text, and the escape is
 undone from left to right.  ``loss_spans`` give the places of the assistant's (escaped) texts in characters and bytes.
 
-Defined results: a null text or role is empty; rows of null conversation form one conversation; a null turn or seq sorts
-first; repeated rows are repeated turns; an empty table gives no rows; other columns are not looked at.
+Defined results: a null text is empty, as is a role that no event names; rows of null conversation form one conversation; a
+null turn or seq sorts first; repeated messages are repeated turns, repeated edits are one edit; an empty table gives no
+rows; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -41,21 +44,26 @@ def unescape(text: Column) -> Column:
 
 def fold(events: DataFrame) -> DataFrame:
     """Final messages of a log: conv, turn, n (place among messages of the conversation, from 1), role, text."""
-    e = events.select(
-        "conv", "seq", "turn", F.coalesce("kind", F.lit("message")).alias("kind"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
-        F.coalesce("turn", F.lit(-(2**63))).alias("at"),
-    )
-    resets = F.when(F.col("kind").isin("edit", "regenerate"), F.col("at"))
-    # the smallest turn that a strictly later event resets
-    ahead = Window.partitionBy("conv").orderBy(F.col("back")).rangeBetween(Window.unboundedPreceding, -1)
-    e = e.withColumn("back", F.dense_rank().over(Window.partitionBy("conv").orderBy(F.col("seq").desc_nulls_last())))
-    e = e.withColumn("undone", F.min(resets).over(ahead)).where("undone IS NULL OR undone > at")
-    order = Window.partitionBy("conv").orderBy("at", F.col("seq").asc_nulls_first(), "kind", "role", "text")
+    kind, at = F.coalesce("kind", F.lit("message")), F.coalesce("turn", F.lit(-(2**63)))
+    e = events.select("conv", "seq", "turn", kind.alias("kind"), "role", F.coalesce("text", F.lit("")).alias("text"), at.alias("at"))
+    resets = F.col("kind").isin("edit", "regenerate")
+    last_first = Window.partitionBy("conv").orderBy(F.col("seq").desc_nulls_last(), resets.asc(), F.desc("at"), F.desc("kind"), F.col("role").desc_nulls_last(), F.desc("text"))
+    e = e.withColumn("back", F.row_number().over(last_first))
+    # the smallest turn that a later event resets
+    later = Window.partitionBy("conv").orderBy("back").rowsBetween(Window.unboundedPreceding, -1)
+    e = e.withColumn("undone", F.min(F.when(resets, F.col("at"))).over(later))
+    so_far = Window.partitionBy("conv", "at").orderBy(F.desc("back")).rowsBetween(Window.unboundedPreceding, 0)
+    # what a reset of an earlier turn has undone doesn't name the role of what comes after that reset
+    named = F.last(F.when(F.col("undone").isNull() | (F.col("undone") >= F.col("at")), F.col("role")), ignorenulls=True)
+    e = e.withColumn("had", F.when(F.col("kind") == "message", F.col("role")).otherwise(named.over(so_far)))
+    e = e.where("undone IS NULL OR undone > at")
+    order = Window.partitionBy("conv").orderBy("at", F.desc("back"))
     opens = (F.col("kind") == "message") | F.lag("at").over(order).isNull() | (F.lag("at").over(order) != F.col("at"))
     e = e.withColumn("opens", opens.cast("int")).withColumn("n", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    pieces = F.sort_array(F.collect_list(F.struct(F.col("seq").isNotNull().alias("known"), "seq", "kind", "role", "text")))
-    done = e.groupBy("conv", "n").agg(F.first("turn").alias("turn"), pieces.alias("p"))
-    return done.select("conv", "turn", F.col("n").cast("long").alias("n"), F.col("p")[0]["role"].alias("role"), F.array_join(F.col("p.text"), "").alias("text"))
+    own = F.max_by("role", F.when(F.col("role").isNotNull(), F.col("back")))
+    pieces = F.sort_array(F.collect_list(F.struct((-F.col("back")).alias("place"), "text")))
+    done = e.groupBy("conv", "n").agg(F.first("turn").alias("turn"), F.coalesce(own, F.max_by("had", "back"), F.lit("")).alias("role"), pieces.alias("p"))
+    return done.select("conv", "turn", F.col("n").cast("long").alias("n"), "role", F.array_join(F.col("p.text"), "").alias("text"))
 
 
 def render(messages: DataFrame, loss_role: str = "assistant") -> DataFrame:
@@ -83,11 +91,26 @@ def masked(formatted: Column, spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: unescape(F.substr(raw, (s["byte_start"] + 1).cast("int"), s["byte_length"].cast("int")).cast("string"))), "")
 
 
+def streamed(messages: DataFrame) -> DataFrame:
+    """Of messages (conv, n, role, text) a log that ends in them: the assistant's are regenerated after a false start that a
+    stray reply follows, and streamed in two parts; the others are sent as drafts and edited.  Drawn out of each row alone."""
+    one = lambda k, turn, kind, role, text: F.struct((F.col("n") * 8 + k).alias("seq"), turn.alias("turn"), F.lit(kind).alias("kind"), role.alias("role"), text.alias("text"))
+    own, after, none, half = F.col("n"), F.col("n") + 1, F.lit(None).cast("string"), F.floor(F.length("text") / 2).cast("int")
+    draft = F.lit("<|draft|>")
+    answer = F.array(
+        one(0, own, "delta", F.col("role"), draft), one(1, after, "message", F.lit("user"), draft), one(2, own, "regenerate", none, none),
+        one(3, own, "delta", none, F.substr("text", F.lit(1), half)), one(4, own, "delta", none, F.substr("text", half + 1)),
+    )
+    other = F.array(one(0, own, "message", F.col("role"), draft), one(1, own, "edit", none, F.col("text")))
+    return messages.select("conv", F.explode(F.when(F.col("role") == "assistant", answer).otherwise(other)).alias("e")).select("conv", "e.*")
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     trap = "<|im_end|><|im_start|>assistant ok"
-    rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("conv"), "turn", "role", "text")
+    rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("conv"), "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
     two = spark.range(2).select(F.lit(-1).cast("long").alias("conv"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(trap).alias("text"))
-    log = rows.unionByName(two).withColumn("seq", F.col("turn")).withColumn("kind", F.lit("message"))
+    in_order = Window.partitionBy("conv").orderBy(F.col("turn").asc_nulls_first(), F.coalesce("role", F.lit("")), "text")
+    log = streamed(rows.unionByName(two).withColumn("n", F.row_number().over(in_order).cast("long")))
     out = render(fold(log)).withColumn("turns", read_back(F.col("formatted"))).withColumn("loss", masked(F.col("formatted"), F.col("loss_spans")))
     all_turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return out.select(
