@@ -30,13 +30,21 @@ WINDOW = 8
 KEEP_SHARE = 0.5
 
 #: The end of a sentence, then quotes or brackets, then white space or the end.
-_ENDS = re.compile("(?:[.!?:;]|…|。|！|？)(?:[\"')\\]]|’|”|»)*(?:[ \t\r\v\f]|$)".encode())
-_SYMBOL = re.compile(rb"[#*$%&|<>!~^=+{}\\@_\[\]]")
-_SEPARATORS = {b"|", b"/", b">", b">>", b"-", b"*", "•".encode(), "·".encode(), "»".encode(), "›".encode()}
-_BOILERPLATE = re.compile(
-    rb"(?i)all rights reserved|licensed under|terms of (?:use|service)|privacy policy|cookie policy|uses cookies|enable javascript|click here|read more|"
-    rb"sign up|log ?in to|subscribe to|skip to (?:main )?content|powered by|lorem ipsum|copyright \d|share (?:this|on)|page not found"
-)
+ENDS = "(?:[.!?:;]|…|。|！|？)(?:[\"')\\]]|’|”|»)*(?:[ \\t\\r\\v\\f]|$)"
+SYMBOL = r"[#*$%&|<>!~^=+{}\\@_\[\]]"
+SEPARATORS = ("|", "/", ">", ">>", "-", "*", "•", "·", "»", "›")
+#: Stock phrases in English, German, French and Spanish; letters A to Z match in either case.
+BOILERPLATE = "|".join((
+    "all rights reserved|licensed under|terms of (?:use|service)|privacy policy|cookie policy|uses cookies|enable javascript|click here|read more",
+    "sign up|log ?in to|subscribe to|skip to (?:main )?content|powered by|lorem ipsum|copyright [0-9]|share (?:this|on)|page not found",
+    "alle rechte vorbehalten|nutzungsbedingungen|datenschutzerkl(?:ä|ae)rung|verwendet cookies|javascript aktivieren|hier klicken|mehr lesen|weiterlesen|jetzt anmelden|zum inhalt springen|seite nicht gefunden",
+    "tous droits r[ée]serv[ée]s|conditions d['’]utilisation|politique de confidentialit[ée]|mentions l[ée]gales|utilise des cookies|activez javascript|cliquez ici|lire la suite|aller au contenu|page introuvable",
+    "todos los derechos reservados|t[ée]rminos de uso|pol[íi]tica de privacidad|aviso legal|utiliza cookies|active javascript|haga clic aqu[íi]|leer m[áa]s|ir al contenido|p[áa]gina no encontrada",
+))
+_either = lambda pattern: re.sub(r"\[([^\]\\]*[^\x00-\x7f][^\]\\]*)\]", lambda m: "(?:" + "|".join(m[1]) + ")", pattern)  # noqa: E731  # sets of characters, for bytes
+_ENDS, _SYMBOL = re.compile(ENDS.encode()), re.compile(SYMBOL.encode())
+_SEPARATORS = {x.encode() for x in SEPARATORS}
+_BOILERPLATE = re.compile(b"(?i)" + _either(BOILERPLATE).encode())
 
 
 def line_stays(line: bytes, words: list[bytes]) -> bool:
@@ -150,3 +158,35 @@ def clean(df: DataFrame, text: str = "text") -> DataFrame:
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = judged(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def _text(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+_WORD = r"'[^\x20\x09-\x0D]+'"
+_REPEAT = " || ' ' || ".join(["x"] + [f"lead(x, {k}) OVER w" for k in range(1, WINDOW)])
+ORACLE = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), {_WORD}) AS words FROM documents),
+split AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
+lines AS (SELECT doc_id, line, regexp_extract_all(line, {_WORD}) AS words FROM split),
+ruled AS (
+  SELECT doc_id, line, words, len(words) AS n, len(list_filter(words, lambda x: x IN ({', '.join(map(_text, SEPARATORS))}))) AS seps,
+         strlen(array_to_string(words, '')) AS size, len(regexp_extract_all(line, {_text(SYMBOL)})) AS symbols
+  FROM lines WHERE len(words) > 0),
+judged AS (
+  SELECT *, NOT (seps >= 2 AND seps * 5 >= n) AND NOT (symbols * 10 > size AND n > 1) AND NOT (n > 10 AND NOT regexp_matches(line, {_text(ENDS)}))
+         AND NOT (n <= 15 AND regexp_matches(line, {_text('(?i)' + BOILERPLATE)})) AS stays FROM ruled),
+by_lines AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines, sum(CASE WHEN stays THEN length(array_to_string(words, '')) ELSE 0 END) AS kept_chars FROM judged GROUP BY doc_id),
+flat AS (SELECT doc_id, unnest(words) AS x, unnest(range(len(words))) AS i FROM d),
+windows AS (SELECT doc_id, i, {_REPEAT} AS s FROM flat WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+again AS (SELECT doc_id, i FROM windows WHERE s IS NOT NULL QUALIFY count(*) OVER (PARTITION BY doc_id, s) > 1),
+repeats AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM again, range({WINDOW}) AS r(k) GROUP BY doc_id),
+base AS (
+  SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars, len(regexp_extract_all(t, {_text('[' + SYMBOLS.decode() + ']')})) AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words, coalesce(kept_chars, 0) AS kept_chars
+  FROM d LEFT JOIN by_lines USING (doc_id) LEFT JOIN repeats USING (doc_id))
+SELECT * EXCLUDE (kept_chars), n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND kept_chars >= {KEEP_SHARE} * word_chars AS kept
+FROM base
+"""
