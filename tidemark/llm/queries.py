@@ -18,6 +18,10 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_warc": warc.ORACLE,
+    "op2_shards": sharding.ORACLE,
     "op4_exact_dedup": exact_dedup.ORACLE,
     "op6_chat": chat.ORACLE,
+    "op7_quality_rules": quality_rules.ORACLE,
+    "op9_substring_dedup": substring_dedup.ORACLE,
 }

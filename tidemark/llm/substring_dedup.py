@@ -370,3 +370,15 @@ def dedup(df: DataFrame, id: str = "doc_id", text: str = "text", width: int = 13
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = judged(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
+_WINDOW = " || ' ' || ".join(["x"] + [f"lead(x, {k}) OVER w" for k in range(1, 13)])
+ORACLE = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+flat AS (SELECT doc_id, unnest(words) AS x, unnest(range(len(words))) AS i FROM d),
+windows AS (SELECT doc_id, i, {_WINDOW} AS s FROM flat WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+first AS (SELECT s, min(doc_id) AS low FROM windows WHERE s IS NOT NULL GROUP BY s),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM windows JOIN first USING (s), range(13) AS r(k) WHERE low < doc_id),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY i) AS s FROM flat ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(s, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)
+"""
