@@ -10,16 +10,18 @@ from pyspark.sql import functions as F
 
 #: ASCII white space, [\x20\x09-\x0D], which bytes.split() uses too.
 SPACES = " \t\n\x0b\x0c\r"
-#: Rows of long texts in one Arrow batch; bounds a Python worker's memory.
-BATCH_ROWS = 1000
+#: Rows and bytes of one Arrow batch; they bound a Python worker's memory (a row of more bytes is a batch of its own).
+BATCH_ROWS, BATCH_BYTES = 1000, 32 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or our own where it is unset."""
+    """The folder that all executors share: spark.checkpoint.dir, or, on one machine only, our own where it is unset."""
     sc = spark.sparkContext
     if at := sc.getConf().get("spark.checkpoint.dir"):
         return at.rstrip("/")
     if sc._jsc.sc().getCheckpointDir().isEmpty():
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
     return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
 
@@ -36,10 +38,15 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Arrow batches of at most BATCH_ROWS rows, as whole texts may be long."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > BATCH_ROWS or int(spark.conf.get(key)) <= 0:
-        spark.conf.set(key, str(BATCH_ROWS))
+    """Arrow batches of at most BATCH_ROWS rows and BATCH_BYTES bytes, as whole texts may be long.
+
+    The settings are read when a plan runs, so they stay in the session; smaller ones of the user's hold.
+    """
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        held = spark.conf.get(key).rstrip("b")  # bytes are given as 1048576b, or in the unit that they were set in
+        if not held.isdecimal() or not 0 < int(held) <= most:
+            spark.conf.set(key, str(most))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
