@@ -7,7 +7,7 @@ from tidemark.llm import packing
 
 def inside(sizes, sentences, length):
     """Cuts that are no end of a document or sentence, after a check that all windows fit."""
-    place, penalty = packing.candidates(sizes, [np.array(s, np.int64) for s in sentences], length)
+    place, penalty = packing.candidates(sizes, [list(s) for s in sentences], length)
     cut = packing.cuts(place, penalty, length)
     assert cut[0] == 0 and cut[-1] == sum(sizes) and all(0 < b - a <= length for a, b in zip(cut, cut[1:]))
     ends = np.cumsum(sizes)

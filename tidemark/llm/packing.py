@@ -18,15 +18,17 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import LongType, StructType
 
-from tidemark.llm.bpe import per_worker
+from tidemark.llm.bpe import marker
 from tidemark.llm.common import small_batches, table
 
 #: Costs of a cut, in padding tokens: at the end of a sentence inside a document, and inside a sentence longer than a
@@ -56,14 +58,14 @@ def cuts(place: list[int], penalty: list[int], length: int) -> list[int]:
     return [place[i] for i in reversed(out)]
 
 
-def candidates(sizes: list[int], sentences: list[np.ndarray], length: int) -> tuple[list[int], list[int]]:
+def candidates(sizes: list[int], sentences: list[list[int]], length: int) -> tuple[list[int], list[int]]:
     """Places where documents of these sizes may be cut, and the penalty of each."""
     ends = np.cumsum(np.array(sizes, np.int64))
-    parts = [e - n + s for e, n, s in zip(ends.tolist(), sizes, sentences) if len(s)]
     total = int(ends[-1])
     cost = np.zeros(total + 1, np.int16)
-    if parts:
-        cost[np.concatenate(parts)] = SENTENCE
+    inside = np.fromiter(map(len, sentences), np.int64, len(sentences))
+    flat = np.fromiter(chain.from_iterable(sentences), np.int64, int(inside.sum()))
+    cost[flat + np.repeat(ends - np.array(sizes), inside)] = SENTENCE
     cost[ends] = FREE
     cost[0] = FREE
     known = np.flatnonzero(cost)
@@ -83,7 +85,7 @@ class Packer:
         self.held: list[tuple] = []  # (id, ids, start of these ids in the document, tokens of the document, ends of sentences)
         self.size = 0
 
-    def add(self, id, ids: bytes, sentences: np.ndarray) -> list[tuple]:
+    def add(self, id, ids: bytes, sentences: list[int]) -> list[tuple]:
         n = len(ids) // 4
         self.held.append((id, ids, 0, n, sentences))
         self.size += n
@@ -110,7 +112,7 @@ class Packer:
         rest = self.held[doc:]
         if at:
             id, ids, start, total, sentences = rest[0]
-            rest[0] = (id, ids[4 * at :], start + at, total, sentences[sentences > at] - at)
+            rest[0] = (id, ids[4 * at :], start + at, total, [x - at for x in sentences if x > at])
         self.held, self.size = rest, self.size - end
         return out
 
@@ -118,34 +120,38 @@ class Packer:
 FIELDS = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
 
-def pack(df: DataFrame, path: str, pattern: str, id: str = "doc_id", text: str = "text", length: int = 2048, end_id: int = 1) -> DataFrame:
-    """One row for each piece of a document in a sequence: FIELDS.  Sequence ids are unique, ascending in a partition."""
+def pack(df: DataFrame, path: str, pattern: str, id: str = "doc_id", text: str = "text", length: int = 2048, end_id: int = 1, control: bool = False) -> DataFrame:
+    """One row for each piece of a document in a sequence: FIELDS.  Sequence ids are unique, ascending in a partition.
+
+    ``control``: see ``Encoder``.  By default a document can't place control tokens in the data.  Ids may be of any type.
+    """
     small_batches(df.sparkSession)
     end = end_id.to_bytes(4, "little")
+    kind = df.schema[id].dataType
+    of_ids = to_arrow_type(kind)
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = per_worker(path, pattern)
+        sentences_of = marker(path, pattern, control)
         packer = Packer(length, TaskContext.get().partitionId() << 40)
         out: list[tuple] = []
         for b in batches:
-            for key, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ids, sentences = encoder.sentences(x or "")
+            for key, raw in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
+                ids, sentences = sentences_of((raw or b"").decode(), raw or b"")
                 out += packer.add(key, ids + end, sentences)
             if out:
-                yield _batch(out)
+                yield _batch(out, of_ids)
                 out = []
-        yield _batch(packer.flush(True) if packer.held else [])
+        yield _batch(packer.flush(True) if packer.held else [], of_ids)
 
-    kind = df.schema[id].dataType
     schema = StructType().add("id", kind)
     for x in FIELDS[1:]:
         schema.add(x, LongType())
     return df.select(F.col(id).alias("id"), F.col(text).alias("text")).mapInArrow(over, schema)
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    first = pa.array([x[0] for x in rows]) if any(x[0] is not None for x in rows) else pa.array([None] * len(rows), pa.int64())
-    return pa.RecordBatch.from_arrays([first, *(pa.array([x[k] for x in rows], pa.int64()) for k in range(1, len(FIELDS)))], names=FIELDS)
+def _batch(rows: list[tuple], of_ids: pa.DataType) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * len(FIELDS)
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64() if k else of_ids) for k, x in enumerate(columns)], names=FIELDS)
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
