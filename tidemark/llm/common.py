@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -27,8 +28,25 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, which is deleted when the driver ends."""
+    root = f"{shared_dir(spark)}/tidemark/{spark.sparkContext.applicationId}"
+    if root not in _ROOTS:
+        _ROOTS.add(root)
+        atexit.register(_clean, spark, root)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+_ROOTS: set[str] = set()
+
+
+def _clean(spark: SparkSession, path: str) -> None:
+    if spark.sparkContext._jsc is not None:  # else the session was stopped before
+        _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -81,6 +99,27 @@ def forget(*tables: DataFrame) -> None:
     """Delete stored tables that nothing reads any more."""
     for df in tables:
         if path := getattr(df, "_stored_at", None):
-            jvm = df.sparkSession._jvm
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+            _delete(df.sparkSession, path)
+
+
+def text_key(text: Column) -> list[Column]:
+    """What tells raw texts of one id apart, without sending them anywhere: a hash and the size (null is a text of its own)."""
+    return [F.xxhash64(text).alias("raw"), F.coalesce(F.octet_length(text), F.lit(-1)).alias("size")]
+
+
+def without(df: DataFrame, id: str, text: str, doomed: DataFrame) -> DataFrame:
+    """``df`` without the rows whose (id, raw, size) is in ``doomed``; of those that are marked ``one`` there, one row stays.
+
+    Whole rows are shuffled once at most (not at all if ``doomed`` is small), and by ids and texts, whatever the size of the
+    groups that they were in.  Rows that repeat one of ``one`` are combined before their shuffle.
+    """
+    keys = ["id", "raw", "size"]
+    # the row travels as one struct, so that its own columns' names can't clash with ours
+    rows = df.select(F.struct("*").alias("row"), F.col(id).alias("id"), *text_key(F.col(text)))
+    known = doomed.select(*[F.col(k).alias(f"of_{k}") for k in keys], "one")
+    on = rows["id"].eqNullSafe(known["of_id"]) & (rows["raw"] == known["of_raw"]) & (rows["size"] == known["of_size"])
+    rows = rows.join(known, on, "left")
+    out = rows.where("one IS NULL").select("row.*")
+    if not doomed.where("one").isEmpty():
+        out = out.unionByName(rows.where("one").groupBy(*keys).agg(F.first("row").alias("row")).select("row.*"))
+    return out

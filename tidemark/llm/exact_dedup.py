@@ -2,13 +2,13 @@
 
 A digest that many rows share would make one shuffle task as large as its group.  Misra-Gries summaries of each
 partition, merged, name at most ``k`` candidates, among them every digest held by more than 2/k of the rows.  Their
-winners are then computed exactly from all rows (sums that combine before the shuffle) and broadcast: at most ``k`` rows
+winners are then computed exactly from all rows (minima that combine before the shuffle) and broadcast: at most ``k`` rows
 of about 100 bytes.  Rows of these digests are decided where they are; only the others are shuffled by digest, so no
 group that meets in one task has more than 2/k of the rows.
 
 Defined results: a null text is the empty text; all empty and all-blank texts are equal.  Of equal texts the row with
 the most code points stays, then the one with the smallest id (a null id counts as largest), then the one with the
-smallest hash of the raw text.  Of rows repeated with the same id and raw text one stays.  An empty table gives none.
+smallest hash of the raw text.  Of rows repeated with the same id and raw text one stays, whichever.  An empty table gives none.
 Other columns pass through ``dedup`` whatever their names.
 """
 
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from tidemark.llm.common import cut, small_batches, table
+from tidemark.llm.common import cut, small_batches, table, text_key, without
 
 #: Counters of a Misra-Gries summary, and most rows of the broadcast.
 HITTERS = 1024
@@ -69,44 +69,30 @@ def frequent(df: DataFrame, key: str, k: int = HITTERS) -> DataFrame:
 
 
 def decide(df: DataFrame, id: str = "doc_id", text: str = "text", k: int = HITTERS) -> DataFrame:
-    """Each row's fate: id, digest, n_chars, raw, keep_id, group_size, kept.  ``raw`` tells raw texts apart."""
-    rows = with_digest(df.select(F.col(id).alias("id"), F.coalesce(text, F.lit("")).alias("text")), "text", "digest")
-    rows = cut(rows.select("id", "digest", F.length("text").cast("long").alias("n_chars"), F.xxhash64("text").alias("raw")))
-    best = F.struct((-F.col("n_chars")).alias("less"), F.col("id").isNull().alias("none"), "id", "raw")
+    """Each row's fate: id, digest, n_chars, raw and size (which tell raw texts apart), keep_id, group_size, kept."""
+    rows = with_digest(df.select(F.col(id).alias("id"), F.col(text).alias("text")), "text", "digest")
+    rows = rows.select("id", "digest", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars"), *text_key(F.col("text")))
+    # the number of a row, fixed by the checkpoint, tells even repeated rows apart
+    rows = cut(rows.withColumn("no", F.monotonically_increasing_id()))
+    out = ["id", "digest", "n_chars", "raw", "size"]
+    best = F.struct((-F.col("n_chars")).alias("less"), F.col("id").isNull().alias("none"), "id", "raw", "no")
 
     named = F.broadcast(frequent(rows, "digest", k))
-    exact = rows.join(named, "digest", "left_semi").groupBy("digest", "id", "n_chars", "raw").agg(F.count("*").alias("m"))
-    exact = exact.groupBy("digest").agg(F.sum("m").alias("size"), F.min(F.struct(best.alias("best"), "m")).alias("w"))
-    hot = cut(exact.select("digest", "size", F.col("w.best.id").alias("win_id"), F.col("w.best.less").alias("win_less"), F.col("w.best.raw").alias("win_raw"), "w.m"))
-
-    split = rows.join(F.broadcast(hot), "digest", "left")
-    won = (F.col("id").eqNullSafe(F.col("win_id"))) & (F.col("n_chars") == -F.col("win_less")) & (F.col("raw") == F.col("win_raw"))
-    # a repeated winner is one row too many: the few copies of it are told apart below
-    apart = F.col("size").isNotNull() & ~(won & (F.col("m") > 1))
-    settled = split.where(apart).select("id", "digest", "n_chars", "raw", F.col("win_id").alias("keep_id"), F.col("size").alias("group_size"), won.alias("kept"))
+    exact = rows.join(named, "digest", "left_semi").groupBy("digest").agg(F.count("*").alias("group_size"), F.min(best).alias("w"))
+    hot = F.broadcast(cut(exact.select("digest", "group_size", F.col("w.id").alias("keep_id"), F.col("w.no").alias("win"))))
+    split = rows.join(hot, "digest", "left")
+    settled = split.where("win IS NOT NULL").select(*out, "keep_id", "group_size", (F.col("no") == F.col("win")).alias("kept"))
     group = Window.partitionBy("digest")
-    order = group.orderBy("less", F.col("id").isNull(), "id", "raw")
-    rest = split.where(~F.coalesce(apart, F.lit(False))).withColumn("less", -F.col("n_chars"))
-    rest = rest.withColumn("row", F.row_number().over(order)).withColumn("first", F.first("id").over(order)).withColumn("all", F.count("*").over(group))
-    rest = rest.select("id", "digest", "n_chars", "raw", F.col("first").alias("keep_id"), F.coalesce("size", "all").alias("group_size"), (F.col("row") == 1).alias("kept"))
-    return settled.unionByName(rest)
+    order = group.orderBy("less", F.col("id").isNull(), "id", "raw", "no")
+    rest = split.where("win IS NULL").drop("keep_id", "group_size").withColumn("less", -F.col("n_chars"))
+    rest = rest.withColumn("row", F.row_number().over(order)).withColumn("keep_id", F.first("id").over(order)).withColumn("group_size", F.count("*").over(group))
+    return settled.unionByName(rest.select(*out, "keep_id", "group_size", (F.col("row") == 1).alias("kept")))
 
 
 def dedup(df: DataFrame, id: str = "doc_id", text: str = "text", k: int = HITTERS) -> DataFrame:
-    """The rows of ``df`` that stay, with its columns.  Rows that go are removed before the texts are shuffled."""
-    fate = cut(decide(df, id, text, k))
-    # the row travels as one struct, so that its own columns' names can't clash with ours
-    rows = df.select(F.struct("*").alias("row"), F.col(id).alias("id"), F.coalesce(text, F.lit("")).alias("text")).withColumn("raw", F.xxhash64("text"))
-    rows = with_digest(rows, "text", "digest").drop("text")
-    win = fate.where("kept").select("digest", F.col("id").alias("win_id"), F.col("raw").alias("win_raw"))
-    named = frequent(fate.where("group_size > 1"), "digest", k)
-    hot = F.broadcast(cut(win.join(F.broadcast(named), "digest", "left_semi")))
-    is_win = F.col("id").eqNullSafe(F.col("win_id")) & (F.col("raw") == F.col("win_raw"))
-    rows = rows.join(hot, "digest", "left").where(F.col("win_raw").isNull() | is_win).drop("win_id", "win_raw")
-    win = win.withColumnRenamed("digest", "win_digest")
-    kept = rows.join(win, is_win & (F.col("digest") == F.col("win_digest")), "left_semi")
-    again = Window.partitionBy("digest", "id", "raw").orderBy(F.lit(0))
-    return kept.withColumn("again", F.row_number().over(again)).where("again = 1").select("row.*")
+    """The rows of ``df`` that stay, with its columns.  Fates are decided on narrow rows; see ``without`` for the texts."""
+    fate = decide(df, id, text, k).where("group_size > 1").groupBy("id", "raw", "size").agg(F.max("kept").alias("one"), F.min("kept").alias("all"))
+    return without(df, id, text, cut(fate.where("NOT all").drop("all")))
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
