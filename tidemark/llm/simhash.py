@@ -22,11 +22,11 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.llm.common import forget, small_batches, stored, table
+from tidemark.llm.common import forget, small_batches, stored, table, text_key, without
 from tidemark.llm.components import components
 
 #: Fingerprints in a tree at most; larger buckets have several trees.
@@ -200,9 +200,10 @@ def links(prints: DataFrame, radius: int = 3) -> DataFrame:
 
 
 def classes(df: DataFrame, id: str = "doc_id", text: str = "text", radius: int = 3, shingle: int = 3) -> DataFrame:
-    """For each row: id, fp, root (a fingerprint that names the class), component (the smallest id that links lead to)."""
+    """For each row: id, raw and size (of the text), fp, root (a fingerprint that names the class), component (the smallest
+    id that links lead to)."""
     rows = with_fingerprint(df.select(F.col(id).alias("id"), F.col(text).alias("text")), "text", "fp", shingle)
-    rows = stored(rows.select("id", "fp"), "prints")
+    rows = stored(rows.select("id", "fp", *text_key(F.col("text"))), "prints")
     prints = stored(rows.groupBy("fp").agg(F.min("id").alias("first")), "distinct")
     root = components(links(prints.select("fp"), radius))
     known = stored(prints.join(root, prints["fp"] == root["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root")), "roots")
@@ -212,15 +213,28 @@ def classes(df: DataFrame, id: str = "doc_id", text: str = "text", radius: int =
     return rows.join(named, "fp")
 
 
-def dedup(df: DataFrame, id: str = "doc_id", text: str = "text", radius: int = 3, shingle: int = 3) -> DataFrame:
-    """One row of each class, with the columns of ``df``: of the smallest id, and of its fingerprints the smallest."""
-    found = classes(df, id, text, radius, shingle).where(F.col("id").eqNullSafe(F.col("component")))
-    win = found.groupBy("root").agg(F.min("fp").alias("win_fp"), F.first("component").alias("win_id")).drop("root")
-    rows = df.select(F.struct("*").alias("row"), F.col(id).alias("id"), F.col(text).alias("text"))
-    rows = with_fingerprint(rows, "text", "fp", shingle).drop("text")
-    kept = rows.join(win, (F.col("fp") == F.col("win_fp")) & F.col("id").eqNullSafe(F.col("win_id")), "left_semi")
-    again = Window.partitionBy("fp", "id").orderBy(F.lit(0))
-    return kept.withColumn("again", F.row_number().over(again)).where("again = 1").select("row.*")
+def dedup(df: DataFrame, id: str = "doc_id", text: str = "text", radius: int = 3, shingle: int = 3, similarity: float | None = None) -> DataFrame:
+    """One row of each class, with the columns of ``df``: of the smallest id, and of its texts that of the smallest hash.
+
+    With a ``similarity`` documents link not by fingerprints alone but if so much of their shingles' union is in both:
+    fingerprints within ``radius`` are then candidates only, inside the buckets of ``near_dedup``.
+    """
+    if similarity is not None:
+        from tidemark.llm import near_dedup
+
+        found = near_dedup.classes(df, id, text, radius, shingle, similarity)
+    else:
+        found = classes(df, id, text, radius, shingle)
+    return one_of_each(df, id, text, found)
+
+
+def one_of_each(df: DataFrame, id: str, text: str, found: DataFrame) -> DataFrame:
+    """One row of each class, of rows (id, raw, size, root) of ``df``; classes are decided on narrow rows, by minima."""
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "raw", "size")
+    found = stored(found.groupBy("root", "id", "raw", "size").agg(F.count("*").alias("m")), "rows")
+    win = stored(found.groupBy("root").agg(F.min(order).alias("win"), F.sum("m").alias("all")).where("all > 1"), "winners")
+    fate = found.join(win, "root").withColumn("one", order == F.col("win"))
+    return without(df, id, text, stored(fate.where("NOT one OR m > 1").select("id", "raw", "size", "one"), "doomed"))
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
