@@ -8,7 +8,6 @@ import struct
 import zlib
 from collections import Counter, defaultdict
 
-import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -16,7 +15,7 @@ import pytest
 import xxhash
 
 import corpus_pipeline
-from tidemark.llm import exact_dedup, quality_rules, simhash, substring_dedup
+from test_near_dedup import firsts, linked
 from tidemark.llm.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -255,7 +254,7 @@ def test_pipeline(spark, sf):
     text = {r["doc_id"]: r["text"] for r in first.collect()}
     assert text.items() <= documents(sf).items()
     text = {i: text[i] for i, (_, keep, _) in exact_groups(text).items() if keep == i}
-    text = {i: text[i] for i, c in classes(prints(text)).items() if c == i}
+    text = {i: text[i] for i in firsts(text, linked(text))}
     left = {i: w for i, w in left_words(text).items() if w or not words(text[i])}
     frame = docs.where(docs.doc_id.isin(list(text)) if text else "false")
     cut = stage["substring_dedup"](spark, frame, sf)
@@ -263,18 +262,3 @@ def test_pipeline(spark, sf):
     kept = {r["doc_id"]: r["text"] for r in cut.collect()}
     assert {i: words(t) for i, t in kept.items()} == left
     check_pieces([r.asDict() for r in corpus_pipeline.run(spark, sf).collect()], kept)
-
-
-def test_nulls_repeated_rows_and_clashing_names(spark):
-    """Null and repeated ids, repeated rows, and columns named like those that operators make."""
-    from pyspark.sql import functions as F
-
-    rows = [(None, PROSE), (1, PROSE), (1, PROSE), (2, None), (None, None), (3, PROSE + "more")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    for c in ("row", "id", "mark", "spans", "n_words", "kept", "digest", "fingerprint", "component_id", "keep_id", "score"):
-        docs = docs.withColumn(c, F.lit(c))
-    for f in (exact_dedup.dedup, simhash.dedup, substring_dedup.dedup, quality_rules.clean):
-        out = f(docs)
-        assert set(docs.columns) <= set(out.columns)
-        got = pd.DataFrame([r.asDict() for r in out.collect()])
-        assert len(got) <= len(rows)

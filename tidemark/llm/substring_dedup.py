@@ -14,7 +14,7 @@ document, and cut out of it.  Windows meet by a 64-bit key and are then compared
 
 Defined results: a null text has no words; documents of fewer than ``width`` words keep all; a null id counts as
 largest; rows of equal id never remove each other's words, and repeated rows get equal results; an empty table gives no
-rows; other columns pass through ``dedup`` whatever their names.
+rows; other columns pass through ``dedup`` whatever their names; ids that are no whole numbers raise TypeError.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, IntegralType, LongType, StringType, StructField, StructType
 
 from tidemark.llm.common import small_batches, table
 
@@ -310,6 +310,8 @@ def judged(df: DataFrame, id: str = "doc_id", text: str = "text", width: int = 1
 
     kept_text is the text without the removed words and the white space after them; a text that loses none is unchanged.
     """
+    if not isinstance(df.schema[id].dataType, IntegralType):
+        raise TypeError(f"ids must be whole numbers, as documents are compared by them, but {id} is {df.schema[id].dataType.simpleString()}")
     others = [F.col(f"`{c}`") for c in df.columns if c != text]
     rows = df.select(F.struct(F.col(f"`{text}`").isNull().alias("no text"), *others).alias("row"), F.col(id).cast("long").alias("id"), F.coalesce(text, F.lit("")).alias("text"))
     # only rows of equal ids need a mark of their text to be told apart
