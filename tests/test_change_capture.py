@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 from tidemark.config import Config, Selector
-from tidemark.operators import parse, reassembly
+from tidemark.operators import reassembly
 from tidemark.plans import queries as core
 
 SF = "/root/testdata/sf0.001"
@@ -34,33 +34,6 @@ def test_query_is_its_sql(spark, name):
     assert rows(got.columns, got.collect()) == rows([d[0] for d in want.description], want.fetchall())
 
 
-def images(spark, *sql):
-    out = parse.parse(spark.createDataFrame([(i, x) for i, x in enumerate(sql)], "seq long, sql_redo string")).orderBy("seq").collect()
-    return [(r["before"], r["after"], r["parsed"]) for r in out]
-
-
-def test_statements(spark):
-    got = images(
-        spark,
-        """insert into "SIT"."TEST_TAB"("ID","STRING","TIME") values ('1','it''s where "x"',TIMESTAMP ' 2020-01-13 15:45:01.000000')""",
-        """update "SIT"."TEST_TAB" set "STRING" = NULL where "ID" = '1' and "STRING" = 'a where b' and "LONG" IS NULL""",
-        """delete from "SIT"."TEST_TAB" where "ID" = '1' and "D" = DATE '2020-01-13'""",
-        "alter table x move",
-        "",
-        None,
-    )
-    assert got[0] == (None, {"ID": "1", "STRING": 'it\'s where "x"', "TIME": "2020-01-13 15:45:01.000000"}, True)
-    assert got[1] == ({"ID": "1", "STRING": "a where b"}, {"STRING": None}, True)
-    assert got[2] == ({"ID": "1", "D": "2020-01-13"}, None, True)
-    assert got[3:] == [(None, None, False)] * 3
-
-
-def test_long_statement(spark):
-    names, long = [f"C{i}" for i in range(502)], "a" * 4000
-    sql = f"""insert into "S"."T"({",".join(f'"{n}"' for n in names)}) values ({",".join([f"'{long}'"] * 502)})"""
-    assert images(spark, sql) == [(None, dict.fromkeys(names, long), True)]
-
-
 def test_pieces_of_a_statement(spark):
     from tidemark.schema import LOG
 
@@ -73,6 +46,18 @@ def test_pieces_of_a_statement(spark):
 def test_settings():
     c = Config.of({"db.name": "shop", "table.whitelist": "A.T, B"})
     assert c.selectors == [Selector("A", "T"), Selector("B")] and c["db.fetch.size"] == c["batch.size"] == 1000
-    for bad in ({"db.name": "x"}, {"db.name": "", "table.whitelist": "A"}, {"db.name": "x", "table.whitelist": "A", "other": 1}, {"db.name": "x", "table.whitelist": "A", "db.dictionary": "NO"}):
+    for bad in ({"db.name": "x"}, {"db.name": "", "table.whitelist": "A"}, {"db.name": "x", "table.whitelist": "A", "db.dictionary": "NO"}):
         with pytest.raises(ValueError):
             Config.of(bad)
+    with pytest.warns(UserWarning, match="other"):
+        Config.of({"db.name": "x", "table.whitelist": "A", "other": 1, "name": "job", "tasks.max": "1"})
+    assert Config.of({"db.name": "x", "table.whitelist": "A", "db.any.dictionary": "REDO_LOG"})["db.dictionary"] == "REDO_LOG"
+    with pytest.raises(ValueError, match="db.sid"):
+        c.for_database()
+
+
+def test_settings_file(tmp_path):
+    at = tmp_path / "job.properties"
+    at.write_text("# a job\nname=job\nstart.scn=0\ndb.name=shop\ndb.sid=XE\ndb.hostname=127.0.0.1\ndb.port=1521\t\ndb.user=u\ndb.user.password=p=q\n\nbatch.size=10\ntable.whitelist=A.T, B")
+    c = Config.read(str(at)).for_database()
+    assert (c["db.port"], c["db.user.password"], c["batch.size"], c["db.fetch.size"], c.selectors) == (1521, "p=q", 10, 10, [Selector("A", "T"), Selector("B")])

@@ -23,12 +23,23 @@ def number(text: Column, kind: str | DataType, strict: bool = True) -> Column:
     return text.cast(kind) if strict else text.try_cast(kind)
 
 
+def fraction_digits(text: Column) -> Column:
+    """The digits after the point that the number of a text needs, by its digits alone (0 or less for whole numbers)."""
+    exponent = F.coalesce(F.regexp_extract(text, r"[eE]([+-]?\d+)\s*$", 1).try_cast("int"), F.lit(0))
+    mantissa = F.regexp_extract(text, r"^\s*[+-]?([\d.]*)", 1)
+    digits = F.replace(mantissa, F.lit("."))
+    told = F.length(F.regexp_extract(mantissa, r"\.(\d*)$", 1))
+    return F.when(F.rtrim(digits, F.lit("0")) == "", F.lit(0)).otherwise(told - exponent - (F.length(digits) - F.length(F.rtrim(digits, F.lit("0")))))
+
+
 def decimal(text: Column, precision: int, scale: int, strict: bool = True) -> Column:
-    """A decimal of exactly this value: a text that would have to be rounded is an error."""
-    wide = DecimalType(38, 38 - (precision - scale))
+    """A decimal of exactly this value: a text that would have to be rounded is an error.
+
+    Digits are counted in the text, so this holds for 38 digits too, where no wider type could tell.
+    """
     narrow = DecimalType(precision, scale)
-    near, exact = text.try_cast(narrow), text.try_cast(wide)
-    fits = near.isNotNull() & (near.cast(wide) == exact)
+    near = text.try_cast(narrow)
+    fits = near.isNotNull() & (fraction_digits(text) <= scale)
     bad = F.raise_error(F.concat(F.lit(f"no decimal({precision},{scale}): "), text)).cast(narrow) if strict else F.lit(None).cast(narrow)
     return F.when(text.isNull(), F.lit(None).cast(narrow)).when(fits, near).otherwise(bad)
 

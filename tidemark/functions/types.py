@@ -12,8 +12,9 @@ from tidemark.functions import convert
 
 #: Types of the catalog that are texts.  Fixed values.
 TEXTS = ("CHAR", "VARCHAR", "VARCHAR2", "NVARCHAR2", "CLOB", "NCLOB", "LONG", "NCHAR")
-#: Scale of numbers without one: a decimal of 38 digits has to do for 79 with 40 after the point.
-FREE_SCALE = 10
+#: Scale of numbers without one: a decimal of 38 digits has to do for 79 with 40 after the point.  A number that needs more
+#: is an error, never rounded; None as the scale keeps such columns as texts, which lose nothing.
+FREE_SCALE = 20
 
 
 class UnsupportedTypeError(ValueError):
@@ -25,13 +26,13 @@ def scale_or_null(scale: Column, precision: Column) -> Column:
     return F.when(scale.isNotNull() & ~((scale == 0) & (F.coalesce(precision, F.lit(0)) == 0)), scale)
 
 
-def type_name(kind: Column, precision: Column, scale: Column) -> Column:
+def type_name(kind: Column, precision: Column, scale: Column, free_scale: int | None = FREE_SCALE) -> Column:
     """The engine type of a catalog column, as text; null if it is not supported.  ``scale``: after ``scale_or_null``."""
     p = F.coalesce(precision, F.lit(0))
     whole = F.when(p > 9, "bigint").when(p > 4, "int").when(p > 2, "smallint").otherwise("tinyint")
     wide = F.concat(F.lit("decimal("), F.least(F.greatest(p - F.least(scale, F.lit(0)), p), F.lit(38)), F.lit(","), F.greatest(scale, F.lit(0)), F.lit(")"))
     number = (
-        F.when(scale.isNull(), f"decimal(38,{FREE_SCALE})")
+        F.when(scale.isNull(), "string" if free_scale is None else f"decimal(38,{free_scale})")
         .when((p < 19) & scale.between(-84, 0), whole)
         .when((p < 19) & (p > 0), "double")
         .when(p < 19, F.concat(F.lit("decimal(38,"), scale, F.lit(")")))
@@ -43,14 +44,14 @@ def type_name(kind: Column, precision: Column, scale: Column) -> Column:
     )
 
 
-def data_type(kind: str, precision: int | None, scale: int | None) -> DataType:
-    """The same for one column, on the driver."""
+def data_type(kind: str, precision: int | None, scale: int | None, free_scale: int | None = FREE_SCALE) -> DataType:
+    """The same for one column, on the driver (a test holds one against the other)."""
     p = precision or 0
     if scale == 0 and p == 0:
         scale = None
     if kind == "NUMBER":
         if scale is None:
-            return DecimalType(38, FREE_SCALE)
+            return StringType() if free_scale is None else DecimalType(38, free_scale)
         if p < 19 and -84 <= scale <= 0:
             return LongType() if p > 9 else IntegerType() if p > 4 else ShortType() if p > 2 else ByteType()
         if p < 19:
@@ -66,16 +67,18 @@ def data_type(kind: str, precision: int | None, scale: int | None) -> DataType:
     raise UnsupportedTypeError(f"columns of type {kind} are not supported")
 
 
-def field(column: dict) -> StructField:
+def field(column: dict, free_scale: int | None = FREE_SCALE) -> StructField:
     """A field of a catalog row (column_name, data_type, data_precision, data_scale, nullable, comments, data_default)."""
     meta = {"catalog_type": column["data_type"], "catalog_scale": column.get("data_scale")}
+    if isinstance(kind := data_type(column["data_type"], column.get("data_precision"), column.get("data_scale"), free_scale), DecimalType):
+        meta["decimal_precision"] = kind.precision
     meta |= {k: column[c] for k, c in (("comment", "comments"), ("default", "data_default")) if column.get(c) is not None}
-    return StructField(column["column_name"], data_type(column["data_type"], column.get("data_precision"), column.get("data_scale")), column["nullable"] == "Y", meta)
+    return StructField(column["column_name"], kind, column["nullable"] == "Y", meta)
 
 
-def row_schemas(columns: list[dict], keys: set[str]) -> tuple[StructType, StructType | None]:
+def row_schemas(columns: list[dict], keys: set[str], free_scale: int | None = FREE_SCALE) -> tuple[StructType, StructType | None]:
     """(value, key) schemas of a table; a table without a primary key has a null key."""
-    fields = [field(c) for c in sorted(columns, key=lambda c: c["column_id"])]
+    fields = [field(c, free_scale) for c in sorted(columns, key=lambda c: c["column_id"])]
     key = [f for f in fields if f.name in keys]
     return StructType(fields), StructType(key) if key else None
 

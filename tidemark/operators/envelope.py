@@ -31,9 +31,19 @@ def source_struct(connector: str, ts: Column, tx: Column, scn: Column, owner: Co
     )
 
 
+#: How the error begins that a column unknown to the schema raises.
+UNKNOWN = "unknown column"
+
+
 def typed_struct(image: Column, schema: StructType, zone: str) -> Column:
-    """A map of texts as a typed row; absent columns are null, an absent image is a null row."""
-    return F.when(image.isNotNull(), F.struct(*[types.typed(image[f.name], f, zone).alias(f.name) for f in schema]))
+    """A map of texts as a typed row; absent columns are null, an absent image is a null row.
+
+    A column that the schema lacks is an error, as its value would be lost: the table has changed (see ``plans.cdc``).
+    """
+    lacking = unknown_columns(image, schema)
+    row = F.struct(*[types.typed(image[f.name], f, zone).alias(f.name) for f in schema])
+    error = F.raise_error(F.concat(F.lit(f"{UNKNOWN} of this schema: "), F.array_join(lacking, ", "))).cast(StructType([*schema.fields]))
+    return F.when(image.isNull(), F.lit(None)).when(F.size(lacking) > 0, error).otherwise(row)
 
 
 def unknown_columns(image: Column, schema: StructType) -> Column:

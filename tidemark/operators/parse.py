@@ -1,7 +1,10 @@
 """Row images from redo statements, with SQL functions only.
 
-A statement is cut into tokens once: typed literals, strings, quoted names, calls (one token, kept as text), words and
-signs.  Images are maps from column names to texts; a column that the statement compares with IS NULL is absent.
+A statement is cut into tokens once: typed literals, strings, quoted names, calls and brackets inside expressions (one token,
+up to ``DEPTH`` deep), numbers, words, and signs.  What stands between commas or conditions is a slice of the tokens: a
+single one is a literal or a name, more are an expression, kept as its text.  Only ``=`` gives an equality of a condition;
+of a name that comes twice the last value holds.  Images are maps from column names to texts; a column that the statement
+compares with IS NULL is absent.  What is not understood, brackets too deep among it, is not parsed, never parsed wrongly.
 """
 
 from __future__ import annotations
@@ -11,33 +14,51 @@ from pyspark.sql import functions as F
 
 from tidemark.schema import UPDATE
 
-_STRING = r"'(?:[^']++|'')*+'"
-#: Comments, typed literals, strings, quoted names, calls on a right-hand side, words, signs.
-TOKEN = rf"(?i)--[^\n]*|/\*(?s:.*?)\*/|\b(?:TIMESTAMP|DATE)\s*{_STRING}|{_STRING}|\"[^\"]*\"|(?<=[=,(]|[=,(] )\w+\s*\((?:[^()']|{_STRING})*\)|[\w$#.+-]+|[(),=]"
+#: Brackets inside brackets of one expression.
+DEPTH = 12
+
+_STRING, _NAME = r"'(?:[^']++|'')*+'", r'"[^"]*+"'
+
+
+def _brackets(depth: int) -> str:
+    return rf"\((?:[^()'\"]++|{_STRING}|{_NAME}|{_brackets(depth - 1)})*+\)" if depth else rf"\((?:[^()'\"]++|{_STRING}|{_NAME})*+\)"
+
+
+_DEEP = _brackets(DEPTH)
+#: Comments; literals with a type or a prefix; strings; names; calls and brackets of expressions; numbers; words; signs.
+TOKEN = "|".join((
+    r"(?i)--[^\n]*+|/\*(?s:.*?)\*/", rf"\b(?:TIMESTAMP|DATE)\s*{_STRING}", rf"(?:\b[NU])?{_STRING}", _NAME,
+    rf"(?<=[=,(|+*/<>-]\s{{0,9}})(?:[\w$#.]++\s*)?{_DEEP}", rf"(?<=\b(?:and|or|not|where)\s{{1,9}})(?!(?:and|or|not)\b)[\w$#.]++\s*{_DEEP}",
+    r"\d[\d.]*+(?:e[+-]?\d++)?(?![\w$#])", r"[\w$#.@]++", r"\|\||[<>!^]=|<>|[^\s\w]",
+))
 
 
 def tokens(sql: Column) -> Column:
-    """The tokens of a statement, without comments."""
-    return F.filter(F.regexp_extract_all(sql, F.lit(TOKEN), F.lit(0)), lambda x: ~x.startswith("--") & ~x.startswith("/*"))
+    """The tokens of a statement, without comments and a semicolon at the end."""
+    return F.filter(F.regexp_extract_all(sql, F.lit(TOKEN), F.lit(0)), lambda x: ~x.startswith("--") & ~x.startswith("/*") & (x != ";"))
 
 
 def decode_literal(token: Column) -> Column:
     """NULL is null; of a date, timestamp or string the text inside; of a name the name; anything else as it stands."""
     inside = F.replace(F.regexp_extract(token, r"(?s)'(.*)'$", 1), F.lit("''"), F.lit("'"))
     return (
-        F.when(F.upper(token) == "NULL", F.lit(None).cast("string")).when(token.startswith("'"), inside).when(token.rlike(r"(?i)^(?:TIMESTAMP|DATE)\s*'"), F.ltrim(inside))
+        F.when(F.upper(token) == "NULL", F.lit(None).cast("string")).when(token.rlike("(?i)^[NU]?'"), inside).when(token.rlike(r"(?i)^(?:TIMESTAMP|DATE)\s*'"), F.ltrim(inside))
         .when(token.startswith('"'), F.regexp_replace(token, '^"|"$', "")).otherwise(token)
     )
 
 
-def _map(pairs: Column) -> Column:
-    return F.map_from_arrays(F.transform(pairs, lambda p: decode_literal(p["name"])), F.transform(pairs, lambda p: decode_literal(p["value"])))
+def _text(part: Column) -> Column:
+    """The value that some tokens stand for: of one its literal, of more their text (null for none)."""
+    # a sign in front belongs to what comes after it
+    signed = F.concat(F.array(F.concat(part[0], F.get(part, F.lit(1)))), F.slice(part, 3, F.greatest(F.size(part) - 2, F.lit(0))))
+    joined = F.array_join(F.when(part[0].isin("-", "+") & (F.size(part) > 1), signed).otherwise(part), " ")
+    return F.when(F.size(part) == 1, decode_literal(part[0])).when(F.size(part) > 1, joined)
 
 
-def _equalities(part: Column) -> Column:
-    """(name, value) around each = of tokens."""
-    at = F.filter(F.sequence(F.lit(1), F.greatest(F.size(part), F.lit(1))), lambda i: (F.try_element_at(part, i) == "=") & (i > 1) & (i < F.size(part)))
-    return F.transform(at, lambda i: F.struct(F.try_element_at(part, i - 1).alias("name"), F.try_element_at(part, i + 1).alias("value")))
+def _name(part: Column) -> Column:
+    """The column that tokens name: of a qualified name the last."""
+    last = F.try_element_at(part, F.lit(-1))
+    return F.when(last.startswith('"'), decode_literal(last)).otherwise(F.array_join(part, " "))
 
 
 def _between(array: Column, first: Column, stop: Column) -> Column:
@@ -50,44 +71,87 @@ def _let(value: Column, then) -> Column:
     return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
+def _split(part: Column, is_cut) -> Column:
+    """The runs of tokens between those that ``is_cut`` takes; an empty list of tokens is one empty run."""
+    ends = F.filter(F.sequence(F.lit(1), F.size(part) + 1), lambda i: (i > F.size(part)) | is_cut(F.lower(F.coalesce(F.try_element_at(part, i), F.lit("")))))
+    return _let(ends, lambda e: F.transform(e, lambda stop, k: _between(part, F.coalesce(F.get(e, k - 1), F.lit(0)) + 1, stop)))
+
+
+def _commas(part: Column) -> Column:
+    return _split(part, lambda x: x == ",")
+
+
+def _equality(part: Column) -> Column:
+    """The name and value around the = of a run of tokens; a null name if there is none."""
+    at = F.array_position(part, "=").cast("int")
+    two = (at > 1) & (at < F.size(part))
+    return F.struct(F.when(two, _name(_between(part, F.lit(1), at))).alias("name"), F.when(two, _text(_between(part, at + 1, F.size(part) + 1))).alias("value"))
+
+
+def _map(pairs: Column) -> Column:
+    """A map of pairs; of a name that comes twice the last value."""
+    named = lambda p: F.transform(p, lambda x: x["name"])
+    last = lambda p: F.filter(p, lambda x, i: ~F.array_contains(named(F.slice(p, i + 2, F.size(p))), x["name"]))
+    one = _let(pairs, lambda p: F.when(F.size(F.array_distinct(named(p))) < F.size(p), last(p)).otherwise(p))
+    return F.map_from_entries(one)
+
+
 def _places(low: Column) -> Column:
     at = lambda word: F.array_position(low, word).cast("int")
     return F.struct(F.try_element_at(low, F.lit(1)).alias("kind"), at("(").alias("opens"), at("values").alias("values"), at("set").alias("sets"), at("where").alias("where"))
 
 
-def _clauses(t: Column, at: Column) -> Column:
-    """The tokens of a statement's parts: names and items of an insert, old and new equalities of the others."""
-    plain = lambda part: F.filter(part, lambda x: x != ",")
+def _parts(t: Column, at: Column) -> Column:
+    """The runs of tokens of a statement: names and items of an insert, assignments and conditions of the others."""
     end, opens, values, sets, where = F.size(t) + 1, at["opens"], at["values"], at["sets"], at["where"]
+    insert, update = at["kind"] == "insert", at["kind"] == "update"
+    separates = lambda x: x.isin("and", "or", "not", "(", ")")
     return F.struct(
-        F.when(at["kind"] == "insert", plain(_between(t, opens + 1, values - 1))).alias("names"), F.when(at["kind"] == "insert", plain(_between(t, values + 2, end - 1))).alias("items"),
-        F.when(where > 0, _between(t, where + 1, end)).alias("old"), F.when(at["kind"] == "update", _between(t, sets + 1, F.when(where > 0, where).otherwise(end))).alias("new"),
+        F.when(insert, _commas(_between(t, opens + 1, values - 1))).alias("names"), F.when(insert, _commas(_between(t, values + 2, end - 1))).alias("items"),
+        F.when(update & (sets > 0), _commas(_between(t, sets + 1, F.when(where > 0, where).otherwise(end)))).alias("new"),
+        F.when(~insert & (where > 0), F.filter(F.transform(_split(_between(t, where + 1, end), separates), _equality), lambda x: x["name"].isNotNull())).alias("old"),
     )
 
 
 def _pairs(at: Column, part: Column) -> Column:
-    zipped = F.zip_with(part["names"], part["items"], lambda a, b: F.struct(a.alias("name"), b.alias("value")))
-    return F.struct(F.when(at["kind"] == "insert", zipped).otherwise(_equalities(part["new"])).alias("new"), _equalities(part["old"]).alias("old"))
+    zipped = F.zip_with(part["names"], part["items"], lambda a, b: F.struct(_name(a).alias("name"), _text(b).alias("value")))
+    return F.struct(F.when(at["kind"] == "insert", zipped).otherwise(F.transform(part["new"], _equality)).alias("new"), part["old"].alias("old"))
 
 
 def _images(t: Column, at: Column, part: Column, pairs: Column) -> Column:
     opens, values, sets, where = at["opens"], at["values"], at["sets"], at["where"]
-    whole = (opens > 0) & (values > opens) & (F.try_element_at(t, F.lit(-1)) == ")") & (F.size(part["names"]) == F.size(part["items"])) & (F.size(part["names"]) > 0)
-    ok = F.when(at["kind"] == "insert", whole).when(at["kind"] == "update", (sets > 0) & (where > sets) & (F.size(pairs["new"]) > 0)).when(at["kind"] == "delete", where > 0)
-    ok = F.coalesce(ok, F.lit(False))
+    n = lambda sign, tokens: F.size(F.filter(tokens, lambda x: x == sign))
+    filled = lambda runs: ~F.exists(runs, lambda x: F.size(x) == 0)
+    lists = (opens > 2) & (values > opens + 1) & (n("(", t) == 2) & (n(")", t) == 2) & (F.try_element_at(t, values + 1) == "(") & (F.try_element_at(t, values - 1) == ")")
+    whole = lists & (F.try_element_at(t, F.lit(-1)) == ")") & (F.size(part["names"]) == F.size(part["items"])) & filled(part["names"]) & filled(part["items"])
+    own = _between(t, F.lit(1), F.when(where > 0, where).otherwise(F.size(t) + 1))
+    named = ~F.exists(pairs["new"], lambda x: x["name"].isNull())
+    balanced = n("(", t) == n(")", t)
+    ok = (
+        F.when(at["kind"] == "insert", whole & named).when(at["kind"] == "update", (sets > 0) & (where > sets) & (n("(", own) == 0) & named & balanced)
+        .when(at["kind"] == "delete", (where > 0) & balanced)
+    )
+    ok = F.coalesce(ok, F.lit(False)) & ~F.array_contains(t, "'") & ~F.array_contains(t, '"')
     before, after = F.when(ok & (at["kind"] != "insert"), _map(pairs["old"])), F.when(ok & (at["kind"] != "delete"), _map(pairs["new"]))
     return F.struct(before.alias("before"), after.alias("after"), ok.alias("parsed"))
 
 
 def images(sql: Column) -> Column:
     """A statement as struct<before, after, parsed>; it is cut into tokens once."""
-    return _let(tokens(sql), lambda t: _let(_places(F.transform(t, F.lower)), lambda at: _let(_clauses(t, at), lambda part: _let(_pairs(at, part), lambda pairs: _images(t, at, part, pairs)))))
+    return _let(tokens(sql), lambda t: _let(_places(F.transform(t, F.lower)), lambda at: _let(_parts(t, at), lambda part: _let(_pairs(at, part), lambda pairs: _images(t, at, part, pairs)))))
 
 
 def parse(changes: DataFrame) -> DataFrame:
-    """``changes`` with ``before`` and ``after``, and ``parsed``: whether the statement could be read."""
-    rows = changes.withColumn("_images", images(F.col("sql_redo")))
-    return rows.select(*changes.columns, "_images.before", "_images.after", "_images.parsed")
+    """``changes`` with ``before`` and ``after``, and ``parsed``: whether the statement could be read.
+
+    The images are generated, one for each row: no filter or projection above can be put below and so parse again.
+    """
+    return changes.select("*", F.inline(F.array(images(F.col("sql_redo")))))
+
+
+def spread(changes: DataFrame) -> DataFrame:
+    """The same rows dealt evenly for parsing, which costs far more than a row's size tells: small partitions are not merged."""
+    return changes.repartition(int(changes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "seq")
 
 
 def drop_unparsable(changes: DataFrame) -> DataFrame:

@@ -1,31 +1,37 @@
 """Statements that a redo log splits over several rows.
 
-A row goes on from the one before it in the log (of the same transaction) if that one has csf = 1.  Operation, SCN, row
-id and table are of the first piece; time, user and status of the last.
+A row with csf = 1 goes on in the next row of the log, the one whose ``seq`` is larger by one (of the same transaction).
+Operation, SCN, row id and table are of the first piece; time, user and status of the last.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.ranges import last_before
+
 
 def reassemble(rows: DataFrame) -> DataFrame:
     """One row for each statement, with its pieces' texts joined in order.
 
-    Only rows of split statements are windowed and gathered by transaction; all others pass through.
+    Whether a row goes on from another is an equi-join with the places of pieces, narrow rows that are broadcast while they
+    are few, and are spread evenly beyond.  Only pieces are gathered, in ranges of places; all other rows pass through.
     """
-    order = Window.partitionBy("xid").orderBy("seq")
     goes_on = F.coalesce(F.col("csf"), F.lit(0)) == 1
-    rows = rows.withColumn("follows", F.coalesce(F.lag(F.coalesce(F.col("csf"), F.lit(0))).over(order) == 1, F.lit(False)))
-    whole = rows.where(~goes_on & ~F.col("follows")).drop("follows")
-    pieces = rows.where(goes_on | F.col("follows")).withColumn("statement", F.sum((~F.col("follows")).cast("int")).over(order))
+    next_ = rows.where(goes_on).select(F.col("xid").alias("_xid"), (F.col("seq") + 1).alias("_seq"))
+    flagged = rows.join(next_, F.col("xid").eqNullSafe(F.col("_xid")) & (F.col("seq") == F.col("_seq")), "left")
+    follows = F.col("_seq").isNotNull()
+    whole = flagged.where(~goes_on & ~follows).select(*rows.columns)
+    pieces = flagged.where(goes_on | follows).withColumn("follows", follows).drop("_xid", "_seq")
+    # a piece belongs to the last beginning up to it
+    pieces = last_before(pieces, ["xid"], "seq", F.when(~F.col("follows"), F.col("seq")), "begin")
     late = ("timestamp", "username", "status")
     last = {c: F.max_by(c, "seq").alias(c) for c in late}
-    first = {c: F.min_by(c, "seq").alias(c) for c in rows.columns if c not in (*late, "seq", "xid", "sql_redo", "csf", "follows")}
+    first = {c: F.min_by(c, "seq").alias(c) for c in rows.columns if c not in (*late, "seq", "xid", "sql_redo", "csf")}
     text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("seq", "sql_redo"))), lambda x: F.coalesce(x["sql_redo"], F.lit(""))), "")
-    joined = pieces.groupBy("xid", "statement").agg(F.min("seq").alias("seq"), *first.values(), *last.values(), text.alias("sql_redo"), F.lit(0).alias("csf"))
-    return whole.unionByName(joined.drop("statement"))
+    joined = pieces.groupBy("xid", "begin").agg(*first.values(), *last.values(), text.alias("sql_redo"), F.lit(0).alias("csf"))
+    return whole.unionByName(joined.withColumnRenamed("begin", "seq"))
 
 
 def not_contiguous(rows: DataFrame) -> DataFrame:

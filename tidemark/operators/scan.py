@@ -60,10 +60,11 @@ def gap(log: DataFrame, expected_scn: int) -> DataFrame:
     return log.where(F.col("scn") >= expected_scn).agg(F.min("scn").alias("first_scn")).withColumn("gap", F.col("first_scn") > expected_scn)
 
 
-def drop_temporary(changes: DataFrame) -> DataFrame:
+def drop_temporary(rows: DataFrame) -> DataFrame:
     """Without changes of temporary tables; a statement that is null stays."""
-    return changes.where(~F.coalesce(F.col("sql_redo").contains(TEMPORARY), F.lit(False)))
+    return rows.where(F.col("operation").isin("COMMIT", "ROLLBACK") | ~F.coalesce(F.col("sql_redo").contains(TEMPORARY), F.lit(False)))
 
 
-def drop_unreadable(changes: DataFrame) -> DataFrame:
-    return changes.where(F.coalesce(F.col("status"), F.lit(0)) != UNREADABLE)
+def drop_unreadable(rows: DataFrame) -> DataFrame:
+    """Without changes that the log could not read; the end of a transaction counts whatever its status."""
+    return rows.where(F.col("operation").isin("COMMIT", "ROLLBACK") | (F.coalesce(F.col("status"), F.lit(0)) != UNREADABLE))

@@ -10,9 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Levels of the intervals that sequence numbers are dealt into.
-LEVELS = 62
-
+from tidemark.operators.ranges import range_of, ranked
 
 def is_terminator() -> Column:
     return F.col("operation").isin("COMMIT", "ROLLBACK")
@@ -38,14 +36,25 @@ def committed_changes(rows: DataFrame) -> DataFrame:
     return done.drop("end_operation").withColumnRenamed("end_seq", "commit_seq").withColumnRenamed("end_scn", "commit_scn")
 
 
-def with_ordinal(committed: DataFrame) -> DataFrame:
-    """The place of each change in its transaction, from 1."""
-    return committed.withColumn("ordinal", F.row_number().over(Window.partitionBy("xid", "commit_seq").orderBy("seq")))
+def with_ordinal(committed: DataFrame, total: str | None = None) -> DataFrame:
+    """The place of each change in its transaction, from 1, and on request the transaction's size; counted by ranges of the log."""
+    return ranked(committed, ["xid", "commit_seq"], "seq", "ordinal", total)
 
 
 def emission_order(committed: DataFrame) -> DataFrame:
-    """Changes in the order of commits, then of the log.  A total sort: by ranges of commits, not in one task."""
-    return committed.orderBy("commit_seq", "seq")
+    """The ``place`` of each change in the order of commits, then of the log, from 1.
+
+    Commits are few rows each, ranked by ranges of the log; a change comes ``ordinal`` after the changes of earlier commits.
+    """
+    done = with_ordinal(committed)
+    per = committed.groupBy("commit_seq").agg(F.count("*").alias("_n")).withColumn("_range", range_of("commit_seq"))
+    up_to = Window.partitionBy("_range").orderBy("commit_seq").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = per.groupBy("_range").agg(F.sum("_n").alias("_of_range"))
+    # one row for each range of 1 << BITS places
+    ranges = ranges.select(F.col("_range").alias("_r"), F.coalesce(F.sum("_of_range").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_earlier"))
+    starts = per.withColumn("_inside", F.coalesce(F.sum("_n").over(up_to), F.lit(0))).join(ranges, F.col("_range") == F.col("_r"))
+    starts = starts.select(F.col("commit_seq").alias("_commit"), (F.col("_earlier") + F.col("_inside")).alias("_start"))
+    return done.join(starts, F.col("commit_seq") == F.col("_commit")).withColumn("place", F.col("_start") + F.col("ordinal")).drop("_commit", "_start")
 
 
 def sizes(rows: DataFrame) -> DataFrame:
@@ -65,9 +74,9 @@ def opened(rows: DataFrame) -> DataFrame:
     return per.agg(F.min("seq").alias("start_seq"), F.min_by("scn", "seq").alias("min_scn"))
 
 
-def _nodes(first: str, stop: str):
+def _nodes(first: str, stop: str, levels: int) -> Column:
     """The aligned intervals, as (level, number), whose union is [first, stop): at most two of each level."""
-    text = f"""flatten(transform(sequence(0, {LEVELS}), k -> filter(array(
+    text = f"""flatten(transform(sequence(0, {levels}), k -> filter(array(
         named_struct('level', k, 'number', shiftright({first} + shiftleft(1L, k) - 1, k), 'use',
             (shiftright({first} + shiftleft(1L, k) - 1, k) & 1L) = 1 AND shiftright({first} + shiftleft(1L, k) - 1, k) < shiftright({stop}, k)),
         named_struct('level', k, 'number', shiftright({stop}, k) - 1, 'use',
@@ -81,22 +90,24 @@ def low_watermark(rows: DataFrame) -> DataFrame:
     """For each commit the smallest min_scn of the transactions open at its place: xid, commit_seq, low_scn (null: none).
 
     Intervals of places are cut into aligned intervals, at most two a level, and a place lies in one of each level: an
-    equi-join with at most 63 rows for a commit, instead of all pairs of commits and open transactions.
+    equi-join with a row for a commit and level, instead of all pairs of commits and open transactions.  The largest place
+    in the log, which is read first, bounds the levels.
     """
-    spans = opened(rows).select("min_scn", (F.col("start_seq") + 1).alias("first"), F.coalesce("end_seq", F.lit(1 << 61)).alias("stop"))
-    nodes = spans.select("min_scn", F.explode(_nodes("first", "stop")).alias("n")).groupBy("n.level", "n.number").agg(F.min("min_scn").alias("low"))
+    stop = (rows.agg(F.max("seq").alias("stop")).first()["stop"] or 0) + 1
+    levels = stop.bit_length()
+    spans = opened(rows).select("min_scn", (F.col("start_seq") + 1).alias("first"), F.coalesce("end_seq", F.lit(stop)).alias("stop"))
+    nodes = spans.select("min_scn", F.explode(_nodes("first", "stop", levels)).alias("n")).groupBy("n.level", "n.number").agg(F.min("min_scn").alias("low"))
     commits = rows.where("operation = 'COMMIT'").select("xid", F.col("seq").alias("commit_seq"))
-    at = commits.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS)))).withColumn("number", F.expr("shiftright(commit_seq, level)"))
+    at = commits.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(levels)))).withColumn("number", F.expr("shiftright(commit_seq, level)"))
     return at.join(nodes, ["level", "number"], "left").groupBy("xid", "commit_seq").agg(F.min("low").alias("low_scn"))
 
 
 def record_offsets(rows: DataFrame, batch_size: int) -> DataFrame:
     """Committed changes with ordinal and offset: the SCN up to which everything is done, the commit's SCN, and whether the
     record is of its transaction's last batch.  Rows that can't be parsed count, as they take their place in a batch."""
-    committed = with_ordinal(committed_changes(rows))
-    n = F.count("*").over(Window.partitionBy("xid", "commit_seq"))
-    last = F.floor((F.col("ordinal") - 1) / batch_size) == F.floor((n - 1) / batch_size)
+    committed = with_ordinal(committed_changes(rows), "n")
+    last = F.floor((F.col("ordinal") - 1) / batch_size) == F.floor((F.col("n") - 1) / batch_size)
     low = low_watermark(rows).select("xid", "commit_seq", "low_scn")
     marked = committed.withColumn("complete", last).join(low, ["xid", "commit_seq"], "left")
     offset = F.struct(F.lit("cdc").alias("type"), F.least("scn", "low_scn").alias("scn"), F.col("commit_scn").alias("commitScn"), F.col("complete").alias("isTransactionComplete"))
-    return marked.withColumn("offset", offset).drop("complete", "low_scn")
+    return marked.withColumn("offset", offset).drop("complete", "low_scn", "n")

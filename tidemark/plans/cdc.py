@@ -1,13 +1,16 @@
-"""The whole way from a redo log to change records."""
+"""The whole way from a redo log to change records, as a batch and as a stream."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import Config
 from tidemark.operators import envelope, parse, reassembly, scan, transactions
 from tidemark.sources.catalog import Catalog, tables_of
+from tidemark.streaming import transactions as streaming
 
 CONNECTOR = "tidemark"
 
@@ -20,23 +23,93 @@ def changes(log: DataFrame, config: Config, scn: int = 0, commit_scn: int = 0, c
     return transactions.record_offsets(kept, config["batch.size"])
 
 
-def records(log: DataFrame, config: Config, catalog: Catalog, columns: DataFrame, **offset) -> dict[tuple[str, str], DataFrame]:
-    """Change records (topic, key, value, part, offset) of each selected table; each table has its own row types."""
-    # only committed changes are parsed
-    parsed = parse.drop_unparsable(changes(log, config, **offset))
+def of_tables(parsed: DataFrame, config: Config, catalog: Catalog) -> dict[tuple[str, str, int | None], DataFrame]:
+    """Change records of parsed changes, by owner, table and version of the table (None: the latest).
+
+    With db.dictionary REDO_LOG a change is read by the schema that its table had at its SCN, if the catalog has versions;
+    with ONLINE by the latest.  Each has its own row types.  A column that the schema lacks is an error when it is read.
+    """
     out = {}
-    for owner, table in dict.fromkeys(tables_of(columns, config.selectors)):
-        value, key = catalog.schemas(owner, table)
+    for owner, table in dict.fromkeys(tables_of(catalog.columns, config.selectors)):
         own = parsed.where((F.col("seg_owner") == owner) & (F.col("table_name") == table))
-        rows = envelope.envelopes(own, value, key, config["db.name"], CONNECTOR, config["db.timezone"])
-        good, _ = envelope.split_invalid(rows, value)
-        out[owner, table] = envelope.with_tombstones(good, config["tombstones.on.delete"])
+        starts = catalog.versions(owner, table) if config["db.dictionary"] == "REDO_LOG" else [None]
+        for k, start in enumerate(starts):
+            rows = own
+            if start is not None:
+                # the first version holds for what is older, too
+                rows = rows.where(F.col("scn") >= start) if k else rows
+                rows = rows.where(F.col("scn") < starts[k + 1]) if k + 1 < len(starts) else rows
+            value, key = catalog.schemas(owner, table, start)
+            made = envelope.envelopes(rows, value, key, config["db.name"], CONNECTOR, config["db.timezone"])
+            good, _ = envelope.split_invalid(made, value)
+            out[owner, table, start] = envelope.with_tombstones(good, config["tombstones.on.delete"])
     return out
 
 
-def needs_refresh(log: DataFrame, config: Config, catalog: Catalog, owner: str, table: str) -> bool:
-    """Whether a committed change has a column that the catalog as read lacks; then ``catalog.refresh`` and read again."""
-    value, _ = catalog.schemas(owner, table)
-    parsed = parse.drop_unparsable(changes(log, config)).where((F.col("seg_owner") == owner) & (F.col("table_name") == table))
-    both = F.concat(*[F.coalesce(envelope.unknown_columns(F.col(c), value), F.array().cast("array<string>")) for c in ("before", "after")])
-    return not parsed.where(F.size(both) > 0).isEmpty()
+def records(log: DataFrame, config: Config, catalog: Catalog, **offset) -> dict[tuple[str, str, int | None], DataFrame]:
+    """Change records (topic, key, value, part, offset) of each selected table, after an offset.
+
+    Changes meet their commits before they are parsed, so what was rolled back never is; then each is parsed once.
+    """
+    return of_tables(parse.drop_unparsable(parse.spread(changes(log, config, **offset))), config, catalog)
+
+
+def as_texts(parts: dict[tuple[str, str, int | None], DataFrame]) -> DataFrame:
+    """Records of several tables as one: topic, key and value as JSON (a null value for a tombstone), and the other columns."""
+    rows = [p.withColumn("key", F.to_json("key") if dict(p.dtypes)["key"] != "void" else F.lit(None).cast("string")).withColumn("value", F.to_json("value")) for p in parts.values()]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+def with_refresh(catalog: Catalog, deliver: Callable[[], None]) -> None:
+    """Deliver; if a change has a column that the catalog lacks, read the catalog again and deliver once more.
+
+    A second failure, and any other, goes to the caller.  ``deliver`` has to replace what a failed attempt has written.
+    """
+    try:
+        deliver()
+    except Exception as e:
+        if envelope.UNKNOWN not in str(e):
+            raise
+        catalog.refresh()
+        deliver()
+
+
+def write(log: DataFrame, config: Config, catalog: Catalog, path: str, **offset) -> None:
+    """Write the records of all tables after an offset as Parquet, replacing what is there."""
+    with_refresh(catalog, lambda: as_texts(records(log, config, catalog, **offset)).write.mode("overwrite").parquet(path))
+
+
+def stored_offset(spark, path: str) -> dict | None:
+    """The offset to go on from after the records under ``path``: of the last commit there its last record's; None without any."""
+    done = spark.read.parquet(path).where("offset IS NOT NULL")
+    last = done.orderBy(F.desc("offset.commitScn"), F.desc("seq"), F.desc("part")).select("offset.*").head()
+    return last.asDict() if last else None
+
+
+def stream(log: DataFrame, config: Config, catalog: Catalog, path: str, checkpoint: str, poll_ms: int | None = None):
+    """The same from a streaming log: each batch's committed changes, written as Parquet under ``path``/batch=n.
+
+    Open transactions and the place in the log are in the checkpoint; a batch that is run again after a failure replaces
+    its own files, so every record is there once.  What comes out of a batch are whole transactions, so statements are put
+    together, numbered and parsed there.
+    """
+    streaming.use_rocksdb(log.sparkSession)
+
+    def batch(rows: DataFrame, n: int) -> None:
+        rows = scan.drop_unreadable(scan.drop_temporary(reassembly.reassemble(rows)))
+        parsed = parse.drop_unparsable(parse.spread(transactions.with_ordinal(rows)))
+        with_refresh(catalog, lambda: as_texts(of_tables(parsed, config, catalog)).write.mode("overwrite").parquet(f"{path}/batch={n}"))
+
+    out = streaming.committed(scan.scan(log, config.selectors)).writeStream.foreachBatch(batch)
+    return streaming.started(out.option("checkpointLocation", checkpoint).outputMode("append"), poll_ms)
+
+
+def hand_over(snapshot_scn: int | None, log: DataFrame, config: Config, catalog: Catalog) -> dict[tuple[str, str, int | None], DataFrame]:
+    """The records of the log after a snapshot as of an SCN (None: no snapshot; start.scn counts)."""
+    from tidemark.sources.snapshot import handover
+
+    at = handover(None if snapshot_scn is None else {"scn": snapshot_scn}, config["start.scn"])
+    return records(log, config, catalog, scn=at["scn"], commit_scn=at["commitScn"], complete=at["isTransactionComplete"])

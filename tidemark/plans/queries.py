@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.config import Selector
+from tidemark.config import Config, Selector
 from tidemark.functions import convert, names, types
 from tidemark.operators import envelope, parse, reassembly, scan, transactions
+from tidemark.plans import cdc
 from tidemark.plans.cdc import CONNECTOR
 from tidemark.sources import catalog, logfiles, snapshot, synth
 
@@ -96,7 +97,7 @@ def drop_unreadable(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"{REDO} SELECT {_SLIM} FROM d WHERE k % 103 <> 0")
 def drop_unparsable(spark: SparkSession, sf: str) -> DataFrame:
-    return parse.drop_unparsable(synth.redo(spark, sf).where("operation_code < 4")).select(*SLIM)
+    return parse.drop_unparsable(parse.spread(synth.redo(spark, sf).where("operation_code < 4"))).select(*SLIM)
 
 
 @query(f"{REDO} SELECT min(scn) AS first_scn, min(scn) > 5005 AS gap FROM redo WHERE scn >= 5005")
@@ -114,22 +115,7 @@ def committed_changes(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"{REDO} SELECT seq, xid, row_number() OVER (ORDER BY commit_seq, seq) AS place FROM done")
 def emission_order(spark: SparkSession, sf: str) -> DataFrame:
-    """The order as a rank: rows of one commit are ranked together, raised by the sizes of the commits before."""
-    done = transactions.with_ordinal(transactions.committed_changes(synth.redo(spark, sf))).select("seq", "xid", "commit_seq", "ordinal")
-    per = done.groupBy("commit_seq").agg(F.count("*").alias("n")).withColumn("bucket", F.expr("commit_seq div 10000"))
-    within = F.sum("n").over(_window("bucket", "commit_seq"))
-    per = per.withColumn("inside", within - F.col("n"))
-    buckets = per.groupBy("bucket").agg(F.sum("n").alias("of_bucket"))
-    buckets = buckets.withColumn("before", F.sum("of_bucket").over(_window(None, "bucket")) - F.col("of_bucket")).select("bucket", "before")
-    starts = per.join(buckets, "bucket").select("commit_seq", (F.col("before") + F.col("inside")).alias("start"))
-    return done.join(starts, "commit_seq").select("seq", "xid", (F.col("start") + F.col("ordinal")).alias("place"))
-
-
-def _window(by: str | None, order: str):
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(by) if by else Window.partitionBy(F.lit(0))
-    return w.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    return transactions.emission_order(transactions.committed_changes(synth.redo(spark, sf))).select("seq", "xid", "place")
 
 
 @query(f"{REDO} SELECT d.xid, t.operation AS end_operation, count(*) AS n FROM d JOIN t ON d.xid = t.xid GROUP BY ALL")
@@ -178,21 +164,23 @@ def csf_reassembly(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _image(spark: SparkSession, sf: str, operation: str, image: str, columns: list[str]) -> DataFrame:
-    rows = synth.redo(spark, sf).where((F.col("operation") == operation) & (F.expr("(scn div 10 - 1) % 103 <> 0 AND (scn div 10 - 1) % 101 <> 0")))
-    return parse.drop_unparsable(rows).select("seq", F.size(image).alias("n_columns"), *[F.col(image)[c].alias(c.lower()) for c in columns])
+    rows = synth.redo(spark, sf).where(F.col("operation") == operation)
+    rows = parse.drop_unparsable(parse.spread(rows if operation == "INSERT" else scan.drop_temporary(rows)))
+    return rows.select("seq", F.size(image).alias("n_columns"), *[F.col(image)[c].alias(c.lower()) for c in columns])
 
 
 _GOOD = "k % 103 <> 0 AND k % 101 <> 0"
 
 
-@query(f"{REDO} SELECT (k + 1) * 10 AS seq, 5 AS n_columns, k::VARCHAR AS id, cust::VARCHAR AS cust, cents::VARCHAR AS cents, prio, placed FROM o WHERE st = 'O' AND {_GOOD}")
+@query(f"""{REDO} SELECT (k + 1) * 10 AS seq, 5 AS n_columns, k::VARCHAR AS id, cust::VARCHAR AS cust, cents::VARCHAR AS cents, prio, placed FROM o WHERE st = 'O' AND {_GOOD}
+UNION ALL SELECT (k + 1) * 10, 1, k::VARCHAR, NULL, NULL, NULL, NULL FROM o WHERE st = 'O' AND k % 101 = 0 AND k % 103 <> 0""")
 def parse_insert(spark: SparkSession, sf: str) -> DataFrame:
     return _image(spark, sf, "INSERT", "after", ["ID", "CUST", "CENTS", "PRIO", "PLACED"])
 
 
 @query(f"{REDO} SELECT (k + 1) * 10 AS seq, CASE WHEN prio IS NULL THEN 2 ELSE 3 END AS n_columns, k::VARCHAR AS id, prio, placed, cents::VARCHAR AS new_cents, true AS cust_set, NULL::VARCHAR AS new_cust FROM o WHERE st = 'P' AND {_GOOD}")
 def parse_update(spark: SparkSession, sf: str) -> DataFrame:
-    rows = synth.redo(spark, sf).where("operation = 'UPDATE' AND (scn div 10 - 1) % 103 <> 0 AND (scn div 10 - 1) % 101 <> 0")
+    rows = parse.spread(scan.drop_temporary(synth.redo(spark, sf).where("operation = 'UPDATE'")))
     b, a = F.col("before"), F.col("after")
     return parse.drop_unparsable(rows).select(
         "seq", F.size("before").alias("n_columns"), b["ID"].alias("id"), b["PRIO"].alias("prio"), b["PLACED"].alias("placed"), a["CENTS"].alias("new_cents"),
@@ -205,6 +193,21 @@ def parse_delete(spark: SparkSession, sf: str) -> DataFrame:
     return _image(spark, sf, "DELETE", "before", ["ID", "PRIO", "PLACED"])
 
 
+@query("""SELECT o_orderkey AS k, true AS parsed, 1 AS n_before, o_orderkey::VARCHAR AS id, '''x'' || ''y' || o_orderkey || '''' AS a, 'NVL(TO_CHAR(' || o_orderkey || '),''z, where'')' AS b,
+o_orderkey || ' + 2' AS c, '-' || o_orderkey AS n FROM orders WHERE o_orderkey % 3 = 0
+UNION ALL SELECT o_orderkey, true, -1, NULL, 'UNISTR(''e4'') || UNISTR(''' || o_orderkey || ''')', 'f(g(h(' || o_orderkey || ', '')'')), 2)', '(1 + (' || o_orderkey || ' * 3))', NULL FROM orders WHERE o_orderkey % 3 = 1
+UNION ALL SELECT o_orderkey, o_orderkey % 2 = 0, CASE WHEN o_orderkey % 2 = 0 THEN 2 ELSE -1 END, CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey::VARCHAR END, NULL, NULL, NULL, NULL FROM orders WHERE o_orderkey % 3 = 2""")
+def parse_expressions(spark: SparkSession, sf: str) -> DataFrame:
+    """Operators, calls in calls, arithmetic, comparisons other than =, repeated columns, and statements that break off."""
+    texts = F.expr("""CASE WHEN k % 3 = 0 THEN concat('update "T" set "A" = ''x'' || ''y', k, ''', "B" = NVL(TO_CHAR(', k, '),''z, where''), "C" = ', k, ' + 2, "N" = -', k,
+            ' where "ID" >= 5 and "ID" = ''0'' and "ID" = ', k, ' and "D" <> 3 and "E" between 1 and ', k)
+        WHEN k % 3 = 1 THEN concat('insert into T(A, "B", C, "N") values (UNISTR(''e4'') || UNISTR(''', k, '''), f(g(h(', k, ', '')'')), 2), (1 + (', k, ' * 3)), NULL)')
+        ELSE concat('delete from "T" where ("ID" = ', k, ' or "X" = ''a and b'')', if(k % 2 = 0, '', ' and "Y" = ''it')) END""")
+    rows = spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_orderkey").alias("k"), F.col("o_orderkey").alias("seq")).withColumn("sql_redo", texts)
+    a = F.col("after")
+    return parse.parse(parse.spread(rows)).select("k", "parsed", F.coalesce(F.size("before"), F.lit(-1)).alias("n_before"), F.col("before")["ID"].alias("id"), a["A"].alias("a"), a["B"].alias("b"), a["C"].alias("c"), a["N"].alias("n"))
+
+
 @query("""SELECT o_orderkey AS k, 'quote''s ' || o_orderpriority AS a, strftime(o_orderdate, '%Y-%m-%d') AS b, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS c, NULL::VARCHAR AS d, o_custkey::VARCHAR AS e, 'Name' AS f, 'HEXTORAW(''AB'')' AS g FROM orders""")
 def decode_literal(spark: SparkSession, sf: str) -> DataFrame:
     o = spark.read.parquet(f"{sf}/orders.parquet")
@@ -225,7 +228,7 @@ def null_literal(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"{REDO} SELECT (k + 1) * 10 AS seq, k::VARCHAR AS id, cents::VARCHAR AS cents, prio, placed, NULL::VARCHAR AS cust, CASE WHEN prio IS NULL THEN 4 ELSE 5 END AS n_columns FROM o WHERE st = 'P' AND {_GOOD}")
 def after_image(spark: SparkSession, sf: str) -> DataFrame:
-    rows = parse.drop_unparsable(synth.redo(spark, sf).where("operation = 'UPDATE' AND (scn div 10 - 1) % 103 <> 0 AND (scn div 10 - 1) % 101 <> 0"))
+    rows = parse.drop_unparsable(parse.spread(scan.drop_temporary(synth.redo(spark, sf).where("operation = 'UPDATE'"))))
     rows = rows.withColumn("image", parse.after_image(F.col("operation_code"), F.col("before"), F.col("after")))
     return rows.select("seq", *[F.col("image")[c].alias(c.lower()) for c in ("ID", "CENTS", "PRIO", "PLACED", "CUST")], F.size("image").alias("n_columns"))
 
@@ -244,12 +247,20 @@ def cast_numeric(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("""SELECT o_orderkey AS k, o_orderkey * 100 + 25 AS hundredths, o_orderkey % 2 = 0 AS fits FROM orders""")
+@query("""SELECT o_orderkey AS k, o_orderkey * 100 + 25 AS hundredths, o_orderkey % 2 = 0 AS fits, o_orderkey || '.51665878295898400000' AS long, false AS long_in_10, o_orderkey % 4 = 0 AS wide, true AS zeros, o_orderkey * 10 AS scaled FROM orders""")
 def cast_decimal(spark: SparkSession, sf: str) -> DataFrame:
+    """Values that fit, at 38 digits too, and values that would have to be rounded."""
     o = spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_orderkey").alias("k"))
     exact = convert.decimal(F.concat("k", F.lit(".25")), 20, 2)
     perhaps = convert.decimal(F.concat("k", F.when(F.col("k") % 2 == 0, ".250").otherwise(".256")), 20, 2, strict=False)
-    return o.select("k", (exact * 100).cast("long").alias("hundredths"), perhaps.isNotNull().alias("fits"))
+    long = F.concat("k", F.lit(".516658782958984"))
+    wide = F.concat(F.when(F.col("k") % 4 == 0, F.repeat(F.lit("9"), F.lit(28))).otherwise(F.repeat(F.lit("9"), F.lit(29))), F.lit(".5"))
+    return o.select(
+        "k", (exact * 100).cast("long").alias("hundredths"), perhaps.isNotNull().alias("fits"), convert.decimal(long, 38, types.FREE_SCALE).cast("string").alias("long"),
+        convert.decimal(long, 38, 10, strict=False).isNotNull().alias("long_in_10"), convert.decimal(wide, 38, 10, strict=False).isNotNull().alias("wide"),
+        (convert.decimal(F.concat("k", F.lit(".00000000000000000000000000000000000000000")), 38, 10) == F.col("k")).alias("zeros"),
+        convert.decimal(F.concat("k", F.lit(".0E1")), 38, 0).cast("long").alias("scaled"),
+    )
 
 
 @query("SELECT event_id, (epoch_us(ts) // 1000) AS ms FROM events")
@@ -306,7 +317,7 @@ def default_temporal(spark: SparkSession, sf: str) -> DataFrame:
 
 _TYPES = [
     ("NUMBER", 2, 0, "tinyint"), ("NUMBER", 3, 0, "smallint"), ("NUMBER", 4, 0, "smallint"), ("NUMBER", 5, 0, "int"), ("NUMBER", 10, 0, "bigint"), ("NUMBER", 20, 0, "decimal(20,0)"),
-    ("NUMBER", None, None, "decimal(38,10)"), ("NUMBER", 0, 0, "decimal(38,10)"), ("NUMBER", 8, 2, "double"), ("NUMBER", 0, 3, "decimal(38,3)"), ("NUMBER", 30, 4, "decimal(30,4)"),
+    ("NUMBER", None, None, "decimal(38,20)"), ("NUMBER", 0, 0, "decimal(38,20)"), ("NUMBER", 8, 2, "double"), ("NUMBER", 0, 3, "decimal(38,3)"), ("NUMBER", 30, 4, "decimal(30,4)"),
     ("NUMBER", 20, -3, "decimal(23,0)"), ("NUMBER", 2, -3, "tinyint"), ("DATE", None, None, "date"), ("TIMESTAMP(6)", None, 6, "timestamp"), ("TIMESTAMP(9) WITH TIME ZONE", None, 9, "timestamp"),
     ("TIMESTAMP(6) WITH LOCAL TIME ZONE", None, 6, "timestamp"), ("VARCHAR2", None, None, "string"), ("CHAR", None, None, "string"), ("NCHAR", None, None, "string"), ("NVARCHAR2", None, None, "string"),
     ("CLOB", None, None, "string"), ("BINARY_FLOAT", None, None, "float"), ("BINARY_DOUBLE", None, None, "double"), ("RAW", None, None, None), ("BLOB", None, None, None),
@@ -337,8 +348,8 @@ VALUE, KEY = types.row_schemas(_COLUMNS, {"ID"})
 
 
 def _records(spark: SparkSession, sf: str) -> DataFrame:
-    rows = transactions.committed_changes(synth.redo(spark, sf)).where("(scn div 10 - 1) % 101 <> 0")
-    return envelope.envelopes(parse.drop_unparsable(rows), VALUE, KEY, "shop-db", CONNECTOR)
+    rows = transactions.committed_changes(scan.drop_temporary(synth.redo(spark, sf)))
+    return envelope.envelopes(parse.drop_unparsable(parse.spread(rows)), VALUE, KEY, "shop-db", CONNECTOR)
 
 
 _LETTER = "CASE st WHEN 'F' THEN 'd' WHEN 'O' THEN 'i' ELSE 'u' END"
@@ -386,7 +397,7 @@ def valid_table_name(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("id", names.valid_table_name(F.col("name")).alias("valid"))
 
 
-# Snapshots
+# Snapshots of a page, and of several tables
 
 
 def _table(spark: SparkSession, sf: str) -> DataFrame:
@@ -394,27 +405,6 @@ def _table(spark: SparkSession, sf: str) -> DataFrame:
     return o.select(F.col("o_orderkey").alias("ID"), F.col("o_custkey").alias("CUST"), F.col("o_orderkey").alias("row_id"), ((F.col("o_orderkey") + 1) * 10).alias("row_scn"))
 
 
-@query("SELECT o_orderkey AS id, o_custkey AS cust FROM orders WHERE (o_orderkey + 1) * 10 <= 5000")
-def snapshot_read(spark: SparkSession, sf: str) -> DataFrame:
-    rows = snapshot.read(snapshot.as_of(_table(spark, sf), 5000), "SALES", "ORDERS", 5000, CONNECTOR)
-    return rows.select(F.col("after.ID").alias("id"), F.col("after.CUST").alias("cust"))
-
-
-@query("""SELECT 'r' AS op, true AS no_before, o_orderkey AS id, 0 AS ms, 'NOT AVAILABLE' AS tx_id, (o_orderkey + 1) * 10 AS scn, NULL::VARCHAR AS username, 'select' AS offset_type, 5000 AS offset_scn, o_orderkey::VARCHAR AS offset_row FROM orders WHERE (o_orderkey + 1) * 10 <= 5000""")
-def snapshot_envelope(spark: SparkSession, sf: str) -> DataFrame:
-    rows = snapshot.read(snapshot.as_of(_table(spark, sf), 5000), "SALES", "ORDERS", 5000, CONNECTOR)
-    s = F.col("source")
-    return rows.select(
-        "op", F.col("before").isNull().alias("no_before"), F.col("after.ID").alias("id"), F.unix_millis(s["ts_ms"]).alias("ms"), s["txId"].alias("tx_id"), s["scn"].alias("scn"),
-        s["user"].alias("username"), F.col("offset.type").alias("offset_type"), F.col("offset.scn").alias("offset_scn"), F.col("offset.rowId").alias("offset_row"),
-    )
-
-
-@query("SELECT o_orderkey AS id FROM orders WHERE o_orderkey > 250 AND (o_orderkey + 1) * 10 <= 5000")
-def snapshot_resume(spark: SparkSession, sf: str) -> DataFrame:
-    return snapshot.after(snapshot.as_of(_table(spark, sf), 5000), 250).select(F.col("ID").alias("id"))
-
-
 @query("SELECT o_orderkey AS id FROM orders WHERE o_orderkey > 250 ORDER BY o_orderkey LIMIT 100")
 def snapshot_page(spark: SparkSession, sf: str) -> DataFrame:
     return snapshot.page(_table(spark, sf), 100, 250).select(F.col("ID").alias("id"))
@@ -427,16 +417,7 @@ def snapshot_multi_table(spark: SparkSession, sf: str) -> DataFrame:
     return both.select("table_no", F.get_json_object("after", "$.ID").cast("long").alias("id"))
 
 
-@query(f"""{REDO}, h AS (SELECT d.seq, d.k FROM d JOIN t ON d.xid = t.xid WHERE t.operation = 'COMMIT' AND d.scn >= 5000 AND t.scn >= 5000 AND t.username = 'APP' AND NOT d.undone AND d.seg_owner = 'SALES')
-SELECT 'snapshot' AS part, (o_orderkey + 1) * 10 AS scn FROM orders WHERE (o_orderkey + 1) * 10 <= 5000 UNION ALL SELECT 'log', seq FROM h""")
-def snapshot_then_cdc(spark: SparkSession, sf: str) -> DataFrame:
-    snap = snapshot.read(snapshot.as_of(_table(spark, sf), 5000), "SALES", "ORDERS", 5000, CONNECTOR)
-    at = snapshot.handover({"type": "select", "scn": 5000})
-    log = transactions.committed_changes(scan.resume(synth.redo(spark, sf), SALES, at["scn"], at["commitScn"], at["isTransactionComplete"]))
-    return snap.select(F.lit("snapshot").alias("part"), "source.scn").unionByName(log.select(F.lit("log").alias("part"), "scn"))
-
-
-# The same as of SCNs of the log, so that snapshots grow with their table
+# Snapshots as of SCNs of the log, so that they grow with their table
 
 
 def _current(spark: SparkSession, sf: str) -> int:
@@ -447,14 +428,14 @@ _NOW = f"{REDO}, now AS (SELECT coalesce(max(scn), 0) AS scn0 FROM redo)"
 
 
 @query(f"{_NOW} SELECT o_orderkey AS id, o_custkey AS cust FROM orders, now WHERE (o_orderkey + 1) * 10 <= scn0")
-def snapshot_read_current(spark: SparkSession, sf: str) -> DataFrame:
+def snapshot_read(spark: SparkSession, sf: str) -> DataFrame:
     scn = _current(spark, sf)
     rows = snapshot.read(snapshot.as_of(_table(spark, sf), scn), "SALES", "ORDERS", scn, CONNECTOR)
     return rows.select(F.col("after.ID").alias("id"), F.col("after.CUST").alias("cust"))
 
 
 @query(f"""{_NOW} SELECT 'r' AS op, true AS no_before, o_orderkey AS id, 0 AS ms, 'NOT AVAILABLE' AS tx_id, (o_orderkey + 1) * 10 AS scn, NULL::VARCHAR AS username, 'select' AS offset_type, scn0 AS offset_scn, o_orderkey::VARCHAR AS offset_row FROM orders, now WHERE (o_orderkey + 1) * 10 <= scn0""")
-def snapshot_envelope_current(spark: SparkSession, sf: str) -> DataFrame:
+def snapshot_envelope(spark: SparkSession, sf: str) -> DataFrame:
     scn = _current(spark, sf)
     rows = snapshot.read(snapshot.as_of(_table(spark, sf), scn), "SALES", "ORDERS", scn, CONNECTOR)
     s = F.col("source")
@@ -465,13 +446,13 @@ def snapshot_envelope_current(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"{_NOW} SELECT o_orderkey AS id FROM orders, now WHERE o_orderkey > 250 AND (o_orderkey + 1) * 10 <= scn0")
-def snapshot_resume_current(spark: SparkSession, sf: str) -> DataFrame:
+def snapshot_resume(spark: SparkSession, sf: str) -> DataFrame:
     return snapshot.after(snapshot.as_of(_table(spark, sf), _current(spark, sf)), 250).select(F.col("ID").alias("id"))
 
 
 @query(f"""{_NOW}, h AS (SELECT d.seq FROM d JOIN t ON d.xid = t.xid, now WHERE t.operation = 'COMMIT' AND d.scn >= scn0 // 2 AND t.scn >= scn0 // 2 AND t.username = 'APP' AND NOT d.undone AND d.seg_owner = 'SALES')
 SELECT 'snapshot' AS part, (o_orderkey + 1) * 10 AS scn FROM orders, now WHERE (o_orderkey + 1) * 10 <= scn0 // 2 UNION ALL SELECT 'log', seq FROM h""")
-def snapshot_then_cdc_halfway(spark: SparkSession, sf: str) -> DataFrame:
+def snapshot_then_cdc(spark: SparkSession, sf: str) -> DataFrame:
     scn = _current(spark, sf) // 2
     snap = snapshot.read(snapshot.as_of(_table(spark, sf), scn), "SALES", "ORDERS", scn, CONNECTOR)
     at = snapshot.handover({"type": "select", "scn": scn})
@@ -519,7 +500,7 @@ def log_session_start(spark: SparkSession, sf: str) -> DataFrame:
     return one.join(logfiles.reusable(files, 9000).withColumn("one", F.lit(1)), "one").drop("one")
 
 
-@query("""SELECT * FROM (VALUES ('SIT', 'TEST_TAB', 'ID', 'N', NULL, true, 'int'), ('SIT', 'TEST_TAB', 'STRING', 'Y', 'My Comment', false, 'string'), ('SIT', 'TEST_TAB', 'BIG_DECIMAL', 'Y', NULL, false, 'decimal(38,10)'),
+@query("""SELECT * FROM (VALUES ('SIT', 'TEST_TAB', 'ID', 'N', NULL, true, 'int'), ('SIT', 'TEST_TAB', 'STRING', 'Y', 'My Comment', false, 'string'), ('SIT', 'TEST_TAB', 'BIG_DECIMAL', 'Y', NULL, false, 'decimal(38,20)'),
 ('SIT', 'SECOND_TAB', 'ID', 'Y', NULL, false, 'int')) AS v(owner, table_name, column_name, nullable, comments, in_key, type_name)""")
 def catalog_columns(spark: SparkSession, sf: str) -> DataFrame:
     cols = spark.sql("""SELECT * FROM VALUES ('SIT', 'TEST_TAB', 'ID', 'NUMBER', 8, 0, 'N'), ('SIT', 'TEST_TAB', 'STRING', 'VARCHAR2', NULL, NULL, 'Y'), ('SIT', 'TEST_TAB', 'BIG_DECIMAL', 'NUMBER', 0, 0, 'Y'),
@@ -536,17 +517,105 @@ def catalog_columns(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"{REDO} SELECT seq, xid, commit_seq, commit_scn FROM done")
 def streaming_txn(spark: SparkSession, sf: str) -> DataFrame:
     """The log as four files, read one in each batch; open transactions are state between them."""
-    import tempfile
-    import uuid
-
     from tidemark.streaming import transactions as streaming
 
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="tidemark-stream-")
-    base = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
-    log = synth.redo(spark, sf)
-    step = (log.agg(F.max("seq").alias("m")).first()["m"] or 0) // 4 + 1
-    for i in range(4):
-        log.where(F.expr(f"seq div {step} = {i}")).coalesce(1).write.mode("append").parquet(f"{base}/log")
+    base = _stream_dir(spark)
+    _write_in_parts(spark, synth.redo(spark, sf), f"{base}/log", range(4))
     streaming.use_rocksdb(spark)
     streaming.write(streaming.committed(streaming.log_files(spark, f"{base}/log")), f"{base}/out", f"{base}/checkpoint").awaitTermination()
     return spark.read.schema(streaming.OUT).parquet(f"{base}/out").select("seq", "xid", "commit_seq", "commit_scn")
+
+
+def _stream_dir(spark: SparkSession) -> str:
+    """A new folder that the driver and all executors share."""
+    import tempfile
+    import uuid
+
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if base is None and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return f"{(base or tempfile.mkdtemp(prefix='tidemark-stream-')).rstrip('/')}/stream-{uuid.uuid4().hex}"
+
+
+def _write_in_parts(spark: SparkSession, log: DataFrame, path: str, parts: range) -> None:
+    """The quarters of a log that ``parts`` names, one file each, in the order of the log."""
+    step = (log.agg(F.max("seq").alias("m")).first()["m"] or 0) // 4 + 1
+    for i in parts:
+        log.where(F.expr(f"seq div {step} = {i}")).coalesce(1).write.mode("append").parquet(path)
+
+
+# The whole job
+
+_CATALOG = [c | {"owner": "SALES", "table_name": t, "in_key": c["column_name"] == "ID", "comments": None, "data_default": None} for t in ("ORDERS", "ORDERS_HIST") for c in _COLUMNS]
+_CATALOG_TYPE = "owner string, table_name string, column_name string, data_type string, data_precision int, data_scale int, nullable string, column_id int, comments string, data_default string, in_key boolean"
+
+
+def _catalog(spark: SparkSession, without: tuple[str, ...] = (), reads: list | None = None) -> catalog.Catalog:
+    """The catalog of the synthetic tables; its first read lacks the columns ``without``."""
+    reads = [] if reads is None else reads
+
+    def load() -> DataFrame:
+        reads.append(1)
+        rows = [c for c in _CATALOG if len(reads) > 1 or c["column_name"] not in without]
+        return spark.createDataFrame(rows, _CATALOG_TYPE)
+
+    return catalog.Catalog(load)
+
+
+def _config(**more) -> Config:
+    return Config.of({"db.name": "shop-db", "table.whitelist": "SALES", "batch.size": 3} | more)
+
+
+_KEPT = f"""{REDO},
+r0 AS (SELECT * FROM d WHERE seg_owner = 'SALES' AND NOT undone AND status <> 2 AND NOT (k % 101 = 0 AND k % 103 <> 0)),
+spans0 AS (SELECT r0.xid, min(r0.seq) AS a, arg_min(r0.scn, r0.seq) AS s, max(t.seq) AS z FROM r0 LEFT JOIN t ON r0.xid = t.xid GROUP BY r0.xid),
+low0 AS (SELECT c.xid, (SELECT min(s) FROM spans0 WHERE a < c.seq AND (z IS NULL OR z > c.seq)) AS low FROM t AS c WHERE c.operation = 'COMMIT'),
+done0 AS (SELECT r0.*, t.seq AS commit_seq, t.scn AS commit_scn, row_number() OVER (PARTITION BY r0.xid ORDER BY r0.seq) AS ordinal, count(*) OVER (PARTITION BY r0.xid) AS n FROM r0 JOIN t ON r0.xid = t.xid WHERE t.operation = 'COMMIT'),
+sent AS (SELECT 'shop-db.SALES.' || table_name AS topic, k, seq, commit_seq, CASE operation WHEN 'DELETE' THEN 'd' WHEN 'INSERT' THEN 'i' ELSE 'u' END AS op, least(scn, low) AS offset_scn, commit_scn AS offset_commit_scn,
+    (ordinal - 1) // 3 = (n - 1) // 3 AS offset_complete FROM done0 JOIN low0 USING (xid) WHERE k % 103 <> 0)"""
+_SENT = "SELECT topic, k AS key_id, seq, 0 AS part, op, {more} FROM sent UNION ALL SELECT topic, k, seq, 1, NULL, {more} FROM sent WHERE op = 'd'"
+
+
+def _sent(rows: DataFrame, *more) -> DataFrame:
+    return rows.select("topic", F.get_json_object("key", "$.ID").cast("long").alias("key_id"), "seq", "part", F.get_json_object("value", "$.op").alias("op"), *more)
+
+
+@query(f"{_KEPT} {_SENT.format(more='offset_scn, offset_commit_scn, offset_complete')}")
+def cdc_records(spark: SparkSession, sf: str) -> DataFrame:
+    """The job as a batch: split statements of the whole log to records of all tables of a schema, with offsets and tombstones."""
+    log = synth.redo(spark, sf, users=False)
+    rows = cdc.as_texts(cdc.records(log, _config(), _catalog(spark)))
+    return _sent(rows, F.col("offset.scn").alias("offset_scn"), F.col("offset.commitScn").alias("offset_commit_scn"), F.col("offset.isTransactionComplete").alias("offset_complete"))
+
+
+@query(f"{_KEPT} {_SENT.format(more='commit_seq')}")
+def cdc_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The job as a stream: it ends after half of the log and goes on from its checkpoint; its catalog is out of date at first."""
+    base, log, catalog_ = _stream_dir(spark), synth.redo(spark, sf, users=False), _catalog(spark, without=("PRIO",))
+    from tidemark.streaming import transactions as streaming
+
+    for parts in (range(2), range(2, 4)):
+        _write_in_parts(spark, log, f"{base}/log", parts)
+        cdc.stream(streaming.log_files(spark, f"{base}/log"), _config(), catalog_, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return _sent(spark.read.parquet(f"{base}/out"), "commit_seq")
+
+
+@query(f"""{REDO}, h AS (SELECT d.seq, d.k FROM d JOIN t ON d.xid = t.xid, (SELECT max(scn) // 2 AS half FROM redo) WHERE t.operation = 'COMMIT' AND d.scn >= half AND t.scn >= half AND NOT d.undone AND d.seg_owner = 'SALES' AND d.status <> 2 AND d.k % 101 <> 0 AND d.k % 103 <> 0)
+SELECT 'snapshot' AS part, o_orderkey AS id FROM orders, (SELECT max(scn) // 2 AS half FROM redo) WHERE (o_orderkey + 1) * 10 <= half UNION ALL SELECT 'log', k FROM h""")
+def cdc_hand_over(spark: SparkSession, sf: str) -> DataFrame:
+    """A snapshot as of half of the log, then the records of the log from its SCN on."""
+    log, scn = synth.redo(spark, sf, users=False), _current(spark, sf) // 2
+    snap = snapshot.read(snapshot.as_of(_table(spark, sf), scn), "SALES", "ORDERS", scn, CONNECTOR)
+    after = cdc.as_texts(cdc.hand_over(scn, log, _config(**{"tombstones.on.delete": False}), _catalog(spark)))
+    return snap.select(F.lit("snapshot").alias("part"), F.col("after.ID").alias("id")).unionByName(after.select(F.lit("log").alias("part"), F.get_json_object("key", "$.ID").cast("long").alias("id")))
+
+
+@query("""SELECT event_id, epoch_ms(date_trunc('day', ts)) // 86400000 AS day, epoch_us(ts AT TIME ZONE 'Europe/Berlin') // 1000 AS ms, CASE WHEN event_id % 5 <> 0 THEN event_id END AS number, event_id::VARCHAR || '.25' AS exact FROM events""")
+def snapshot_extract(spark: SparkSession, sf: str) -> DataFrame:
+    """A table's values by their catalog types: dates cut to the day, wall clocks of a zone, nulls, decimals."""
+    e = spark.read.parquet(f"{sf}/events.parquet")
+    rows = e.select("event_id", F.col("ts").alias("D"), F.col("ts").cast("timestamp_ntz").alias("T"), F.expr("CASE WHEN event_id % 5 <> 0 THEN CAST(event_id AS DECIMAL(20, 0)) END").alias("N"), F.expr("CAST(concat(event_id, '.25') AS DECIMAL(30, 4))").alias("X"))
+    column = lambda name, kind, p, s, k: {"column_name": name, "data_type": kind, "data_precision": p, "data_scale": s, "nullable": "Y", "column_id": k}
+    schema, _ = types.row_schemas([column("event_id", "NUMBER", 18, 0, 1), column("D", "DATE", None, None, 2), column("T", "TIMESTAMP(6)", None, 6, 3), column("N", "NUMBER", 12, 0, 4), column("X", "NUMBER", 30, 2, 5)], set())
+    got = snapshot.extract(rows, schema, "Europe/Berlin")
+    return got.select("event_id", F.unix_date("D").cast("long").alias("day"), F.unix_millis("T").alias("ms"), F.col("N").alias("number"), F.col("X").cast("string").alias("exact"))

@@ -1,4 +1,8 @@
-"""Adapters to databases and brokers.  They need drivers that this machine lacks and are not tested here."""
+"""Adapters to databases and brokers.  They need drivers that this machine lacks and are not tested here.
+
+``log_query`` calls a table function ``mined_log`` that the database's owner has to install: it starts a mining session over
+the files, returns its rows numbered in their order (``seq``), and ends the session.
+"""
 
 from __future__ import annotations
 
@@ -12,6 +16,7 @@ from tidemark.config import Config
 
 def jdbc(spark: SparkSession, config: Config, query: str) -> DataFrame:
     """A query's rows; connecting is tried db.attempts times, db.backoff.ms apart."""
+    config = config.for_database()
     options = {
         "url": f"jdbc:oracle:thin:@{config['db.hostname']}:{config['db.port']}:{config['db.sid']}", "user": config["db.user"], "password": config["db.user.password"],
         "query": query, "fetchsize": str(config["db.fetch.size"]),
@@ -26,6 +31,27 @@ def jdbc(spark: SparkSession, config: Config, query: str) -> DataFrame:
     raise ValueError("db.attempts must be 1 or more")
 
 
+def is_valid(spark: SparkSession, config: Config, timeout_s: int = 1) -> bool:
+    """Whether the database answers; each read opens its own connection, so nothing has to be opened again."""
+    try:
+        return jdbc(spark, Config(config.values | {"db.attempts": 1}), f"SELECT 1 AS one FROM DUAL /* within {timeout_s} s */").head() is not None
+    except Exception:
+        return False
+
+
+def log_query(files: list[str], from_scn: int, strategy: str) -> str:
+    """The log rows from an SCN on, out of a mining session that has the files; a session of its own for each query.
+
+    ONLINE reads names by the database's catalog; REDO_LOG by the dictionary in the files, which follows changes of tables.
+    """
+    if strategy not in ("ONLINE", "REDO_LOG"):
+        raise ValueError("db.dictionary must be ONLINE or REDO_LOG")
+    how = "ONLINE_CATALOG" if strategy == "ONLINE" else "REDO_LOGS_DDL"
+    names = ", ".join("'" + x.replace("'", "''") + "'" for x in files)
+    columns = "seq, scn, timestamp, operation, operation_code, rollback, seg_owner, table_name, username, sql_redo, row_id, csf, xid, status"
+    return f"SELECT {columns} FROM TABLE(mined_log(file_list({names}), {from_scn}, '{how}'))"
+
+
 def snapshot_query(owner: str, table: str, scn: int, last_row_id: str | None = None) -> str:
     """A table's rows as of an SCN, with row ids and versions, after the last that was read."""
     after = f" WHERE t.ROWID > '{last_row_id}'" if last_row_id else ""

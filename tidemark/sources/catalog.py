@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -34,10 +36,18 @@ def tables_of(cols: DataFrame, selectors: list[Selector]) -> list[tuple[str, str
 
 
 class Catalog:
-    """Schemas of tables as of the latest catalog, or as of an SCN if catalog rows carry ``from_scn``; read once a table."""
+    """Schemas of tables as of the latest catalog, or as of an SCN if catalog rows carry ``from_scn``; read once a table.
+
+    ``load`` reads the catalog (see ``columns``), now and at each refresh.
+    """
+
+    def __init__(self, load: Callable[[], DataFrame], free_scale: int | None = types.FREE_SCALE):
+        self.load, self.free_scale = load, free_scale
+        self.refresh()
 
-    def __init__(self, columns: DataFrame):
-        self.columns = columns
+    def refresh(self) -> None:
+        """Read the catalog again: a table has changed."""
+        self.columns = self.load()
         self.known: dict[tuple, tuple[StructType, StructType | None]] = {}
 
     def schemas(self, owner: str, table: str, scn: int | None = None) -> tuple[StructType, StructType | None]:
@@ -50,9 +60,12 @@ class Catalog:
             got = [r.asDict() for r in rows.collect()]  # one table's columns
             if not got:
                 raise LookupError(f"the catalog has no columns of {owner}.{table}")
-            self.known[at] = types.row_schemas(got, {r["column_name"] for r in got if r.get("in_key")})
+            self.known[at] = types.row_schemas(got, {r["column_name"] for r in got if r.get("in_key")}, self.free_scale)
         return self.known[at]
 
-    def refresh(self, owner: str, table: str) -> None:
-        """Forget a table's schemas: it has changed."""
-        self.known = {k: v for k, v in self.known.items() if k[:2] != (owner, table)}
+    def versions(self, owner: str, table: str) -> list[int | None]:
+        """The SCNs from which the table's versions hold, ascending; [None] if the catalog has the latest only."""
+        if "from_scn" not in self.columns.columns:
+            return [None]
+        rows = self.columns.where((F.col("owner") == owner) & (F.col("table_name") == table))
+        return [r["from_scn"] for r in rows.select("from_scn").distinct().orderBy("from_scn").collect()]  # one table's versions

@@ -6,7 +6,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, StructField, StructType
 
+from tidemark.functions.convert import decimal, milliseconds
 from tidemark.operators.envelope import source_struct
 from tidemark.schema import NO_TRANSACTION
 
@@ -36,6 +38,28 @@ def read(rows: DataFrame, owner: str, table: str, scn: int, connector: str, row_
     return rows.select(F.lit("r").alias("op"), F.lit(None).cast("string").alias("before"), F.struct(*data).alias("after"), source.alias("source"), offset.alias("offset"))
 
 
+def extract(rows: DataFrame, value: StructType, zone: str) -> DataFrame:
+    """A table's rows, as a database gives them, by the schema's types: dates are cut to the day, timestamps (without a zone)
+    are wall clocks in ``zone``, cut to milliseconds; nulls stay null.  Columns that the schema lacks are an error."""
+    own = {f.name for f in value}
+    if lacking := [c for c in rows.columns if c not in own and c not in ("row_id", "row_scn")]:
+        raise ValueError(f"columns that the schema lacks: {lacking}")
+    return rows.select(*[_typed(rows, f, zone).alias(f.name) for f in value], *[c for c in ("row_id", "row_scn") if c in rows.columns])
+
+
+def _typed(rows: DataFrame, f: StructField, zone: str) -> Column:
+    if f.name not in rows.columns:
+        raise ValueError(f"the rows have no column {f.name}")
+    value, kind = F.col(f"`{f.name}`"), rows.schema[f.name].dataType.typeName()
+    if f.dataType.typeName() == "date":
+        return F.to_date(value)
+    if f.dataType.typeName() == "timestamp":
+        return milliseconds(F.to_utc_timestamp(value, zone) if kind == "timestamp_ntz" else value)
+    if isinstance(f.dataType, DecimalType):
+        return decimal(value.cast("string"), f.dataType.precision, f.dataType.scale)
+    return value.cast(f.dataType)
+
+
 def together(parts: list[DataFrame]) -> DataFrame:
     """Records of several tables, as texts of their rows, with the place of each table."""
     one = lambda k, p: p.withColumn("after", F.to_json("after")).withColumn("table_no", F.lit(k))
@@ -60,7 +84,3 @@ def handover(snapshot_offset: dict | None, start_scn: int = 0) -> dict:
     """The log's offset after a snapshot: its SCN twice, not complete; without rows, start.scn."""
     scn = snapshot_offset["scn"] if snapshot_offset else start_scn
     return {"type": "cdc", "scn": scn, "commitScn": scn, "isTransactionComplete": False}
-
-
-def rows_as_texts(rows: DataFrame, columns: list[str]) -> Column:
-    return F.map_from_arrays(F.array(*[F.lit(c) for c in columns]), F.array(*[F.col(c).cast("string") for c in columns]))

@@ -2,12 +2,15 @@
 
 State is kept for each transaction id: its changes so far, as a list that is appended to, never rewritten.  A commit
 emits them with its place, a rollback drops them, and the terminator of an unknown transaction emits nothing.  An open
-transaction is never timed out.  State lives in the RocksDB store, spilled and checkpointed by Spark.
+transaction is never timed out.  State lives in the RocksDB store, spilled and checkpointed by Spark; at a commit it is
+read and sent on in parts of ``PART`` rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import time
+from collections.abc import Callable, Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +19,11 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.schema import LOG
 
-FIELDS = ["seq", "scn", "timestamp", "operation", "seg_owner", "table_name", "username", "sql_redo", "row_id", "xid", "status"]
+FIELDS = ["seq", "scn", "timestamp", "operation", "operation_code", "seg_owner", "table_name", "username", "sql_redo", "row_id", "csf", "xid", "status"]
 CHANGE = StructType([LOG[x] for x in FIELDS])
 OUT = StructType([*CHANGE.fields, StructField("commit_seq", LongType()), StructField("commit_scn", LongType())])
+#: Rows of an open transaction that are read from its state together.
+PART = 10_000
 
 
 class Transactions(StatefulProcessor):
@@ -33,11 +38,12 @@ class Transactions(StatefulProcessor):
         for i in [j for j, e in enumerate(ends) if e]:
             before, end = got.iloc[at:i], got.iloc[i]
             if end["operation"] == "COMMIT":
-                held = list(self.open.get())
-                parts = [pd.DataFrame(held, columns=FIELDS)] if held else []
-                done = pd.concat([*parts, before[FIELDS]]) if parts or len(before) else before[FIELDS]
-                if len(done):
-                    yield done.assign(commit_seq=int(end["seq"]), commit_scn=int(end["scn"]))
+                place = {"commit_seq": int(end["seq"]), "commit_scn": int(end["scn"])}
+                held = iter(self.open.get())
+                while part := list(islice(held, PART)):
+                    yield pd.DataFrame(part, columns=FIELDS, dtype=object).assign(**place)
+                if len(before):
+                    yield before[FIELDS].assign(**place)
             self.open.clear()
             at = i + 1
         rest = got.iloc[at:]
@@ -51,12 +57,24 @@ class Transactions(StatefulProcessor):
 def _plain(value):
     if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
         return None
-    return value.item() if hasattr(value, "item") else value.to_pydatetime() if isinstance(value, pd.Timestamp) else value
+    if isinstance(value, pd.Timestamp):
+        return value.to_pydatetime()
+    # a column of whole numbers with nulls comes as floats, exact up to 2**53; seq and scn have no nulls
+    return int(value) if isinstance(value, float) else value.item() if hasattr(value, "item") else value
 
 
 def committed(stream: DataFrame) -> DataFrame:
-    """Changes of committed transactions of a streaming log, with commit_seq and commit_scn."""
-    return stream.select(*FIELDS).groupBy("xid").transformWithStateInPandas(statefulProcessor=Transactions(), outputStructType=OUT, outputMode="Append", timeMode="None")
+    """Changes of committed transactions of a streaming log, with commit_seq and commit_scn.  Rows without an operation_code get none."""
+    from pyspark.sql import functions as F
+
+    rows = stream if "operation_code" in stream.columns else stream.withColumn("operation_code", _code(F))
+    return rows.select(*FIELDS).groupBy("xid").transformWithStateInPandas(statefulProcessor=Transactions(), outputStructType=OUT, outputMode="Append", timeMode="None")
+
+
+def _code(F):
+    from tidemark.operators.envelope import op_code
+
+    return op_code(F.col("operation")).cast("int")
 
 
 def use_rocksdb(spark: SparkSession) -> None:
@@ -68,17 +86,39 @@ def log_files(spark: SparkSession, path: str, per_batch: int = 1) -> DataFrame:
     return spark.readStream.schema(LOG).option("maxFilesPerTrigger", per_batch).option("latestFirst", "false").parquet(path)
 
 
-def write(stream: DataFrame, path: str, checkpoint: str, poll_ms: int | None = None):
-    """Write to files, exactly once; without ``poll_ms`` what is there is read and the query ends."""
-    out = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append")
+def started(out, poll_ms: int | None = None):
+    """A stream's writer, started: every ``poll_ms``, or until what is there is read."""
     return (out.trigger(availableNow=True) if poll_ms is None else out.trigger(processingTime=f"{poll_ms} milliseconds")).start()
 
 
-def write_ordered(stream: DataFrame, path: str, checkpoint: str, poll_ms: int | None = None):
-    """The same, with each batch's rows sorted by commit and place.  A batch that is run again replaces its own files."""
-
-    def batch(rows: DataFrame, n: int) -> None:
-        rows.orderBy("commit_seq", "seq").write.mode("overwrite").parquet(f"{path}/batch={n}")
-
-    out = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).outputMode("append")
-    return (out.trigger(availableNow=True) if poll_ms is None else out.trigger(processingTime=f"{poll_ms} milliseconds")).start()
+def write(stream: DataFrame, path: str, checkpoint: str, poll_ms: int | None = None):
+    """Write to files, exactly once; without ``poll_ms`` what is there is read and the query ends."""
+    return started(stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append"), poll_ms)
+
+
+def supervise(start: Callable[[], object], transient: tuple[str, ...], attempts: int, backoff_ms: int) -> None:
+    """Run a stream to its end; after a failure whose text has one of ``transient`` (a lost connection) start it again.
+
+    It goes on from its checkpoint.  Other failures, and more than ``attempts`` in a row without a new batch between them,
+    go to the caller.
+    """
+    failed, done = 0, -1
+    while True:
+        query = start()
+        try:
+            query.awaitTermination()
+            return
+        except Exception as e:
+            last = (query.lastProgress or {}).get("batchId", done)
+            failed = 1 if last > done else failed + 1
+            done = max(done, last)
+            if failed > attempts or not any(x in str(e) for x in transient):
+                raise
+            time.sleep(backoff_ms / 1000)
+        finally:
+            query.stop()
+
+
+def throughput(query) -> list[tuple[int, float]]:
+    """(batch, rows read a second) of a stream's recent batches, from Spark's own progress."""
+    return [(p["batchId"], p["processedRowsPerSecond"]) for p in query.recentProgress if p["numInputRows"]]
