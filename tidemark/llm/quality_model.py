@@ -6,8 +6,9 @@ Each indicator is scaled by the log ratio of its smoothed counts in the two clas
 hinge-loss model is fitted by dual coordinate descent.  A fifth of the sample, kept out of the fit, calibrates margins
 to probabilities, with the classes weighted to their shares among all labels.
 
-The fit takes at most ``SAMPLE`` labelled rows of each class, those of the smallest hashes of their ids; that bounds the
-broadcast of ids, what the driver gathers, and the driver's time.  The model is 2**18 numbers.  Scoring reads every
+The fit takes at most ``SAMPLE`` labelled rows of each class, those of the smallest hashes of their ids, and of these the
+first whose texts have ``SAMPLE_BYTES`` / 2 bytes together (one at least); that bounds the broadcast of ids, what the driver
+gathers, and the driver's time.  The model is 2**18 numbers.  Scoring reads every
 whole text and shuffles nothing.
 
 Defined results: a null or blank text has only the bias, and so a score; null labels and labels of null ids are not
@@ -25,7 +26,7 @@ from itertools import chain, count
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -33,6 +34,8 @@ from tidemark.llm.common import small_batches, table
 
 #: Labelled rows of each class that the fit takes at most.
 SAMPLE = 4000
+#: Bytes of their texts at most.
+SAMPLE_BYTES = 24_000_000
 #: Features, rounds of the descent, and its bound of a row's weight.
 FEATURES, EPOCHS, C = 1 << 18, 12, 1.0
 #: Bytes of text whose features are made together.
@@ -51,7 +54,7 @@ def features(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     ids = np.fromiter(map(number.__getitem__, chain.from_iterable(lists)), np.int64, int(size.sum()))
     text = np.repeat(np.arange(len(texts)), size)
     hashed = lambda what: np.fromiter((xxhash.xxh64_intdigest(what(w)) for w in number), np.uint64, len(number))[ids]
-    word, shape = hashed(bytes.lower), hashed(lambda w: _RUN.sub(rb"\1", w.translate(_SHAPE))[:12])
+    word, shape = hashed(bytes.lower), hashed(lambda w: _RUN.sub(rb"\1", w.translate(_SHAPE)))
     again = np.r_[False, (ids[1:] == ids[:-1]) & (text[1:] == text[:-1])] if len(ids) else np.zeros(0, bool)
     shape = shape + again * _ODD[3]
     found = []
@@ -169,7 +172,7 @@ def held_out(id: Column) -> Column:
     return F.coalesce(F.crc32(id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE) -> Model:
+def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> Model:
     known = labels.select(F.col(id).alias("id"), F.col(label).alias("label")).where("id IS NOT NULL AND label IN (0, 1)").where(~held_out(F.col("id")))
     known = known.groupBy("id").agg(F.min("label").alias("label"))
     n = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
@@ -177,8 +180,11 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     order = [F.xxhash64("id"), F.col("id")]
     some = known.where("label = 0").orderBy(*order).limit(sample).unionByName(known.where("label = 1").orderBy(*order).limit(sample))
     rows = docs.select(F.col(id).alias("id"), F.col(text).cast("binary").alias("text")).join(F.broadcast(some), "id")
-    # of repeated ids one row; at most 2 * sample rows come to the driver
-    got = rows.groupBy("id", "label").agg(F.min("text").alias("text")).orderBy(*order).limit(2 * sample).toArrow()
+    # of repeated ids one row; at most 2 * sample rows, and sample_bytes bytes but for a first row, come to the driver
+    rows = rows.groupBy("id", "label").agg(F.min("text").alias("text"))
+    first = Window.partitionBy("label").orderBy(*order)  # sample rows
+    rows = rows.withColumn("no", F.row_number().over(first)).withColumn("so_far", F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).over(first.rowsBetween(Window.unboundedPreceding, 0)))
+    got = rows.where((F.col("no") == 1) | (F.col("so_far") <= sample_bytes // 2)).select("id", "label", "text").orderBy(*order).toArrow()
     return fit(got.column("text").to_pylist(), got.column("label").to_numpy().astype(int), share)
 
 
