@@ -122,8 +122,8 @@ FIELDS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_rep
 TOGETHER = 8_000_000
 
 
-def judged(df: DataFrame, text: str) -> DataFrame:
-    """``df`` (columns of ours) with FIELDS and ``clean_text``."""
+def judged(df: DataFrame, text: str, texts: bool = True) -> DataFrame:
+    """``df`` (columns of ours) with FIELDS and, if wanted, ``clean_text``."""
     small_batches(df.sparkSession)
     at = df.columns.index(text)
     names = [x.split()[0] for x in FIELDS.split(", ")]
@@ -142,11 +142,12 @@ def judged(df: DataFrame, text: str) -> DataFrame:
         for b in batches:
             found = [measure(x) for x in parts(b.column(at).cast(pa.binary()).to_pylist())]
             new = [pa.array(np.concatenate([m[x] for m, _ in found])) for x in names]
-            clean = pa.array([x for _, c in found for x in c], pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([*b.columns, *new, clean], names=[*b.schema.names, *names, "clean_text"])
+            if texts:
+                new.append(pa.array([x for _, c in found for x in c], pa.binary()).cast(pa.string()))
+            yield pa.RecordBatch.from_arrays([*(x for k, x in enumerate(b.columns) if texts or k != at), *new], names=[x.name for x in out])
 
-    added = StructType.fromDDL(FIELDS).fields
-    return df.mapInArrow(over, StructType([*df.schema.fields, *added, StructField("clean_text", StringType())]))
+    out = StructType([*(f for f in df.schema.fields if texts or f.name != text), *StructType.fromDDL(FIELDS).fields, *([StructField("clean_text", StringType())] if texts else [])])
+    return df.mapInArrow(over, out)
 
 
 def clean(df: DataFrame, text: str = "text") -> DataFrame:
@@ -156,7 +157,7 @@ def clean(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = judged(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    rows = judged(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", texts=False)
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
