@@ -9,8 +9,12 @@ A first pass over the input marks, in a bit map of at most ``MOST_SLOTS`` bits,
 documents have; only windows in marked slots can have an equal elsewhere, and only they travel (when the map is full all
 do: it saves work and never decides).  Before they travel, the windows of a part of the input (``TOGETHER`` bytes) are
 sorted there: all but those of the smallest id are settled at once, so that a passage of any number of documents reaches
-its bucket once for each part, and a part's strings of one bucket go as one compressed row.  The places found come back as spans, are gathered for each
-document, and cut out of it.  Windows meet by a 64-bit key and are then compared word by word.
+its bucket once for each part, and a part's strings of one bucket go as one compressed row.  The places found come back as
+spans, are gathered for each document, and cut out of it.  Windows meet by a 64-bit key and are then compared word by word.
+
+The same pass counts the parts that have a slot.  Windows of a slot that very many have (see ``HOT``) go one by one, by a hash
+of all their words, so that no minimiser makes its bucket large.  A bucket is settled whenever
+``TOGETHER`` bytes of it are held, and goes on with the windows of the smallest ids: it holds different windows, not copies.
 
 Defined results: a null text has no words; documents of fewer than ``width`` words keep all; a null id counts as
 largest; rows of equal id never remove each other's words, and repeated rows get equal results; an empty table gives no
@@ -23,6 +27,7 @@ import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import chain, count
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +47,9 @@ TOGETHER = 8_000_000
 SLOTS_PER_BYTE, SEGMENT, MOST_SLOTS = 0.25, 1 << 16, 1 << 28
 #: Bytes of text for each bucket.
 BUCKET_BYTES = 4_000_000
+#: A slot is hot if its count (one for each part that has it, two if two documents there do) is over HOT and over EVEN times
+#: the mean of the slots around: so at most 1 / EVEN of the slots are, and their numbers take 64 MB at most.
+HOT, EVEN = 4096, 16
 #: Of zstd, for packed strings.
 LEVEL = 5
 #: What a null id counts as.
@@ -50,6 +58,13 @@ LAST = 2**63 - 1
 _MIX = np.random.default_rng(9).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 
 
+class Limits(NamedTuple):
+    together: int
+    segment: int
+    hot: int
+    even: float
+
+
 class Words:
     """Words of many texts in one row: ``ids`` equal iff the words are, ``h`` a hash that depends on the word alone."""
 
@@ -65,11 +80,16 @@ class Words:
         n = max(0, len(self.ids) - width + 1)
         return np.flatnonzero(self.text[:n] == self.text[width - 1 :][:n])
 
-    def alike(self, at: np.ndarray, width: int) -> np.ndarray:
-        """For each window the number of its class of equal windows."""
+    def keys(self, at: np.ndarray, width: int) -> np.ndarray:
+        """For each window a hash of its words in their order."""
         key = np.zeros(len(at), np.uint64)
         for k in range(width):
             key += self.h[at + k] * _MIX[k % len(_MIX)] * np.uint64(2 * (k // len(_MIX)) + 1)
+        return key
+
+    def alike(self, at: np.ndarray, width: int) -> np.ndarray:
+        """For each window the number of its class of equal windows."""
+        key = self.keys(at, width)
         order = np.argsort(key)
         key, rank = key[order], at[order]
         same = np.flatnonzero(key[1:] == key[:-1])
@@ -128,8 +148,8 @@ def _covered(words: Words, at: np.ndarray, width: int, id: np.ndarray, mark: np.
         yield int(id[text[a]]), int(mark[text[a]]), pairs[a:b].tobytes()
 
 
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[int], list[list[bytes]]]]:
-    """Rows (id, mark, text) as ids, marks and lists of words of about TOGETHER bytes."""
+def _parts(batches: Iterator[pa.RecordBatch], together: int) -> Iterator[tuple[list[int], list[int], list[list[bytes]]]]:
+    """Rows (id, mark, text) as ids, marks and lists of words of about ``together`` bytes."""
     held: tuple[list, list, list] = ([], [], [])
     size = 0
     for b in batches:
@@ -137,18 +157,18 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[
             for to, what in zip(held, (LAST if i is None else i, m, (x or b"").split())):
                 to.append(what)
             size += len(x or b"")
-            if size >= TOGETHER:
+            if size >= together:
                 yield held
                 held, size = ([], [], []), 0
     if held[0]:
         yield held
 
 
-def _slots(width: int, slots: int):
+def _slots(width: int, slots: int, limits: Limits):
     """Rows (id, mark, text): for each part and segment the slots (16 bits each) of its minimisers, twice if two rows have them."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, lists in _parts(batches):
+        for _, _, lists in _parts(batches, limits.together):
             words = Words(lists)
             at = words.windows(width)
             if not len(at):
@@ -159,41 +179,50 @@ def _slots(width: int, slots: int):
             pair = np.unique(slot[new] * len(lists) + text[new]) // len(lists)
             # the first two of each slot
             pair = pair[np.r_[True, True, pair[2:] != pair[:-2]][: len(pair)]]
-            segment = pair // SEGMENT
+            segment = pair // limits.segment
             cut = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1]])
-            low = (pair % SEGMENT).astype("<u2")
+            low = (pair % limits.segment).astype("<u2")
             data = [low[a:b].tobytes() for a, b in zip(cut.tolist(), np.r_[cut[1:], len(pair)].tolist())]
             yield pa.RecordBatch.from_arrays([pa.array(segment[cut]), pa.array(data, pa.binary())], names=["segment", "data"])
 
     return over
 
 
-def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (segment, data), sorted by segment: for each segment the bits of the slots that came twice."""
-    last, seen = None, np.zeros(SEGMENT, np.uint8)
-    done: list[tuple[int, bytes]] = []
-    for b in batches:
-        for segment, data in zip(*(x.to_pylist() for x in b.columns)):
-            if segment != last:
-                if last is not None:
-                    done.append((last, np.packbits(seen > 1).tobytes()))
-                last, seen = segment, np.zeros(SEGMENT, np.uint8)
-            seen = np.minimum(seen + np.bincount(np.frombuffer(data, "<u2"), minlength=SEGMENT), 2).astype(np.uint8)
-    if last is not None:
-        done.append((last, np.packbits(seen > 1).tobytes()))
-    yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in done], pa.int64()), pa.array([x[1] for x in done], pa.binary())], names=["segment", "bits"])
-
-
-def shared_slots(df: DataFrame, width: int, slots: int) -> np.ndarray:
-    """A bit map of ``slots`` bits: those of minimisers that two rows (id, mark, text) or more have."""
-    found = df.mapInArrow(_slots(width, slots), "segment long, data binary").repartition("segment").sortWithinPartitions("segment")
-    out = np.zeros(max(slots, SEGMENT) // 8, np.uint8)
-    for segment, bits in zip(*(x.to_pylist() for x in found.mapInArrow(_marked, "segment long, bits binary").toArrow().columns)):  # at most MOST_SLOTS bits
-        out[segment * SEGMENT // 8 :][: SEGMENT // 8] = np.frombuffer(bits, np.uint8)
-    return out
-
-
-def _pack(width: int, buckets: int, slots: int, bits):
+def _marked(limits: Limits):
+    """Rows (segment, data), sorted by segment: for each segment the bits of the slots that came twice, and of the hot ones."""
+
+    def bits(segment: int, seen: np.ndarray) -> tuple[int, bytes, bytes]:
+        hot = np.flatnonzero(seen > max(limits.hot, limits.even * seen.sum() / max(1, np.count_nonzero(seen))))
+        return segment, np.packbits(seen > 1).tobytes(), (segment * limits.segment + hot).astype("<u4").tobytes()
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, seen = None, np.zeros(limits.segment, np.int64)
+        done: list[tuple[int, bytes, bytes]] = []
+        for b in batches:
+            for segment, data in zip(*(x.to_pylist() for x in b.columns)):
+                if segment != last:
+                    if last is not None:
+                        done.append(bits(last, seen))
+                    last, seen = segment, np.zeros(limits.segment, np.int64)
+                seen += np.bincount(np.frombuffer(data, "<u2"), minlength=limits.segment)
+        if last is not None:
+            done.append(bits(last, seen))
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in done], t) for k, t in enumerate((pa.int64(), pa.binary(), pa.binary()))], names=["segment", "bits", "hot"])
+
+    return over
+
+
+def shared_slots(df: DataFrame, width: int, slots: int, limits: Limits) -> tuple[np.ndarray, np.ndarray]:
+    """A bit map of ``slots`` bits, those of minimisers that two rows (id, mark, text) or more have, and the hot slots."""
+    found = df.mapInArrow(_slots(width, slots, limits), "segment long, data binary").repartition("segment").sortWithinPartitions("segment")
+    out, every = np.zeros(max(slots, limits.segment) // 8, np.uint8), [np.zeros(0, "<u4")]
+    for segment, bits, hot in zip(*(x.to_pylist() for x in found.mapInArrow(_marked(limits), "segment long, bits binary, hot binary").toArrow().columns)):
+        out[segment * limits.segment // 8 :][: limits.segment // 8] = np.frombuffer(bits, np.uint8)
+        every.append(np.frombuffer(hot, "<u4"))
+    return out, np.sort(np.concatenate(every))
+
+
+def _pack(width: int, buckets: int, slots: int, bits, limits: Limits):
     """Rows (id, mark, text): packed super-k-mers (bucket, data; id null) and spans settled here (id, mark, data)."""
 
     def part(id: list[int], mark: list[int], lists: list[list[bytes]]) -> pa.RecordBatch:
@@ -205,8 +234,12 @@ def _pack(width: int, buckets: int, slots: int, bits):
         at = at[open_]
         low = words.minimisers(at, width) if len(at) else np.zeros(0, np.uint64)
         slot = (low & np.uint64(slots - 1)).astype(np.int64)
-        shared = (bits.value[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1).astype(bool)
-        at, low = at[shared], low[shared]
+        marked, hot_slots = bits.value
+        shared = (marked[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1).astype(bool)
+        at, low, slot = at[shared], low[shared], slot[shared]
+        if len(hot_slots):
+            hot = hot_slots[np.minimum(np.searchsorted(hot_slots, slot), len(hot_slots) - 1)] == slot
+            low[hot] = words.keys(at[hot], width)
         first, lo, hi = spans(at, width, low)
         to = (low[first] % np.uint64(buckets)).astype(np.int64) if len(at) else first
         order = np.argsort(to, kind="stable")
@@ -235,48 +268,64 @@ def _pack(width: int, buckets: int, slots: int, bits):
         ], names=["bucket", "id", "mark", "data"])
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for held in _parts(batches):
+        for held in _parts(batches, limits.together):
             yield part(*held)
 
     return over
 
 
-def _count(width: int):
+def _count(width: int, limits: Limits):
     """Rows (bucket, id, mark, data), sorted by bucket: spans (id, mark, data) of all windows that an earlier document has."""
 
-    def bucket(packed: list[tuple[int, bytes]]) -> list[tuple[int, int, bytes]]:
-        heads, strings = [], []
-        for n, raw in packed:
-            heads.append(np.cumsum(np.frombuffer(raw, np.uint8, 24 * n).reshape(8, 3 * n).T.copy().view("<i8").reshape(n, 3).T, axis=1))
-            strings += raw[24 * n :].split(b"\n")
-        id, mark, start = np.concatenate(heads, axis=1)
-        words = Words([x.split() for x in strings])
+    def unpack(n: int, raw: bytes) -> tuple[np.ndarray, list[bytes]]:
+        """(id, mark, start) of strings, and the strings."""
+        return np.cumsum(np.frombuffer(raw, np.uint8, 24 * n).reshape(8, 3 * n).T.copy().view("<i8").reshape(n, 3).T, axis=1), raw[24 * n :].split(b"\n")
+
+    def settle(heads: np.ndarray, strings: list[bytes], on: int | None = None) -> tuple[list[tuple[int, int, bytes]], np.ndarray, list[bytes]]:
+        """The spans of windows that a smaller id has, and, as packed strings, all other windows of the bucket ``on``."""
+        id, mark, start, of = heads
+        lists = [x.split() for x in strings]
+        words = Words(lists)
         at = words.windows(width)
         own = id[words.text[at]]
         later = own > smallest(words.alike(at, width), own)
-        return list(_covered(words, at[later], width, id, mark, start))
+        rows = list(_covered(words, at[later], width, id, mark, start))
+        if on is None:
+            return rows, heads[:, :0], []
+        at = at[~later & (of[words.text[at]] == on)]
+        _, lo, hi = spans(at, width, words.text[at])
+        text = words.text[lo]
+        lo, hi = lo - words.first[text], hi - words.first[text]
+        left = [b" ".join(lists[t][a:b]) for t, a, b in zip(text.tolist(), lo.tolist(), hi.tolist())]
+        return rows, np.stack([id[text], mark[text], start[text] + lo, of[text]]), left
 
     def out(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([x[k] for x in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], names=["id", "mark", "data"])
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, last = [], 0, None
+        heads, strings, size, most, last = [], [], 0, limits.together, None
         for b in batches:
             done = []
             for to, id, mark, data in zip(*(x.to_pylist() for x in b.columns)):
                 if id is not None:
                     done.append((id, mark, data))
                     continue
-                if to != last and size >= TOGETHER:
-                    yield out(bucket(held))
-                    held, size = [], 0
+                if size >= most:
+                    rows, head, strings = settle(np.concatenate(heads, axis=1), strings, to if to == last else None)
+                    yield out(rows)
+                    heads = [head]
+                    size = sum(map(len, strings)) + 32 * len(strings)
+                    most = max(limits.together, 2 * size)
                 raw = zstandard.ZstdDecompressor().decompressobj().decompress(data[4:])
-                held.append((int.from_bytes(data[:4], "little"), raw))
+                n = int.from_bytes(data[:4], "little")
+                head, more = unpack(n, raw)
+                heads.append(np.vstack([head, np.full(n, to)]))
+                strings += more
                 size, last = size + len(raw), to
             if done:
                 yield out(done)
-        if held:
-            yield out(bucket(held))
+        if strings:
+            yield out(settle(np.concatenate(heads, axis=1), strings)[0])
 
     return over
 
@@ -287,11 +336,12 @@ def repeats(df: DataFrame, width: int = 13) -> DataFrame:
     size = df.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // BUCKET_BYTES))
     df = df.select("id", "mark", "text")
+    limits = Limits(TOGETHER, SEGMENT, HOT, EVEN)  # as they are here, in all tasks
     slots = min(MOST_SLOTS, max(SEGMENT, 1 << int(size * SLOTS_PER_BYTE).bit_length()))
-    bits = df.sparkSession.sparkContext.broadcast(shared_slots(df, width, slots))
-    packed = df.mapInArrow(_pack(width, buckets, slots, bits), "bucket long, id long, mark long, data binary")
+    bits = df.sparkSession.sparkContext.broadcast(shared_slots(df, width, slots, limits))
+    packed = df.mapInArrow(_pack(width, buckets, slots, bits, limits), "bucket long, id long, mark long, data binary")
     met = packed.repartition("bucket").sortWithinPartitions("bucket")
-    found = met.mapInArrow(_count(width), "id long, mark long, data binary")
+    found = met.mapInArrow(_count(width, limits), "id long, mark long, data binary")
     return found.groupBy("id", "mark").agg(F.collect_list("data").alias("spans"))
 
 
@@ -304,9 +354,9 @@ def keep_mask(n_words: int, found: list[bytes] | None) -> np.ndarray:
     return np.cumsum(step[:-1]) == 0
 
 
-def judged(df: DataFrame, id: str = "doc_id", text: str = "text", width: int = 13) -> DataFrame:
+def judged(df: DataFrame, id: str = "doc_id", text: str = "text", width: int = 13, texts: bool = True) -> DataFrame:
     """For each row of ``df``: its columns but the text as a struct ``row``, none (the text is null), n_words, n_removed,
-    kept_sha256 (of the words left, joined by a space) and kept_text.
+    kept_sha256 (of the words left, joined by a space) and, if wanted, kept_text.
 
     kept_text is the text without the removed words and the white space after them; a text that loses none is unchanged.
     """
@@ -331,11 +381,14 @@ def judged(df: DataFrame, id: str = "doc_id", text: str = "text", width: int = 1
                 n.append(len(words))
                 gone.append(len(words) - len(kept))
                 sha.append(hashlib.sha256(b" ".join(kept)).hexdigest())
-                left.append(x if len(kept) == len(words) else _without(x, words, keep))
-            new = [pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(sha, pa.string()), pa.array(left, pa.binary()).cast(pa.string())]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *new], names=["row", "none", "n_words", "n_removed", "kept_sha256", "kept_text"])
-
-    added = [StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept_sha256", StringType()), StructField("kept_text", StringType())]
+                if texts:
+                    left.append(x if len(kept) == len(words) else _without(x, words, keep))
+            new = [pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(sha, pa.string())]
+            new += [pa.array(left, pa.binary()).cast(pa.string())] if texts else []
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *new], names=["row", "none", *(x.name for x in added)])
+
+    added = [StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept_sha256", StringType())]
+    added += [StructField("kept_text", StringType())] if texts else []
     return slim.mapInArrow(over, StructType([*slim.schema.fields[:2], *added]))
 
 
@@ -370,7 +423,7 @@ def dedup(df: DataFrame, id: str = "doc_id", text: str = "text", width: int = 13
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = judged(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    rows = judged(table(spark, sf_dir, "documents").select("doc_id", "text"), texts=False)
     return rows.select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
