@@ -39,7 +39,7 @@ SAMPLE_BYTES = 24_000_000
 #: Features, rounds of the descent, and its bound of a row's weight.
 FEATURES, EPOCHS, C = 1 << 18, 12, 1.0
 #: Bytes of text whose features are made together.
-TOGETHER = 4_000_000
+TOGETHER = 2_000_000
 
 _SHAPE = bytes.maketrans(bytes(range(128, 256)) + b"bcdefghijklmnopqrstuvwxyz" + b"BCDEFGHIJKLMNOPQRSTUVWXYZ" + b"123456789", b"a" * 128 + b"a" * 25 + b"A" * 25 + b"0" * 9)
 _RUN = re.compile(rb"(.)\1+", re.S)

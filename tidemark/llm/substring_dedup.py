@@ -42,7 +42,7 @@ from tidemark.llm.common import small_batches, table
 #: Words of a minimiser.
 GRAM = 3
 #: Bytes of text whose windows are sorted together before they travel, and of packed strings sorted in a bucket's task.
-TOGETHER = 8_000_000
+TOGETHER = 5_000_000
 #: Slots of the bit map for each byte of text, slots of a segment of it, and its slots at most (32 MB).
 SLOTS_PER_BYTE, SEGMENT, MOST_SLOTS = 0.25, 1 << 16, 1 << 28
 #: Bytes of text for each bucket.
