@@ -49,9 +49,42 @@ def values(df):
     return sorted((r["seq"], r["part"], r["value"]) for r in df.select("seq", "part", F.get_json_object("value", "$.after.ID").alias("value")).collect())
 
 
+def apart(parts):
+    """Typed records of several tables as texts, each table by itself."""
+    rows = [p.withColumn("key", F.to_json("key") if dict(p.dtypes)["key"] != "void" else F.lit(None).cast("string")).withColumn("value", F.to_json("value")) for p in parts.values()]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+def test_all_tables_in_one_pass(spark):
+    """Records as texts are those of each table: with and without a key, tombstones, and inserts that lack a required column."""
+    sql = lambda t, k, a: f"""insert into "S"."{t}"("ID","A") values ('{k}',{a})"""
+    gone = lambda t, k: f"""delete from "S"."{t}" where "ID" = '{k}' and "A" = 'x'"""
+    new = lambda t, k: f"""update "S"."{t}" set "A" = 'y' where "ID" = '{k}' and "A" = 'x'"""
+    log, seq = [], 0
+    for t in ("T", "U", "V"):
+        for op, text in (("INSERT", sql(t, 1, "'x'")), ("INSERT", sql(t, 2, "NULL")), ("UPDATE", new(t, 1)), ("DELETE", gone(t, 1))):
+            seq += 1
+            log.append(row(seq, op, "X", text, table=t))
+    log = spark.createDataFrame([*log, row(seq + 1, "COMMIT", "X")], LOG)
+    required = [c | {"nullable": "N"} for c in columns(table_name="U")]
+    keyless = [c | {"in_key": False} for c in columns(table_name="V")]
+    one, known_ = config(**{"table.whitelist": "S"}), known(spark, columns() + required + keyless)
+    texts = cdc.texts(log, one, known_)
+    told = lambda df: sorted((r["topic"], r["seq"], r["part"], r["key"], r["value"], r["offset"]) for r in df.withColumn("value", F.regexp_replace("value", ',"ts_ms":"[^"]*"}$', "}")).withColumn("key", F.coalesce("key", F.lit("none"))).withColumn("value", F.coalesce("value", F.lit("none"))).collect())
+    got = told(texts)
+    assert got == told(apart(cdc.records(log, one, known_)))
+    assert [(t, s, p) for t, s, p, *_ in got] == [(f"db.S.{t}", 4 * i + n, p) for i, t in enumerate("TUV") for n, p in ((1, 0), (2, 0), (3, 0), (4, 0), (4, 1)) if (t, n) != ("U", 2)]
+    plan = texts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1 and "Union" not in plan.split("Join")[0]
+    assert cdc.texts(log, config(**{"table.whitelist": "NONE"}), known_).isEmpty()
+
+
 def test_a_commit_counts_whatever_its_status(spark):
     log = spark.createDataFrame([row(1, "INSERT", "X", insert(1)), row(2, "INSERT", "X", insert(2), status=2), row(3, "COMMIT", "X", status=2)], LOG)
-    assert values(cdc.as_texts(cdc.records(log, config(), known(spark, columns())))) == [(1, 0, "1")]
+    assert values(cdc.texts(log, config(), known(spark, columns()))) == [(1, 0, "1")]
 
 
 def test_hot_transaction(spark, monkeypatch):
@@ -90,7 +123,7 @@ def test_a_reused_transaction_id(spark):
 def test_an_unknown_column_is_read_again_once_and_then_an_error(spark, tmp_path):
     log = spark.createDataFrame([row(1, "INSERT", "X", insert(1)), row(2, "INSERT", "X", insert(2, ",'7'")), row(3, "COMMIT", "X")], LOG)
     with pytest.raises(Exception, match="unknown column of this schema: B"):
-        cdc.as_texts(cdc.records(log, config(), known(spark, columns()))).collect()
+        cdc.texts(log, config(), known(spark, columns())).collect()
     cdc.write(log, config(), known(spark, columns(), columns(B)), str(tmp_path / "a"))
     got = spark.read.parquet(str(tmp_path / "a")).select("seq", F.get_json_object("value", "$.after.B").alias("b")).orderBy("seq").collect()
     assert [(r["seq"], r["b"]) for r in got] == [(1, None), (2, "7")]
@@ -105,7 +138,7 @@ def test_versions_of_a_table(spark):
     parts = cdc.records(log, config(**{"db.dictionary": "REDO_LOG"}), known(spark, versions, kind=TYPE + ", from_scn long"))
     assert list(parts) == [("S", "T", 1), ("S", "T", 4)]
     assert [p.schema["value"].dataType["after"].dataType.names for p in parts.values()] == [["ID", "A"], ["ID", "A", "B"]]
-    assert values(cdc.as_texts(parts)) == [(2, 0, "1"), (5, 0, "2")]
+    assert values(apart(parts)) == [(2, 0, "1"), (5, 0, "2")]
 
 
 def random_log(n, seed):
@@ -127,7 +160,7 @@ def random_log(n, seed):
 def test_a_stored_offset_is_gone_on_from(spark, tmp_path):
     """The log in two runs: the second begins at the offset of the first one's last record; nothing is lost."""
     rows = random_log(400, 5)
-    whole = values(cdc.as_texts(cdc.records(spark.createDataFrame(rows, LOG), config(), known(spark, columns()))))
+    whole = values(cdc.texts(spark.createDataFrame(rows, LOG), config(), known(spark, columns())))
     cdc.write(spark.createDataFrame(rows[:230], LOG), config(), known(spark, columns()), str(tmp_path / "one"))
     at = cdc.stored_offset(spark, str(tmp_path / "one"))
     assert snapshot.plan(at) == ("log", at) and snapshot.plan(None)[0] == "snapshot" and snapshot.plan(None, 7)[1]["scn"] == 7
@@ -142,21 +175,21 @@ def test_a_stream_that_fails_goes_on_without_loss_or_repeats(spark, tmp_path, mo
     for i in range(3):
         spark.createDataFrame(rows[100 * i : 100 * i + 100], LOG).coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
     monkeypatch.setattr(streaming, "PART", 3)
-    failures, make = [ConnectionError("connection lost"), ConnectionError("connection lost")], cdc.of_tables
+    failures, make = [ConnectionError("connection lost"), ConnectionError("connection lost")], cdc.texts_of
 
     def fails(parsed, *rest):
         if failures and parsed.count():
             raise failures.pop()
         return make(parsed, *rest)
 
-    monkeypatch.setattr(cdc, "of_tables", fails)
+    monkeypatch.setattr(cdc, "texts_of", fails)
     start = lambda: cdc.stream(streaming.log_files(spark, str(tmp_path / "log")), config(), known(spark, columns()), str(tmp_path / "out"), str(tmp_path / "checkpoint"))
     with pytest.raises(Exception, match="connection lost"):
         streaming.supervise(start, ("no such",), 3, 1)
     streaming.supervise(start, ("connection lost",), 3, 1)
     assert not failures
     got = values(spark.read.parquet(str(tmp_path / "out")))
-    assert got == values(cdc.as_texts(cdc.records(spark.createDataFrame(rows, LOG), config(), known(spark, columns()))))
+    assert got == values(cdc.texts(spark.createDataFrame(rows, LOG), config(), known(spark, columns())))
 
 
 def test_stream_progress(spark, tmp_path):

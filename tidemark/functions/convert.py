@@ -39,7 +39,10 @@ def decimal(text: Column, precision: int, scale: int, strict: bool = True) -> Co
     """
     narrow = DecimalType(precision, scale)
     near = text.try_cast(narrow)
-    fits = near.isNotNull() & (fraction_digits(text) <= scale)
+    point = F.instr(text, ".")
+    # most texts tell by their length alone
+    short = ~F.contains(F.lower(text), F.lit("e")) & ((point == 0) | (F.length(text) - point <= scale))
+    fits = near.isNotNull() & (short | (fraction_digits(text) <= scale))
     bad = F.raise_error(F.concat(F.lit(f"no decimal({precision},{scale}): "), text)).cast(narrow) if strict else F.lit(None).cast(narrow)
     return F.when(text.isNull(), F.lit(None).cast(narrow)).when(fits, near).otherwise(bad)
 

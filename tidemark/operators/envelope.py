@@ -69,6 +69,26 @@ def envelopes(changes: DataFrame, value: StructType, key: StructType | None, db:
     return rows.select(topic_name(db, F.col("seg_owner"), F.col("table_name")).alias("topic"), key_struct(F.col("op"), F.col("old"), F.col("new"), key).alias("key"), whole.alias("value"), *rest)
 
 
+#: The type of ``texts``.
+TEXTS = "array<struct<topic:string,key:string,value:string,part:int>>"
+
+
+def texts(value: StructType, key: StructType | None, db: str, connector: str, zone: str = "UTC", tombstones: bool = True) -> Column:
+    """The records (topic, key and value as JSON, part) of a parsed change that has ``op`` and ``image``: none for an insert that
+    lacks a required column, and after a delete a tombstone."""
+    raw = F.when(F.col("op").isin("r", "i"), F.col("image")).otherwise(F.col("before"))
+    source = source_struct(connector, F.col("timestamp"), F.col("xid"), F.col("scn"), F.col("seg_owner"), F.col("table_name"), F.col("username"))
+    row = F.to_json(F.struct(F.col("op"), typed_struct(F.col("before"), value, zone).alias("before"), typed_struct(F.col("image"), value, zone).alias("after"), source.alias("source"), F.current_timestamp().alias("ts_ms")))
+    keys = F.lit(None).cast("string") if key is None else F.to_json(F.struct(*[types.typed(raw[f.name], f, zone).alias(f.name) for f in key]))
+    topic, lacks = topic_name(db, F.col("seg_owner"), F.col("table_name")), F.lit(False)
+    for f in value:
+        if not f.nullable:
+            lacks = lacks | types.typed(F.col("image")[f.name], f, zone).isNull()
+    record = lambda text, part: F.struct(topic.alias("topic"), keys.alias("key"), text.alias("value"), F.lit(part).alias("part"))
+    after = F.when((F.col("op") == "d") & F.lit(tombstones), record(F.lit(None).cast("string"), 1))
+    return F.when(~(F.col("op").isin("r", "i") & F.col("image").isNotNull() & lacks), F.array_compact(F.array(record(row, 0), after)))
+
+
 def missing_required(image: Column, value: StructType) -> Column:
     """Whether a row lacks a column that can't be null."""
     out = F.lit(False)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.config import Config
 from tidemark.operators import envelope, parse, reassembly, scan, transactions
@@ -23,44 +24,55 @@ def changes(log: DataFrame, config: Config, scn: int = 0, commit_scn: int = 0, c
     return transactions.record_offsets(kept, config["batch.size"])
 
 
-def of_tables(parsed: DataFrame, config: Config, catalog: Catalog) -> dict[tuple[str, str, int | None], DataFrame]:
-    """Change records of parsed changes, by owner, table and version of the table (None: the latest).
+def parsed(log: DataFrame, config: Config, **offset) -> DataFrame:
+    """Committed changes after an offset with their images; they meet their commits first, so what was rolled back is never parsed."""
+    return parse.drop_unparsable(parse.spread(changes(log, config, **offset)))
+
+
+def kinds(config: Config, catalog: Catalog) -> Iterator[tuple[tuple[str, str, int | None], Column, StructType, StructType | None]]:
+    """(owner, table, version of the table), which changes it has, and its value and key schemas, for all selected tables.
 
     With db.dictionary REDO_LOG a change is read by the schema that its table had at its SCN, if the catalog has versions;
-    with ONLINE by the latest.  Each has its own row types.  A column that the schema lacks is an error when it is read.
+    with ONLINE by the latest (None).
     """
-    out = {}
     for owner, table in dict.fromkeys(tables_of(catalog.columns, config.selectors)):
-        own = parsed.where((F.col("seg_owner") == owner) & (F.col("table_name") == table))
         starts = catalog.versions(owner, table) if config["db.dictionary"] == "REDO_LOG" else [None]
         for k, start in enumerate(starts):
-            rows = own
-            if start is not None:
-                # the first version holds for what is older, too
-                rows = rows.where(F.col("scn") >= start) if k else rows
-                rows = rows.where(F.col("scn") < starts[k + 1]) if k + 1 < len(starts) else rows
-            value, key = catalog.schemas(owner, table, start)
-            made = envelope.envelopes(rows, value, key, config["db.name"], CONNECTOR, config["db.timezone"])
-            good, _ = envelope.split_invalid(made, value)
-            out[owner, table, start] = envelope.with_tombstones(good, config["tombstones.on.delete"])
-    return out
+            own = (F.col("seg_owner") == owner) & (F.col("table_name") == table)
+            # the first version holds for what is older, too
+            own = own & (F.col("scn") >= start) if k else own
+            own = own & (F.col("scn") < starts[k + 1]) if k + 1 < len(starts) else own
+            yield (owner, table, start), own, *catalog.schemas(owner, table, start)
 
 
 def records(log: DataFrame, config: Config, catalog: Catalog, **offset) -> dict[tuple[str, str, int | None], DataFrame]:
-    """Change records (topic, key, value, part, offset) of each selected table, after an offset.
+    """Typed change records (topic, key, value, part, offset) by owner, table and version, after an offset.
 
-    Changes meet their commits before they are parsed, so what was rolled back never is; then each is parsed once.
+    Each table has row types of its own and so reads the log itself; ``texts`` makes the records of all tables in one pass.
     """
-    return of_tables(parse.drop_unparsable(parse.spread(changes(log, config, **offset))), config, catalog)
+    rows, out = parsed(log, config, **offset), {}
+    for kind, own, value, key in kinds(config, catalog):
+        made = envelope.envelopes(rows.where(own), value, key, config["db.name"], CONNECTOR, config["db.timezone"])
+        good, _ = envelope.split_invalid(made, value)
+        out[kind] = envelope.with_tombstones(good, config["tombstones.on.delete"])
+    return out
 
 
-def as_texts(parts: dict[tuple[str, str, int | None], DataFrame]) -> DataFrame:
-    """Records of several tables as one: topic, key and value as JSON (a null value for a tombstone), and the other columns."""
-    rows = [p.withColumn("key", F.to_json("key") if dict(p.dtypes)["key"] != "void" else F.lit(None).cast("string")).withColumn("value", F.to_json("value")) for p in parts.values()]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+def texts_of(rows: DataFrame, config: Config, catalog: Catalog) -> DataFrame:
+    """The records of parsed changes of all tables: topic, key and value as JSON (a null value for a tombstone), part, and the place.
+
+    One pass: each change is typed by the schema of its table, in a branch of one expression, and generates its records.
+    """
+    rows = rows.withColumn("image", parse.after_image(envelope.op_code(F.col("operation")), F.col("before"), F.col("after"))).withColumn("op", envelope.op_letter(F.col("operation")))
+    made = F.lit(None).cast(envelope.TEXTS)
+    for _, own, value, key in kinds(config, catalog):
+        made = F.when(own, envelope.texts(value, key, config["db.name"], CONNECTOR, config["db.timezone"], config["tombstones.on.delete"])).otherwise(made)
+    return rows.select(F.inline(made), *[c for c in ("offset", "commit_seq", "seq") if c in rows.columns])
+
+
+def texts(log: DataFrame, config: Config, catalog: Catalog, **offset) -> DataFrame:
+    """The records of all selected tables after an offset, with key and value as JSON (see ``texts_of``)."""
+    return texts_of(parsed(log, config, **offset), config, catalog)
 
 
 def with_refresh(catalog: Catalog, deliver: Callable[[], None]) -> None:
@@ -79,7 +91,7 @@ def with_refresh(catalog: Catalog, deliver: Callable[[], None]) -> None:
 
 def write(log: DataFrame, config: Config, catalog: Catalog, path: str, **offset) -> None:
     """Write the records of all tables after an offset as Parquet, replacing what is there."""
-    with_refresh(catalog, lambda: as_texts(records(log, config, catalog, **offset)).write.mode("overwrite").parquet(path))
+    with_refresh(catalog, lambda: texts(log, config, catalog, **offset).write.mode("overwrite").parquet(path))
 
 
 def stored_offset(spark, path: str) -> dict | None:
@@ -100,16 +112,16 @@ def stream(log: DataFrame, config: Config, catalog: Catalog, path: str, checkpoi
 
     def batch(rows: DataFrame, n: int) -> None:
         rows = scan.drop_unreadable(scan.drop_temporary(reassembly.reassemble(rows)))
-        parsed = parse.drop_unparsable(parse.spread(transactions.with_ordinal(rows)))
-        with_refresh(catalog, lambda: as_texts(of_tables(parsed, config, catalog)).write.mode("overwrite").parquet(f"{path}/batch={n}"))
+        images = parse.drop_unparsable(parse.spread(transactions.with_ordinal(rows)))
+        with_refresh(catalog, lambda: texts_of(images, config, catalog).write.mode("overwrite").parquet(f"{path}/batch={n}"))
 
     out = streaming.committed(scan.scan(log, config.selectors)).writeStream.foreachBatch(batch)
     return streaming.started(out.option("checkpointLocation", checkpoint).outputMode("append"), poll_ms)
 
 
-def hand_over(snapshot_scn: int | None, log: DataFrame, config: Config, catalog: Catalog) -> dict[tuple[str, str, int | None], DataFrame]:
-    """The records of the log after a snapshot as of an SCN (None: no snapshot; start.scn counts)."""
+def hand_over(snapshot_scn: int | None, log: DataFrame, config: Config, catalog: Catalog) -> DataFrame:
+    """The records (see ``texts``) of the log after a snapshot as of an SCN (None: no snapshot; start.scn counts)."""
     from tidemark.sources.snapshot import handover
 
     at = handover(None if snapshot_scn is None else {"scn": snapshot_scn}, config["start.scn"])
-    return records(log, config, catalog, scn=at["scn"], commit_scn=at["commitScn"], complete=at["isTransactionComplete"])
+    return texts(log, config, catalog, scn=at["scn"], commit_scn=at["commitScn"], complete=at["isTransactionComplete"])

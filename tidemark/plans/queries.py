@@ -584,7 +584,7 @@ def _sent(rows: DataFrame, *more) -> DataFrame:
 def cdc_records(spark: SparkSession, sf: str) -> DataFrame:
     """The job as a batch: split statements of the whole log to records of all tables of a schema, with offsets and tombstones."""
     log = synth.redo(spark, sf, users=False)
-    rows = cdc.as_texts(cdc.records(log, _config(), _catalog(spark)))
+    rows = cdc.texts(log, _config(), _catalog(spark))
     return _sent(rows, F.col("offset.scn").alias("offset_scn"), F.col("offset.commitScn").alias("offset_commit_scn"), F.col("offset.isTransactionComplete").alias("offset_complete"))
 
 
@@ -606,7 +606,7 @@ def cdc_hand_over(spark: SparkSession, sf: str) -> DataFrame:
     """A snapshot as of half of the log, then the records of the log from its SCN on."""
     log, scn = synth.redo(spark, sf, users=False), _current(spark, sf) // 2
     snap = snapshot.read(snapshot.as_of(_table(spark, sf), scn), "SALES", "ORDERS", scn, CONNECTOR)
-    after = cdc.as_texts(cdc.hand_over(scn, log, _config(**{"tombstones.on.delete": False}), _catalog(spark)))
+    after = cdc.hand_over(scn, log, _config(**{"tombstones.on.delete": False}), _catalog(spark))
     return snap.select(F.lit("snapshot").alias("part"), F.col("after.ID").alias("id")).unionByName(after.select(F.lit("log").alias("part"), F.get_json_object("key", "$.ID").cast("long").alias("id")))
 
 

@@ -3,17 +3,16 @@
 State is kept for each transaction id: its changes so far, as a list that is appended to, never rewritten.  A commit
 emits them with its place, a rollback drops them, and the terminator of an unknown transaction emits nothing.  An open
 transaction is never timed out.  State lives in the RocksDB store, spilled and checkpointed by Spark; at a commit it is
-read and sent on in parts of ``PART`` rows.
+read and sent on row by row.
 """
 
 from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
-from itertools import islice
+from itertools import chain
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -22,7 +21,9 @@ from tidemark.schema import LOG
 FIELDS = ["seq", "scn", "timestamp", "operation", "operation_code", "seg_owner", "table_name", "username", "sql_redo", "row_id", "csf", "xid", "status"]
 CHANGE = StructType([LOG[x] for x in FIELDS])
 OUT = StructType([*CHANGE.fields, StructField("commit_seq", LongType()), StructField("commit_scn", LongType())])
-#: Rows of an open transaction that are read from its state together.
+SEQ, SCN, OPERATION = (FIELDS.index(x) for x in ("seq", "scn", "operation"))
+Record = Row(*OUT.names)
+#: Rows of an open transaction that are added to its state together.
 PART = 10_000
 
 
@@ -30,45 +31,31 @@ class Transactions(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.open = handle.getListState("open", CHANGE)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        # chunks of one batch come in no order
-        got = pd.concat(list(rows)).sort_values("seq")
-        ends = got["operation"].isin(["COMMIT", "ROLLBACK"])
-        at = 0
-        for i in [j for j, e in enumerate(ends) if e]:
-            before, end = got.iloc[at:i], got.iloc[i]
-            if end["operation"] == "COMMIT":
-                place = {"commit_seq": int(end["seq"]), "commit_scn": int(end["scn"])}
-                held = iter(self.open.get())
-                while part := list(islice(held, PART)):
-                    yield pd.DataFrame(part, columns=FIELDS, dtype=object).assign(**place)
-                if len(before):
-                    yield before[FIELDS].assign(**place)
-            self.open.clear()
-            at = i + 1
-        rest = got.iloc[at:]
-        if len(rest):
-            self.open.appendList([tuple(_plain(v) for v in r) for r in rest[FIELDS].itertuples(index=False)])
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        # rows of one batch come in no order
+        got = sorted((tuple(r[x] for x in FIELDS) for r in rows), key=lambda r: r[SEQ])
+        held, at = self.open.exists(), 0
+        for i in [i for i, r in enumerate(got) if r[OPERATION] in ("COMMIT", "ROLLBACK")]:
+            if got[i][OPERATION] == "COMMIT":
+                place = (got[i][SEQ], got[i][SCN])
+                for r in chain(self.open.get() if held else (), got[at:i]):
+                    yield Record(*r, *place)
+            if held:
+                self.open.clear()
+            held, at = False, i + 1
+        for k in range(at, len(got), PART):
+            self.open.appendList(got[k : k + PART])
 
     def close(self) -> None:
         pass
 
 
-def _plain(value):
-    if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
-        return None
-    if isinstance(value, pd.Timestamp):
-        return value.to_pydatetime()
-    # a column of whole numbers with nulls comes as floats, exact up to 2**53; seq and scn have no nulls
-    return int(value) if isinstance(value, float) else value.item() if hasattr(value, "item") else value
-
-
 def committed(stream: DataFrame) -> DataFrame:
     """Changes of committed transactions of a streaming log, with commit_seq and commit_scn.  Rows without an operation_code get none."""
     from pyspark.sql import functions as F
 
     rows = stream if "operation_code" in stream.columns else stream.withColumn("operation_code", _code(F))
-    return rows.select(*FIELDS).groupBy("xid").transformWithStateInPandas(statefulProcessor=Transactions(), outputStructType=OUT, outputMode="Append", timeMode="None")
+    return rows.select(*FIELDS).groupBy("xid").transformWithState(statefulProcessor=Transactions(), outputStructType=OUT, outputMode="Append", timeMode="None")
 
 
 def _code(F):
