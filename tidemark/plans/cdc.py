@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark import shared
 from tidemark.config import Config
 from tidemark.operators import envelope, parse, reassembly, scan, transactions
 from tidemark.sources.catalog import Catalog, tables_of
@@ -17,10 +18,13 @@ CONNECTOR = "tidemark"
 
 
 def changes(log: DataFrame, config: Config, scn: int = 0, commit_scn: int = 0, complete: bool = False) -> DataFrame:
-    """Committed, readable changes of the selected tables after an offset, with offsets; statements are not parsed yet."""
+    """Committed, readable changes of the selected tables after an offset, with offsets; statements are not parsed yet.
+
+    What is left of the log is written once: commits, numbers and watermarks then read its narrow columns, not the log again.
+    """
     rows = scan.resume(log, config.selectors, scn, commit_scn, complete)
     rows = reassembly.reassemble(rows)
-    kept = scan.drop_unreadable(scan.drop_temporary(rows))
+    kept = shared.written(scan.drop_unreadable(scan.drop_temporary(rows)), "kept")
     return transactions.record_offsets(kept, config["batch.size"])
 
 
@@ -111,9 +115,11 @@ def stream(log: DataFrame, config: Config, catalog: Catalog, path: str, checkpoi
     streaming.use_rocksdb(log.sparkSession)
 
     def batch(rows: DataFrame, n: int) -> None:
-        rows = scan.drop_unreadable(scan.drop_temporary(reassembly.reassemble(rows)))
-        images = parse.drop_unparsable(parse.spread(transactions.with_ordinal(rows)))
-        with_refresh(catalog, lambda: texts_of(images, config, catalog).write.mode("overwrite").parquet(f"{path}/batch={n}"))
+        # a batch that is read twice would go through the state twice
+        with shared.held(rows, "batch") as rows:
+            rows = scan.drop_unreadable(scan.drop_temporary(reassembly.reassemble(rows)))
+            images = parse.drop_unparsable(parse.spread(transactions.with_ordinal(rows)))
+            with_refresh(catalog, lambda: texts_of(images, config, catalog).write.mode("overwrite").parquet(f"{path}/batch={n}"))
 
     out = streaming.committed(scan.scan(log, config.selectors)).writeStream.foreachBatch(batch)
     return streaming.started(out.option("checkpointLocation", checkpoint).outputMode("append"), poll_ms)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark import shared
 from tidemark.config import Config, Selector
 from tidemark.functions import convert, names, types
 from tidemark.operators import envelope, parse, reassembly, scan, transactions
@@ -519,24 +520,13 @@ def streaming_txn(spark: SparkSession, sf: str) -> DataFrame:
     """The log as four files, read one in each batch; open transactions are state between them."""
     from tidemark.streaming import transactions as streaming
 
-    base = _stream_dir(spark)
+    base = shared.scratch(spark, "stream")
     _write_in_parts(spark, synth.redo(spark, sf), f"{base}/log", range(4))
     streaming.use_rocksdb(spark)
     streaming.write(streaming.committed(streaming.log_files(spark, f"{base}/log")), f"{base}/out", f"{base}/checkpoint").awaitTermination()
     return spark.read.schema(streaming.OUT).parquet(f"{base}/out").select("seq", "xid", "commit_seq", "commit_scn")
 
 
-def _stream_dir(spark: SparkSession) -> str:
-    """A new folder that the driver and all executors share."""
-    import tempfile
-    import uuid
-
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if base is None and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    return f"{(base or tempfile.mkdtemp(prefix='tidemark-stream-')).rstrip('/')}/stream-{uuid.uuid4().hex}"
-
-
 def _write_in_parts(spark: SparkSession, log: DataFrame, path: str, parts: range) -> None:
     """The quarters of a log that ``parts`` names, one file each, in the order of the log."""
     step = (log.agg(F.max("seq").alias("m")).first()["m"] or 0) // 4 + 1
@@ -591,7 +581,7 @@ def cdc_records(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"{_KEPT} {_SENT.format(more='commit_seq')}")
 def cdc_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The job as a stream: it ends after half of the log and goes on from its checkpoint; its catalog is out of date at first."""
-    base, log, catalog_ = _stream_dir(spark), synth.redo(spark, sf, users=False), _catalog(spark, without=("PRIO",))
+    base, log, catalog_ = shared.scratch(spark, "stream"), synth.redo(spark, sf, users=False), _catalog(spark, without=("PRIO",))
     from tidemark.streaming import transactions as streaming
 
     for parts in (range(2), range(2, 4)):
