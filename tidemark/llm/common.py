@@ -2,53 +2,17 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.shared import delete, scratch, shared_dir
+
 #: ASCII white space, [\x20\x09-\x0D], which bytes.split() uses too.
 SPACES = " \t\n\x0b\x0c\r"
 #: Rows and bytes of one Arrow batch; they bound a Python worker's memory (a row of more bytes is a batch of its own).
 BATCH_ROWS, BATCH_BYTES = 1000, 32 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or, on one machine only, our own where it is unset."""
-    sc = spark.sparkContext
-    if at := sc.getConf().get("spark.checkpoint.dir"):
-        return at.rstrip("/")
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        if not sc.master.startswith("local[") and sc.master != "local":
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
-    return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, which is deleted when the driver ends."""
-    root = f"{shared_dir(spark)}/tidemark/{spark.sparkContext.applicationId}"
-    if root not in _ROOTS:
-        _ROOTS.add(root)
-        atexit.register(_clean, spark, root)
-    return f"{root}/{name}-{uuid.uuid4().hex}"
-
-
-_ROOTS: set[str] = set()
-
-
-def _clean(spark: SparkSession, path: str) -> None:
-    if spark.sparkContext._jsc is not None:  # else the session was stopped before
-        _delete(spark, path)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def cut(df: DataFrame) -> DataFrame:
     """The same rows, read back from a reliable checkpoint, so that nothing above is run again."""
     shared_dir(df.sparkSession)
@@ -99,7 +63,7 @@ def forget(*tables: DataFrame) -> None:
     """Delete stored tables that nothing reads any more."""
     for df in tables:
         if path := getattr(df, "_stored_at", None):
-            _delete(df.sparkSession, path)
+            delete(df.sparkSession, path)
 
 
 def text_key(text: Column) -> list[Column]:
