@@ -8,7 +8,8 @@ fingerprints is dealt into shards of about that size; every shard's tree travels
 task holds more than two shards and no link is lost.  A search ends where a whole subtree is known to be in the query's
 component already, so a dense bucket costs few comparisons, and a bucket returns a spanning forest, never its pairs.
 
-Trees are built and searched for many buckets at once, level by level, as numpy arrays.
+Trees are built and searched for many buckets at once, level by level, as numpy arrays.  Fingerprints of several words
+of 64 bits (those of ``near_dedup``, the verified form) are searched by the same trees, in buckets of drawn bits.
 
 Defined results: a null or blank text has the fingerprint zero, which links like any other; repeated rows share their
 fingerprint; a null id counts as largest; an empty table gives no rows; other columns pass through ``dedup``.
@@ -63,21 +64,27 @@ def with_fingerprint(df: DataFrame, text: str, name: str, shingle: int = 3) -> D
     return df.mapInArrow(add, StructType([*df.schema.fields, StructField(name, LongType())]))
 
 
+def apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The differing bits of fingerprints: numbers, or rows of numbers."""
+    n = np.bitwise_count(x ^ y)
+    return n.astype(np.int64) if n.ndim == 1 else n.sum(axis=-1, dtype=np.int64)
+
+
 class Forest:
     """One BK-tree for each value of ``tree`` (0, 1, ...); node i holds ``fp[i]``, and the first of a tree is its root."""
 
     def __init__(self, fp: np.ndarray, tree: np.ndarray):
-        self.fp = fp
+        self.fp, self.most = fp, 64 * (1 if fp.ndim == 1 else fp.shape[1])
         self.roots = np.unique(tree, return_index=True)[1]
         at = self.roots[tree]  # the node that an item has come to
         todo = np.setdiff1d(np.arange(len(fp)), self.roots, assume_unique=True)
         keys, nodes, self.levels = [], [], []
         while len(todo):
             # all items that reach a node do so in the same round, so the first at a distance is the child there
-            key = at[todo] * 65 + np.bitwise_count(fp[todo] ^ fp[at[todo]]).astype(np.int64)
+            key = at[todo] * (self.most + 1) + apart(fp[todo], fp[at[todo]])
             found, first, where = np.unique(key, return_index=True, return_inverse=True)
             child = todo[first]
-            self.levels.append((child, found // 65))
+            self.levels.append((child, found // (self.most + 1)))
             keys.append(found)
             nodes.append(child)
             rest = np.ones(len(todo), bool)
@@ -95,17 +102,19 @@ class Forest:
             np.minimum.at(self.low, parent, self.low[child])
             np.maximum.at(self.high, parent, self.high[child])
 
-    def search(self, fp: np.ndarray, root: np.ndarray, label: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-        """(query, node) of all nodes within the radius, without subtrees that have the query's label throughout."""
+    def search(self, fp: np.ndarray, root: np.ndarray, label: np.ndarray, radius: int, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(query, node) of all nodes before ``own`` (a query's own node) within the radius, without subtrees that have the
+        query's label throughout."""
         query, node, hits = np.arange(len(fp)), root, []
         while len(query):
-            new = (self.low[node] != label[query]) | (self.high[node] != label[query])
+            # children come after their parents, so the rest of the subtree is not before the query either
+            new = ((self.low[node] != label[query]) | (self.high[node] != label[query])) & (node < own[query])
             query, node = query[new], node[new]
-            far = np.bitwise_count(fp[query] ^ self.fp[node]).astype(np.int64)
+            far = apart(fp[query], self.fp[node])
             near = far <= radius
             hits.append((query[near], node[near]))
-            lo = np.searchsorted(self.key, node * 65 + np.maximum(far - radius, 0))
-            n = np.searchsorted(self.key, node * 65 + np.minimum(far + radius, 64), side="right") - lo
+            lo = np.searchsorted(self.key, node * (self.most + 1) + np.maximum(far - radius, 0))
+            n = np.searchsorted(self.key, node * (self.most + 1) + np.minimum(far + radius, self.most), side="right") - lo
             step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             query, node = np.repeat(query, n), self.node[np.repeat(lo, n) + step]
         return np.concatenate([q for q, _ in hits]), np.concatenate([n for _, n in hits])
@@ -134,7 +143,7 @@ def link(fp: np.ndarray, group: np.ndarray, is_node: np.ndarray, is_query: np.nd
     size = np.bincount(tree, minlength=len(groups))
     first = np.searchsorted(home, np.arange(len(groups)))
     rank = np.arange(len(queries)) - first[home]
-    place = np.full(len(fp), -1)
+    place = np.full(len(fp), len(fp))  # queries that are no nodes search all of them
     place[nodes] = np.arange(len(nodes))
     for low, high in ((0, 4), (4, 32), (32, 256), (256, len(fp))):
         some = np.flatnonzero((rank >= low) & (rank < high))
@@ -143,39 +152,41 @@ def link(fp: np.ndarray, group: np.ndarray, is_node: np.ndarray, is_query: np.nd
             if len(part):
                 # labels of nodes, as items
                 forest.spread(label[nodes])
-                q, n = forest.search(fp[queries[part]], forest.roots[home[part]], label[queries[part]], radius)
+                q, n = forest.search(fp[queries[part]], forest.roots[home[part]], label[queries[part]], radius, place[queries[part]])
                 label = unite(label, queries[part][q], nodes[n])
     return label
 
 
-def _linker(radius: int):
-    """Over rows (bucket, a, b, mine, fp) sorted by the first three: spanning edges (a, b) of what links in each group."""
+def _linker(radius: int, words: int):
+    """Over rows (bucket, a, b, mine, words of fp) sorted by the first three: spanning edges (a, b), by the first words of the
+    fingerprints, of what links in each group."""
 
-    def edges(bucket, a, b, mine, fp) -> pa.RecordBatch:
+    def edges(got: np.ndarray) -> pa.RecordBatch:
+        bucket, a, b, mine = got[:4]
+        fp = (got[4] if words == 1 else np.ascontiguousarray(got[4:].T)).view(np.uint64)
         new = np.r_[True, (bucket[1:] != bucket[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])]
         group = np.cumsum(new) - 1
         keep = np.bincount(group)[group] > 1
-        fp, group, a, b, mine = fp[keep], group[keep], a[keep], b[keep], mine[keep]
+        name, fp, group, a, b, mine = got[4][keep], fp[keep], group[keep], a[keep], b[keep], mine[keep]
         label = link(fp, group, mine == a, mine == b, radius) if len(fp) else np.zeros(0, np.int64)
         up = np.flatnonzero(label != np.arange(len(fp)))
-        return pa.RecordBatch.from_arrays([pa.array(fp[up].view(np.int64)), pa.array(fp[label[up]].view(np.int64))], names=["a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array(name[up]), pa.array(name[label[up]])], names=["a", "b"])
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         n = 0
         for batch in batches:
-            held.append(np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]))
+            held.append(np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(4 + words)]))
             n += batch.num_rows
             if n >= TOGETHER:
                 got = np.concatenate(held, axis=1)
                 whole = np.flatnonzero((got[:3, 1:] != got[:3, :-1]).any(axis=0))  # the last group may go on
                 if len(whole):
-                    yield edges(*got[:4, : whole[-1] + 1], got[4, : whole[-1] + 1].view(np.uint64))
+                    yield edges(got[:, : whole[-1] + 1])
                     got = got[:, whole[-1] + 1 :]
                 held, n = [got], got.shape[1]
         if n:
-            got = np.concatenate(held, axis=1)
-            yield edges(*got[:4], got[4].view(np.uint64))
+            yield edges(np.concatenate(held, axis=1))
 
     return over
 
@@ -188,15 +199,19 @@ def links(prints: DataFrame, radius: int = 3) -> DataFrame:
     signed = lambda x: x - (1 << 64) if x >> 63 else x
     # the bits of two blocks and the number of the pair of blocks, hashed; buckets that collide only mean more comparisons
     buckets = F.array(*[F.xxhash64(F.col("fp").bitwiseAND(F.lit(signed(mask[i] | mask[j]))), F.lit(k)) for k, (i, j) in enumerate(combinations(range(blocks), 2))])
-    rows = prints.select("fp", F.explode(buckets).alias("bucket"))
+    return linked(prints.select("fp", F.explode(buckets).alias("bucket")), ["fp"], radius)
+
+
+def linked(rows: DataFrame, words: list[str], radius: int) -> DataFrame:
+    """Of rows (bucket, words of a fingerprint): edges (a, b), by first words, a spanning forest of the links in each bucket."""
     sizes = stored(rows.groupBy("bucket").agg(F.count("*").alias("n")).where(f"n > {SHARD}"), "sizes")
     # at most 10 / SHARD of the fingerprints are such buckets: small enough to broadcast up to a billion fingerprints
     rows = rows.join(F.broadcast(sizes) if sizes.count() <= 1_000_000 else sizes, "bucket", "left")
     shards = F.ceil(F.col("n") / SHARD).cast("long")
-    rows = rows.withColumn("mine", F.when(F.col("n").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("fp", F.lit(7)), shards)).cast("long"))
+    rows = rows.withColumn("mine", F.when(F.col("n").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(*words, F.lit(7)), shards)).cast("long"))
     rows = rows.withColumn("other", F.explode(F.when(F.col("n").isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.sequence(F.lit(0).cast("long"), shards - 1))))
-    rows = rows.select("bucket", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"), "mine", "fp")
-    return rows.repartition("bucket", "a", "b").sortWithinPartitions("bucket", "a", "b", "mine", "fp").mapInArrow(_linker(radius), "a long, b long")
+    rows = rows.select("bucket", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"), "mine", *words)
+    return rows.repartition("bucket", "a", "b").sortWithinPartitions("bucket", "a", "b", "mine", *words).mapInArrow(_linker(radius, len(words)), "a long, b long")
 
 
 def classes(df: DataFrame, id: str = "doc_id", text: str = "text", radius: int = 3, shingle: int = 3) -> DataFrame:
@@ -217,7 +232,7 @@ def dedup(df: DataFrame, id: str = "doc_id", text: str = "text", radius: int = 3
     """One row of each class, with the columns of ``df``: of the smallest id, and of its texts that of the smallest hash.
 
     With a ``similarity`` documents link not by fingerprints alone but if so much of their shingles' union is in both:
-    fingerprints within ``radius`` are then candidates only, inside the buckets of ``near_dedup``.
+    fingerprints within ``radius`` are then candidates only, and have 256 bits; see ``near_dedup``.
     """
     if similarity is not None:
         from tidemark.llm import near_dedup
