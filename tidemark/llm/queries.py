@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, chat, exact_dedup, packing, quality_model, quality_rules, sharding, simhash, substring_dedup, warc
+from tidemark.llm import bpe, centroids, chat, exact_dedup, packing, periodic, pii, quality_model, quality_rules, sharding, simhash, substring_dedup, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_byte_bpe": bpe.op10_byte_bpe,
+    "op11_centroids": centroids.op11_centroids,
+    "op12_pii": pii.op12_pii,
+    "op13_periodic": periodic.op13_periodic,
 }
 
 ORACLES = {
@@ -24,4 +27,5 @@ ORACLES = {
     "op6_chat": chat.ORACLE,
     "op7_quality_rules": quality_rules.ORACLE,
     "op9_substring_dedup": substring_dedup.ORACLE,
+    "op11_centroids": centroids.ORACLE,
 }
