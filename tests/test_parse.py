@@ -1,5 +1,7 @@
 """Statements one by one, with the forms that a redo log may hold."""
 
+import random
+
 import pytest
 
 from tidemark.operators import parse
@@ -60,16 +62,52 @@ def test_only_equalities_of_conditions_count(spark):
 
 
 def test_what_is_not_understood_is_not_parsed(spark):
-    deep = "(" * 30 + "1" + ")" * 30
     got = images(
         spark,
-        f"""insert into "T"("A","B") values ('1',f{deep})""", """insert into "T"("A","B") values ('1')""", """insert into "T" values ('1')""", """insert into "T"("A") select 1 from dual""",
+        """insert into "T"("A","B") values ('1',f((1))""", """insert into "T"("A","B") values ('1')""", """insert into "T" values ('1')""", """insert into "T"("A") select 1 from dual""",
         """insert into "T"("A","B") values ('1',)""", """insert into "T"("A","B") values ('1','2'""", """insert into "T"("A","B") values ('1','it''s)""", """update "T" set "A" where "B" = 1""",
-        """update "T" set "A" = 1""", f"""update "T" set "A" = {deep} where "B" = 1""", """delete from "T\"""", """delete from "T" where ("A" = 1""",
+        """update "T" set "A" = 1""", """update "T" set "A" = (1)) where "B" = (1""", """delete from "T\"""", """delete from "T" where ("A" = 1""",
     )
     assert got == [NO] * 12
 
 
+def test_brackets_of_any_depth_after_any_gap(spark):
+    deep = "(" * 300 + "1" + ")" * 300
+    wide = " " * 12 + "\n\t/* ( */ "
+    got = images(
+        spark,
+        f"""insert into "T"("A","B") values ('1',f{deep})""", f"""update "T" set "A" = {deep} where "B" = 1""", """update "T" set "A" =            (1 + 2) where "ID" = 5""",
+        f"""update "T" set "A" ={wide}f{wide}(1,{wide}2){wide}where{wide}({wide}({wide}"ID" ={wide}5{wide}){wide}or not{wide}("X" = g{wide}(1)))""",
+        f"""delete from "T" where{wide}UPPER{wide}("D") = 'D' and (("A" = 1)) and exists (select 1 from "U" where "Z" = 3) and "E" = 4""",
+        """insert into T (A, B) values (1, (select max(x) from (select 1 x from dual where a in ('(', "(") ) ))""",
+        """update "T" set "A" = "P"."F"(1) where "B" = 2""", """update "T" set ("A") = (1) where "B" = 2""", """delete from "T" where "A" = 1) or ("B" = 2""",
+    )
+    assert got[0] == (None, {"A": "1", "B": f"f{deep}"}, True) and got[1] == ({"B": "1"}, {"A": deep}, True) and got[2] == ({"ID": "5"}, {"A": "(1 + 2)"}, True)
+    assert got[3] == ({"ID": "5", "X": "g (1)"}, {"A": "f (1, 2)"}, True)
+    assert got[4] == ({'UPPER ("D")': "D", "A": "1", "E": "4"}, None, True)
+    assert got[5] == (None, {"A": "1", "B": """(select max(x) from (select 1 x from dual where a in ('(', "(") ) )"""}, True)
+    assert got[6] == ({"B": "2"}, {"A": '"P" . "F" (1)'}, True) and got[7:] == [NO] * 2
+
+
+#: Statements by their tokens; a gap may stand between any two.
+PARTS = [
+    ["insert", "into", '"S"', ".", '"T"', "(", '"A"', ",", '"B"', ",", '"C"', ")", "values", "(", "'x ('' y'", ",", "NVL(a, 'b')", "+", "(1 * (2))", ",", "TIMESTAMP ' 2020-01-01 00:00:00'", ")"],
+    ["update", '"T"', "set", '"A"', "=", "((1) || f(g(2)))", ",", '"B"', "=", "-", "5", "where", "(", '"ID"', "=", "'1'", "or", "not", "(", '"C"', "is", "null", ")", ")", "and", '"D"', "=", "h(1, (2))"],
+    ["delete", "from", "T", "where", '"A"', "=", "1.5e-3", "and", "(", "B", "<>", "f(x)", ")", "and", "UPPER(\"C\")", "=", "N'c'", ";"],
+]
+
+
+def test_gaps_between_tokens_change_no_image(spark):
+    drawn = random.Random(7)
+    gap = lambda: "".join(drawn.choice((" ", "  ", "\n", "\t", "\x0b", "/* ' ( \" */", "-- it's )\n", " " * 40)) for _ in range(drawn.randint(1, 4)))
+    # words need a gap between them, signs none; a minus next to a comment would be part of it
+    spread = lambda parts: "".join(x + (" " * (x == "-") + gap() if drawn.random() < 0.7 or (x[-1].isalnum() and y[:1].isalnum()) or x + y in ("--", "/*") else "") for x, y in zip(parts, [*parts[1:], "("]))
+    plain = images(spark, *[" ".join(p) for p in PARTS])
+    assert all(p for *_, p in plain)
+    many = images(spark, *[spread(p) for _ in range(60) for p in PARTS])
+    assert many == plain * 60
+
+
 @pytest.mark.parametrize("n, size", [(502, 4000), (1000, 10)])
 def test_long_statement(spark, n, size):
     names, long = [f"C{i}" for i in range(n)], "a" * size

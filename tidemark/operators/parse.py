@@ -1,10 +1,12 @@
 """Row images from redo statements, with SQL functions only.
 
-A statement is cut into tokens once: typed literals, strings, quoted names, calls and brackets inside expressions (one token,
-up to ``DEPTH`` deep), numbers, words, and signs.  What stands between commas or conditions is a slice of the tokens: a
-single one is a literal or a name, more are an expression, kept as its text.  Only ``=`` gives an equality of a condition;
-of a name that comes twice the last value holds.  Images are maps from column names to texts; a column that the statement
-compares with IS NULL is absent.  What is not understood, brackets too deep among it, is not parsed, never parsed wrongly.
+A statement is cut into tokens once: gaps (blanks and comments), typed literals, strings, quoted names, numbers, words, and signs.
+Then brackets of expressions are put together, to any depth: a walk over the brackets alone counts how deep each is, and
+what an outermost one holds, with the name of a call in front, becomes one token.  What stands between commas or conditions is a
+slice of the tokens: a single one is a literal or a name, more are an expression, kept as its text.  Only ``=`` gives an equality of
+a condition; of a name that comes twice the last value holds.  Images are maps from column names to texts; a column that the
+statement compares with IS NULL is absent.  How wide a gap is never changes an image.  What is not understood is not parsed, never
+parsed wrongly.
 """
 
 from __future__ import annotations
@@ -14,28 +16,61 @@ from pyspark.sql import functions as F
 
 from tidemark.schema import UPDATE
 
-#: Brackets inside brackets of one expression.
-DEPTH = 12
-
 _STRING, _NAME = r"'(?:[^']++|'')*+'", r'"[^"]*+"'
+#: Gaps; literals with a type or a prefix; strings; names; numbers; words; signs.
+TOKEN = "|".join((
+    r"(?i)(?:\s++|--[^\n]*+|/\*(?s:.*?)\*/)++", rf"\b(?:TIMESTAMP|DATE)\s*+{_STRING}", rf"(?:\b[NU])?{_STRING}", _NAME,
+    r"\d[\d.]*+(?:e[+-]?\d++)?(?![\w$#])", r"[\w$#.@]++", r"\|\||[<>!^]=|<>|[^\s\w]",
+))
+#: Words and signs after which a bracket of a condition groups conditions; after others it belongs to an expression.
+_GROUPS = ("where", "and", "or", "not", "set", "(")
+_WALK = "struct<depth:int,inside:int,start:int,closed:boolean,found:array<struct<first:int,last:int>>>"
 
 
-def _brackets(depth: int) -> str:
-    return rf"\((?:[^()'\"]++|{_STRING}|{_NAME}|{_brackets(depth - 1)})*+\)" if depth else rf"\((?:[^()'\"]++|{_STRING}|{_NAME})*+\)"
+def _is_gap(token: Column) -> Column:
+    return F.ascii(token).isin(9, 10, 11, 12, 13, 32) | token.startswith("--") | token.startswith("/*")
 
 
-_DEEP = _brackets(DEPTH)
-#: Comments; literals with a type or a prefix; strings; names; calls and brackets of expressions; numbers; words; signs.
-TOKEN = "|".join((
-    r"(?i)--[^\n]*+|/\*(?s:.*?)\*/", rf"\b(?:TIMESTAMP|DATE)\s*{_STRING}", rf"(?:\b[NU])?{_STRING}", _NAME,
-    rf"(?<=[=,(|+*/<>-]\s{{0,9}})(?:[\w$#.]++\s*)?{_DEEP}", rf"(?<=\b(?:and|or|not|where)\s{{1,9}})(?!(?:and|or|not)\b)[\w$#.]++\s*{_DEEP}",
-    r"\d[\d.]*+(?:e[+-]?\d++)?(?![\w$#])", r"[\w$#.@]++", r"\|\||[<>!^]=|<>|[^\s\w]",
-))
+def _bracket(t: Column, x: Column, i: Column) -> Column:
+    """A bracket at place i (from 0) of tokens with gaps: the sign, its place, and the token in front of it with its place, from 1."""
+    back = F.when(_is_gap(F.coalesce(F.get(t, i - 1), F.lit("x"))), i - 1).otherwise(i)
+    return F.struct(x.alias("sign"), (i + 1).alias("at"), F.lower(F.coalesce(F.get(t, back - 1), F.lit(""))).alias("before"), back.alias("before_at"))
+
+
+def _walk(insert: Column, acc: Column, b: Column) -> Column:
+    """One bracket further: how deep, from which depth and place on an expression's bracket is open, and those found so far."""
+    depth, inside, start, closed, found = (acc[x] for x in ("depth", "inside", "start", "closed", "found"))
+    opens, ends = b["sign"] == "(", (b["sign"] == ")") & (inside > 0) & (inside == depth)
+    # an insert's outer brackets are its lists
+    begins = opens & (inside == 0) & F.when(insert, depth > 0).otherwise(~b["before"].isin(*_GROUPS))
+    called = b["before"].rlike(r"^[\w$#.]+$") & ~b["before"].isin("and", "or", "not", "values")
+    return F.struct(
+        F.when(opens, depth + 1).otherwise(depth - 1).alias("depth"), F.when(begins, depth + 1).when(ends, 0).otherwise(inside).alias("inside"),
+        F.when(begins, F.when(called, b["before_at"]).otherwise(b["at"])).otherwise(start).alias("start"), (closed & (opens | (depth > 0))).alias("closed"),
+        F.when(ends, F.array_append(found, F.struct(start.alias("first"), b["at"].alias("last")))).otherwise(found).alias("found"),
+    ).cast(_WALK)
+
+
+def _fold(t: Column, walked: Column) -> Column:
+    """Tokens without gaps, and with one for each expression's bracket; null if brackets don't match."""
+    whole = F.filter(t, lambda x: ~_is_gap(x))
+    text = lambda g: F.array_join(F.transform(F.slice(t, g["first"], g["last"] - g["first"] + 1), lambda x: F.when(_is_gap(x), " ").otherwise(x)), "")
+    last = lambda found, k: F.coalesce(F.get(found, k - 1)["last"], F.lit(0))
+    between = lambda found, k, stop: F.filter(F.slice(t, last(found, k) + 1, stop - last(found, k) - 1), lambda x: ~_is_gap(x))
+    parts = lambda found: F.concat(F.flatten(F.transform(found, lambda g, k: F.array_append(between(found, k, g["first"]), text(g)))), between(found, F.size(found), F.size(t) + 1))
+    return F.when(walked["closed"] & (walked["depth"] == 0), F.when(F.size(walked["found"]) > 0, parts(walked["found"])).otherwise(whole))
 
 
 def tokens(sql: Column) -> Column:
-    """The tokens of a statement, without comments and a semicolon at the end."""
-    return F.filter(F.regexp_extract_all(sql, F.lit(TOKEN), F.lit(0)), lambda x: ~x.startswith("--") & ~x.startswith("/*") & (x != ";"))
+    """The tokens of a statement, without gaps and a semicolon at the end, each bracket of an expression as one; null if brackets don't match."""
+    none = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("inside"), F.lit(0).alias("start"), F.lit(True).alias("closed"), F.array().alias("found")).cast(_WALK)
+
+    def folded(t: Column) -> Column:
+        brackets = F.array_compact(F.transform(t, lambda x, i: F.when(x.isin("(", ")"), _bracket(t, x, i))))
+        insert = F.lower(F.coalesce(F.get(F.filter(F.slice(t, 1, 2), lambda x: ~_is_gap(x)), F.lit(0)), F.lit(""))) == "insert"
+        return _let(F.aggregate(brackets, none, lambda acc, b: _walk(insert, acc, b)), lambda walked: _fold(t, walked))
+
+    return _let(F.filter(F.regexp_extract_all(sql, F.lit(TOKEN), F.lit(0)), lambda x: x != ";"), folded)
 
 
 def decode_literal(token: Column) -> Column:
@@ -159,7 +194,7 @@ def drop_unparsable(changes: DataFrame) -> DataFrame:
 
 
 def unparsable(changes: DataFrame) -> DataFrame:
-    """The changes whose statements can't be read, to be kept apart."""
+    """The changes whose statements can't be read, to be kept apart (``plans.cdc.outcomes`` has them with a reason)."""
     return parse(changes).where("NOT parsed").select(*changes.columns)
 
 
