@@ -35,13 +35,16 @@ def source_struct(connector: str, ts: Column, tx: Column, scn: Column, owner: Co
 UNKNOWN = "unknown column"
 
 
-def typed_struct(image: Column, schema: StructType, zone: str) -> Column:
+def typed_struct(image: Column, schema: StructType, zone: str, strict: bool = True) -> Column:
     """A map of texts as a typed row; absent columns are null, an absent image is a null row.
 
-    A column that the schema lacks is an error, as its value would be lost: the table has changed (see ``plans.cdc``).
+    A column that the schema lacks is an error, as its value would be lost: the table has changed (see ``plans.cdc``).  If not
+    ``strict``, that is for the caller to see to.
     """
     lacking = unknown_columns(image, schema)
     row = F.struct(*[types.typed(image[f.name], f, zone).alias(f.name) for f in schema])
+    if not strict:
+        return F.when(image.isNotNull(), row)
     error = F.raise_error(F.concat(F.lit(f"{UNKNOWN} of this schema: "), F.array_join(lacking, ", "))).cast(StructType([*schema.fields]))
     return F.when(image.isNull(), F.lit(None)).when(F.size(lacking) > 0, error).otherwise(row)
 
@@ -73,12 +76,12 @@ def envelopes(changes: DataFrame, value: StructType, key: StructType | None, db:
 TEXTS = "array<struct<topic:string,key:string,value:string,part:int>>"
 
 
-def texts(value: StructType, key: StructType | None, db: str, connector: str, zone: str = "UTC", tombstones: bool = True) -> Column:
+def texts(value: StructType, key: StructType | None, db: str, connector: str, zone: str = "UTC", tombstones: bool = True, strict: bool = True) -> Column:
     """The records (topic, key and value as JSON, part) of a parsed change that has ``op`` and ``image``: none for an insert that
     lacks a required column, and after a delete a tombstone."""
     raw = F.when(F.col("op").isin("r", "i"), F.col("image")).otherwise(F.col("before"))
     source = source_struct(connector, F.col("timestamp"), F.col("xid"), F.col("scn"), F.col("seg_owner"), F.col("table_name"), F.col("username"))
-    row = F.to_json(F.struct(F.col("op"), typed_struct(F.col("before"), value, zone).alias("before"), typed_struct(F.col("image"), value, zone).alias("after"), source.alias("source"), F.current_timestamp().alias("ts_ms")))
+    row = F.to_json(F.struct(F.col("op"), typed_struct(F.col("before"), value, zone, strict).alias("before"), typed_struct(F.col("image"), value, zone, strict).alias("after"), source.alias("source"), F.current_timestamp().alias("ts_ms")))
     keys = F.lit(None).cast("string") if key is None else F.to_json(F.struct(*[types.typed(raw[f.name], f, zone).alias(f.name) for f in key]))
     topic, lacks = topic_name(db, F.col("seg_owner"), F.col("table_name")), F.lit(False)
     for f in value:

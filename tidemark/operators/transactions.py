@@ -89,25 +89,49 @@ def _nodes(first: str, stop: str, levels: int) -> Column:
 def low_watermark(rows: DataFrame) -> DataFrame:
     """For each commit the smallest min_scn of the transactions open at its place: xid, commit_seq, low_scn (null: none).
 
-    Intervals of places are cut into aligned intervals, at most two a level, and a place lies in one of each level: an
-    equi-join with a row for a commit and level, instead of all pairs of commits and open transactions.  The largest place
-    in the log, which is read first, bounds the levels.
+    The largest place in the log, which is read first, bounds the levels of ``lowest``.
     """
     stop = (rows.agg(F.max("seq").alias("stop")).first()["stop"] or 0) + 1
+    return lowest(rows.where("operation = 'COMMIT'").select("xid", F.col("seq").alias("commit_seq")), opened(rows), stop)
+
+
+def lowest(commits: DataFrame, spans: DataFrame, stop: int) -> DataFrame:
+    """For each of ``commits`` (xid, commit_seq; below ``stop``) the smallest min_scn of ``spans`` (start_seq, min_scn, end_seq or
+    null) that are open there.
+
+    Intervals of places are cut into aligned intervals, at most two a level, and a place lies in one of each level: an
+    equi-join with a row for a commit and level, instead of all pairs of commits and open transactions.
+    """
     levels = stop.bit_length()
-    spans = opened(rows).select("min_scn", (F.col("start_seq") + 1).alias("first"), F.coalesce("end_seq", F.lit(stop)).alias("stop"))
+    spans = spans.select("min_scn", (F.col("start_seq") + 1).alias("first"), F.coalesce("end_seq", F.lit(stop)).alias("stop"))
     nodes = spans.select("min_scn", F.explode(_nodes("first", "stop", levels)).alias("n")).groupBy("n.level", "n.number").agg(F.min("min_scn").alias("low"))
-    commits = rows.where("operation = 'COMMIT'").select("xid", F.col("seq").alias("commit_seq"))
     at = commits.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(levels)))).withColumn("number", F.expr("shiftright(commit_seq, level)"))
     return at.join(nodes, ["level", "number"], "left").groupBy("xid", "commit_seq").agg(F.min("low").alias("low_scn"))
 
 
-def record_offsets(rows: DataFrame, batch_size: int) -> DataFrame:
-    """Committed changes with ordinal and offset: the SCN up to which everything is done, the commit's SCN, and whether the
-    record is of its transaction's last batch.  Rows that can't be parsed count, as they take their place in a batch."""
-    committed = with_ordinal(committed_changes(rows), "n")
+def unfinished(rows: DataFrame, control_from: int, done_seq: int | None = None) -> DataFrame:
+    """``rows`` without the transactions that ended before an SCN, or, where it is known, at or before a place in the log.
+
+    A log that is read from its middle has the terminators of all changes that it has, so that a change whose transaction
+    was settled before does not meet a later use of its id, and does not count as open.
+    """
+    over = lambda seq, scn: F.col(scn) < control_from if done_seq is None else F.col(seq) <= done_seq
+    done = terminators(rows).where(over("end_seq", "end_scn")).alias("e")
+    on = (F.col("c.xid") == F.col("e.xid")) & (F.col("c.seq") < F.col("e.end_seq")) & (F.col("e.after_seq").isNull() | (F.col("c.seq") > F.col("e.after_seq")))
+    open_ = rows.where(~is_terminator()).alias("c").join(done, on, "left_anti")
+    return open_.unionByName(rows.where(is_terminator() & ~over("seq", "scn")))
+
+
+def with_offsets(committed: DataFrame, low: DataFrame, batch_size: int) -> DataFrame:
+    """Committed changes with ordinal and offset (see ``record_offsets``), given the ``low_watermark`` of their commits."""
+    committed = with_ordinal(committed, "n")
     last = F.floor((F.col("ordinal") - 1) / batch_size) == F.floor((F.col("n") - 1) / batch_size)
-    low = low_watermark(rows).select("xid", "commit_seq", "low_scn")
-    marked = committed.withColumn("complete", last).join(low, ["xid", "commit_seq"], "left")
+    marked = committed.withColumn("complete", last).join(low.select("xid", "commit_seq", "low_scn"), ["xid", "commit_seq"], "left")
     offset = F.struct(F.lit("cdc").alias("type"), F.least("scn", "low_scn").alias("scn"), F.col("commit_scn").alias("commitScn"), F.col("complete").alias("isTransactionComplete"))
     return marked.withColumn("offset", offset).drop("complete", "low_scn", "n")
+
+
+def record_offsets(rows: DataFrame, batch_size: int) -> DataFrame:
+    """Committed changes with ordinal and offset: the SCN up to which everything is done, the commit's SCN, and whether the
+    record is of its transaction's last batch.  Rows that can't be parsed count, as they take their place in a batch."""
+    return with_offsets(committed_changes(rows), low_watermark(rows), batch_size)

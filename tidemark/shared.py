@@ -61,3 +61,32 @@ def held(df: DataFrame, name: str) -> Iterator[DataFrame]:
         yield df.sparkSession.read.schema(df.schema).parquet(path)
     finally:
         delete(df.sparkSession, path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder, sorted; none where it is not there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(x.getPath().getName() for x in fs.listStatus(at)) if fs.exists(at) else []
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file with a text, there as a whole or not at all; one that is there is replaced."""
+    jvm = spark._jvm
+    at, part = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.part")
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(at, False)
+    if not fs.rename(part, at):
+        raise OSError(f"could not write {path}")
+
+
+def get_text(spark: SparkSession, path: str) -> str:
+    return "\n".join(r["value"] for r in spark.read.option("wholetext", True).text(path).collect())  # one small file

@@ -1,9 +1,13 @@
 """Transactions of a redo log that is read as a stream.
 
-State is kept for each transaction id: its changes so far, as a list that is appended to, never rewritten.  A commit
-emits them with its place, a rollback drops them, and the terminator of an unknown transaction emits nothing.  An open
+State is kept for each transaction id: its changes so far, as a list that is appended to, never rewritten, and where it began.  A
+commit emits them with its place, a rollback drops them, and the terminator of an unknown transaction emits nothing.  An open
 transaction is never timed out.  State lives in the RocksDB store, spilled and checkpointed by Spark; at a commit it is
 read and sent on row by row.
+
+Besides, a narrow row tells that a transaction has begun, in the batch after which it is open for the first time, and that it has ended; of
+these the low watermark of a batch is made (see ``plans.cdc``).  It begins with its first change that counts: one that is readable and not of a
+temporary table.
 """
 
 from __future__ import annotations
@@ -14,48 +18,97 @@ from itertools import chain
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tidemark.schema import LOG
+from tidemark.schema import LOG, TEMPORARY, UNREADABLE
 
 FIELDS = ["seq", "scn", "timestamp", "operation", "operation_code", "seg_owner", "table_name", "username", "sql_redo", "row_id", "csf", "xid", "status"]
 CHANGE = StructType([LOG[x] for x in FIELDS])
 OUT = StructType([*CHANGE.fields, StructField("commit_seq", LongType()), StructField("commit_scn", LongType())])
-SEQ, SCN, OPERATION = (FIELDS.index(x) for x in ("seq", "scn", "operation"))
-Record = Row(*OUT.names)
+#: ``what``: change, opened or ended; the last two have xid, start_seq, min_scn and, at their end, commit_seq.
+TRACED = StructType([*OUT.fields, StructField("what", StringType()), StructField("start_seq", LongType()), StructField("min_scn", LongType())])
+SEQ, SCN, OPERATION, TEXT, CSF, XID, STATUS = (FIELDS.index(x) for x in ("seq", "scn", "operation", "sql_redo", "csf", "xid", "status"))
+Record = Row(*TRACED.names)
+#: Where a transaction began, and, before that is known, the begin of the statement whose pieces come, the end of its text so far, and whether it is a temporary table's.
+BEGIN = "start_seq long, min_scn long, piece_seq long, piece_scn long, tail string, temporary boolean"
+NOTHING = (None, None, None, None, "", False)
 #: Rows of an open transaction that are added to its state together.
 PART = 10_000
 
 
+def _begun(begin: tuple, rows: list[tuple]) -> tuple:
+    """BEGIN after some more rows of a transaction."""
+    start, low, piece, piece_scn, tail, temporary = begin
+    for r in rows:
+        if start is not None:
+            break
+        if piece is None:
+            piece, piece_scn, tail, temporary = r[SEQ], r[SCN], "", False
+        text = tail + (r[TEXT] or "")
+        temporary = temporary or TEMPORARY in text
+        tail = text[1 - len(TEMPORARY) :]
+        if r[CSF] != 1:
+            if not temporary and r[STATUS] != UNREADABLE:
+                start, low = piece, piece_scn
+            piece, piece_scn, tail, temporary = None, None, "", False
+    return start, low, piece, piece_scn, tail, temporary
+
+
 class Transactions(StatefulProcessor):
+    def __init__(self, control_from: int = 0, done_seq: int | None = None):
+        """Transactions that end before the SCN, or at or before the place, are settled and emit nothing."""
+        self.control_from, self.done_seq = control_from, done_seq
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.open = handle.getListState("open", CHANGE)
+        self.begin = handle.getValueState("begin", BEGIN)
+
+    def settled(self, end: tuple) -> bool:
+        return end[SCN] < self.control_from if self.done_seq is None else end[SEQ] <= self.done_seq
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         # rows of one batch come in no order
         got = sorted((tuple(r[x] for x in FIELDS) for r in rows), key=lambda r: r[SEQ])
         held, at = self.open.exists(), 0
+        begin = tuple(self.begin.get()) if self.begin.exists() else NOTHING
+        known = begin[0] is not None
+        told = lambda what, end: Record(*[key[0] if k == XID else None for k in range(len(FIELDS))], end, None, what, *begin[:2])
         for i in [i for i, r in enumerate(got) if r[OPERATION] in ("COMMIT", "ROLLBACK")]:
-            if got[i][OPERATION] == "COMMIT":
+            begin = _begun(begin, got[at:i])
+            if got[i][OPERATION] == "COMMIT" and not self.settled(got[i]):
                 place = (got[i][SEQ], got[i][SCN])
                 for r in chain(self.open.get() if held else (), got[at:i]):
-                    yield Record(*r, *place)
+                    yield Record(*r, *place, "change", None, None)
+            if begin[0] is not None:
+                yield told("ended", got[i][SEQ])
             if held:
                 self.open.clear()
-            held, at = False, i + 1
+            if self.begin.exists():
+                self.begin.clear()
+            held, at, begin, known = False, i + 1, NOTHING, False
         for k in range(at, len(got), PART):
             self.open.appendList(got[k : k + PART])
+        if at < len(got):
+            begin = _begun(begin, got[at:])
+            self.begin.update(begin)
+            if begin[0] is not None and not known:
+                yield told("opened", None)
 
     def close(self) -> None:
         pass
 
 
-def committed(stream: DataFrame) -> DataFrame:
-    """Changes of committed transactions of a streaming log, with commit_seq and commit_scn.  Rows without an operation_code get none."""
+def traced(stream: DataFrame, control_from: int = 0, done_seq: int | None = None) -> DataFrame:
+    """Changes of committed transactions of a streaming log, and where transactions begin and end (see ``TRACED``)."""
     from pyspark.sql import functions as F
 
     rows = stream if "operation_code" in stream.columns else stream.withColumn("operation_code", _code(F))
-    return rows.select(*FIELDS).groupBy("xid").transformWithState(statefulProcessor=Transactions(), outputStructType=OUT, outputMode="Append", timeMode="None")
+    return rows.select(*FIELDS).groupBy("xid").transformWithState(statefulProcessor=Transactions(control_from, done_seq), outputStructType=TRACED, outputMode="Append", timeMode="None")
+
+
+def committed(stream: DataFrame) -> DataFrame:
+    """Changes of committed transactions of a streaming log, with commit_seq and commit_scn.  Rows without an operation_code get none."""
+    return traced(stream).where("what = 'change'").select(*OUT.names)
 
 
 def _code(F):
