@@ -14,6 +14,15 @@ from tidemark.schema import LOG
 from tidemark.streaming import transactions as streaming
 
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """Small logs: their jobs are many and short."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def reused_log(n, seed):
     """Nine ids that are used again and again; some terminators and changes of one SCN."""
     drawn, rows, open_ = random.Random(seed), [], set()

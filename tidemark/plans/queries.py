@@ -9,7 +9,7 @@ from tidemark import shared
 from tidemark.config import Config, Selector
 from tidemark.functions import convert, names, types
 from tidemark.operators import envelope, parse, reassembly, scan, transactions
-from tidemark.plans import cdc
+from tidemark.plans import cdc, ledger
 from tidemark.plans.cdc import CONNECTOR
 from tidemark.sources import catalog, logfiles, snapshot, synth
 
@@ -209,6 +209,20 @@ def parse_expressions(spark: SparkSession, sf: str) -> DataFrame:
     return parse.parse(parse.spread(rows)).select("k", "parsed", F.coalesce(F.size("before"), F.lit(-1)).alias("n_before"), F.col("before")["ID"].alias("id"), a["A"].alias("a"), a["B"].alias("b"), a["C"].alias("c"), a["N"].alias("n"))
 
 
+@query("""SELECT o_orderkey AS k, true AS parsed, o_orderkey::VARCHAR AS id, repeat('(', 1 + o_orderkey % 30) || o_orderkey || repeat(')', 1 + o_orderkey % 30) AS a, 'f (' || o_orderkey || ', (2))' AS b FROM orders""")
+def parse_brackets(spark: SparkSession, sf: str) -> DataFrame:
+    """Brackets of up to 30 levels after gaps of any width, in assignments and around conditions."""
+    gap = lambda n: F.expr(f"repeat(' ', CAST(k % {n} AS INT))")
+    level = F.expr("CAST(1 + k % 30 AS INT)")
+    lit, k = F.lit, F.col("k")
+    sql = F.concat(
+        lit('update "T" set "A" ='), gap(40), F.repeat(lit("("), level), k, F.repeat(lit(")"), level), gap(7), lit(', "B" = f '), gap(11), lit("("), k, lit(", "), gap(5), lit("(2)) where"), lit("\n"), gap(23),
+        lit('(("ID" ='), gap(13), k, lit(") or exists (select 1 from \"U\" where \"ID\" = 0))"),
+    )
+    rows = spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_orderkey").alias("k"), F.col("o_orderkey").alias("seq")).withColumn("sql_redo", sql)
+    return parse.parse(parse.spread(rows)).select("k", "parsed", F.col("before")["ID"].alias("id"), F.col("after")["A"].alias("a"), F.col("after")["B"].alias("b"))
+
+
 @query("""SELECT o_orderkey AS k, 'quote''s ' || o_orderpriority AS a, strftime(o_orderdate, '%Y-%m-%d') AS b, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS c, NULL::VARCHAR AS d, o_custkey::VARCHAR AS e, 'Name' AS f, 'HEXTORAW(''AB'')' AS g FROM orders""")
 def decode_literal(spark: SparkSession, sf: str) -> DataFrame:
     o = spark.read.parquet(f"{sf}/orders.parquet")
@@ -540,13 +554,13 @@ _CATALOG = [c | {"owner": "SALES", "table_name": t, "in_key": c["column_name"] =
 _CATALOG_TYPE = "owner string, table_name string, column_name string, data_type string, data_precision int, data_scale int, nullable string, column_id int, comments string, data_default string, in_key boolean"
 
 
-def _catalog(spark: SparkSession, without: tuple[str, ...] = (), reads: list | None = None) -> catalog.Catalog:
+def _catalog(spark: SparkSession, without: tuple[str, ...] = (), reads: list | None = None, rows: list[dict] = _CATALOG) -> catalog.Catalog:
     """The catalog of the synthetic tables; its first read lacks the columns ``without``."""
-    reads = [] if reads is None else reads
+    reads, every = [] if reads is None else reads, rows
 
     def load() -> DataFrame:
         reads.append(1)
-        rows = [c for c in _CATALOG if len(reads) > 1 or c["column_name"] not in without]
+        rows = [c for c in every if len(reads) > 1 or c["column_name"] not in without]
         return spark.createDataFrame(rows, _CATALOG_TYPE)
 
     return catalog.Catalog(load)
@@ -572,7 +586,7 @@ def _sent(rows: DataFrame, *more) -> DataFrame:
 
 @query(f"{_KEPT} {_SENT.format(more='offset_scn, offset_commit_scn, offset_complete')}")
 def cdc_records(spark: SparkSession, sf: str) -> DataFrame:
-    """The job as a batch: split statements of the whole log to records of all tables of a schema, with offsets and tombstones."""
+    """The job as a batch: the whole log to records of all tables of a schema, with offsets and tombstones."""
     log = synth.redo(spark, sf, users=False)
     rows = cdc.texts(log, _config(), _catalog(spark))
     return _sent(rows, F.col("offset.scn").alias("offset_scn"), F.col("offset.commitScn").alias("offset_commit_scn"), F.col("offset.isTransactionComplete").alias("offset_complete"))
@@ -590,6 +604,66 @@ def cdc_stream(spark: SparkSession, sf: str) -> DataFrame:
     return _sent(spark.read.parquet(f"{base}/out"), "commit_seq")
 
 
+@query(f"{_KEPT} SELECT topic, key_id, seq * 1000 AS seq, part, op, offset_scn, offset_commit_scn, offset_complete FROM ({_SENT.format(more='offset_scn, offset_commit_scn, offset_complete')})")
+def cdc_split(spark: SparkSession, sf: str) -> DataFrame:
+    """The job as a batch over a log whose statements are split over several rows."""
+    rows = cdc.texts(synth.split(synth.redo(spark, sf, users=False)), _config(), _catalog(spark))
+    return _sent(rows, F.col("offset.scn").alias("offset_scn"), F.col("offset.commitScn").alias("offset_commit_scn"), F.col("offset.isTransactionComplete").alias("offset_complete"))
+
+
+_HALF = "(SELECT max(scn) // 2 AS half FROM redo)"
+_OFFSETS_OF = ("offset.scn AS offset_scn", "offset.commitScn AS offset_commit_scn", "offset.isTransactionComplete AS offset_complete")
+_RESUMED = f"""{_KEPT} SELECT s.*, CASE WHEN offset_commit_scn <= half THEN 0 ELSE 1 END AS batch FROM ({_SENT.format(more='offset_scn, offset_commit_scn, offset_complete')}) AS s, {_HALF}"""
+
+
+@query(_RESUMED)
+def cdc_resume(spark: SparkSession, sf: str) -> DataFrame:
+    """The job in two runs to one path, of a log that uses 50 transaction ids again and again: half of it, then all of it from the
+    stored offset on.  Every record is there once, with the offset that the whole log gives."""
+    path, log = shared.scratch(spark, "resume"), synth.redo(spark, sf, users=False, ids=50)
+    half = _current(spark, sf) // 2
+    for part in (log.where(F.col("scn") <= half), log):
+        cdc.go_on(part, _config(), _catalog(spark), path)
+    return _sent(ledger.read(spark, path), *map(F.expr, _OFFSETS_OF), F.col("batch").cast("int").alias("batch"))
+
+
+@query(f"""{REDO} SELECT d.seq, d.xid, t.seq AS commit_seq, d.table_name, d.operation,
+CASE WHEN d.status = 2 THEN 'unreadable' WHEN d.k % 103 = 0 THEN 'unparsable' WHEN d.table_name = 'ORDERS_HIST' THEN 'unknown table' ELSE 'required column is null' END AS reason
+FROM d JOIN t ON d.xid = t.xid WHERE t.operation = 'COMMIT' AND d.seg_owner = 'SALES' AND NOT d.undone AND NOT (d.k % 101 = 0 AND d.k % 103 <> 0)
+AND (d.status = 2 OR d.k % 103 = 0 OR d.table_name = 'ORDERS_HIST' OR (d.operation = 'INSERT' AND d.k % 7 = 1))""")
+def rejected_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """Committed changes that give no record, with the reason: of a catalog that lacks a table, and has a column that can't be null."""
+    rows = [c | {"nullable": "N" if c["column_name"] == "PRIO" else c["nullable"]} for c in _CATALOG if c["table_name"] == "ORDERS"]
+    out = cdc.outcomes(synth.redo(spark, sf, users=False), _config(), _catalog(spark, rows=rows)).where("reason IS NOT NULL")
+    return out.select("seq", "change.xid", "commit_seq", "change.table_name", "change.operation", "reason")
+
+
+@query(f"{_KEPT} {_SENT.format(more='offset_scn, offset_commit_scn, offset_complete')}")
+def cdc_stream_offsets(spark: SparkSession, sf: str) -> DataFrame:
+    """The offsets of streamed records, with low watermarks over open transactions of all batches and a restart between them."""
+    from tidemark.streaming import transactions as streaming
+
+    base, log = shared.scratch(spark, "stream"), synth.redo(spark, sf, users=False, ids=50)
+    for parts in (range(1), range(1, 4)):
+        _write_in_parts(spark, log, f"{base}/log", parts)
+        cdc.stream(streaming.log_files(spark, f"{base}/log"), _config(), _catalog(spark), f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return _sent(ledger.read(spark, f"{base}/out"), *map(F.expr, _OFFSETS_OF))
+
+
+@query(f"""{REDO}, h AS (SELECT d.table_name, d.k FROM d JOIN t ON d.xid = t.xid, {_HALF} WHERE t.operation = 'COMMIT' AND d.scn >= half AND t.scn >= half AND NOT d.undone AND d.seg_owner = 'SALES' AND d.status <> 2 AND d.k % 101 <> 0 AND d.k % 103 <> 0)
+SELECT 'shop-db.SALES.' || tab AS topic, true AS snapshot, k AS id FROM o, {_HALF} WHERE own = 'SALES' AND (k + 1) * 10 <= half UNION ALL SELECT 'shop-db.SALES.' || table_name, false, k FROM h""")
+def cdc_stream_hand_over(spark: SparkSession, sf: str) -> DataFrame:
+    """A snapshot of all tables as of half of the log, then a stream to the same path, which begins at the snapshot's SCN."""
+    from tidemark.streaming import transactions as streaming
+
+    base, log, one = shared.scratch(spark, "stream"), synth.redo(spark, sf, users=False, ids=50), _config(**{"tombstones.on.delete": False})
+    cdc.write_snapshot(lambda _, table, scn: snapshot.as_of(synth.table(spark, sf, table), scn), _current(spark, sf) // 2, one, _catalog(spark), f"{base}/out")
+    _write_in_parts(spark, log, f"{base}/log", range(4))
+    cdc.stream(streaming.log_files(spark, f"{base}/log", 4), one, _catalog(spark), f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    rows = spark.read.option("basePath", f"{base}/out").option("mergeSchema", True).parquet(*[ledger.folder(f"{base}/out", n) for n in ledger.listed(spark, f"{base}/out")])
+    return rows.select("topic", (F.get_json_object("value", "$.op") == "r").alias("snapshot"), F.get_json_object("key", "$.ID").cast("long").alias("id"))
+
+
 @query(f"""{REDO}, h AS (SELECT d.seq, d.k FROM d JOIN t ON d.xid = t.xid, (SELECT max(scn) // 2 AS half FROM redo) WHERE t.operation = 'COMMIT' AND d.scn >= half AND t.scn >= half AND NOT d.undone AND d.seg_owner = 'SALES' AND d.status <> 2 AND d.k % 101 <> 0 AND d.k % 103 <> 0)
 SELECT 'snapshot' AS part, o_orderkey AS id FROM orders, (SELECT max(scn) // 2 AS half FROM redo) WHERE (o_orderkey + 1) * 10 <= half UNION ALL SELECT 'log', k FROM h""")
 def cdc_hand_over(spark: SparkSession, sf: str) -> DataFrame:

@@ -37,8 +37,10 @@ def _statement() -> Column:
              ELSE concat('delete from ', {table}, {where}) END""")
 
 
-def redo(spark: SparkSession, sf_dir: str, users: bool = True) -> DataFrame:
-    """The log.  ``users``: some terminators have null or internal users, so that they don't count."""
+def redo(spark: SparkSession, sf_dir: str, users: bool = True, ids: int | None = None) -> DataFrame:
+    """The log.  ``users``: some terminators have null or internal users, so that they don't count.  ``ids``: so many transaction ids
+    (50, as many as are open at once) are used again and again."""
+    xid = F.concat(F.lit("T"), F.col("x") if ids is None else F.col("x") % ids)
     o = _orders(spark, sf_dir)
     last = o.agg(F.max("block").alias("last_block"))
     named = F.expr("CASE x % 41 WHEN 0 THEN NULL WHEN 1 THEN 'UNKNOWNX' WHEN 2 THEN 'KMINER' ELSE 'APP' END") if users else F.lit("APP")
@@ -47,7 +49,7 @@ def redo(spark: SparkSession, sf_dir: str, users: bool = True) -> DataFrame:
         F.expr("(k + 1) * 10").alias("seq"), F.expr("(k + 1) * 10").alias("scn"), F.timestamp_seconds(F.expr("1577836800 + k")).alias("timestamp"),
         F.expr("CASE st WHEN 'F' THEN 'DELETE' WHEN 'O' THEN 'INSERT' ELSE 'UPDATE' END").alias("operation"), F.expr("CASE st WHEN 'F' THEN 2 WHEN 'O' THEN 1 ELSE 3 END").alias("operation_code"),
         F.expr("CAST(k % 97 = 0 AS INT)").alias("rollback"), F.col("owner").alias("seg_owner"), F.col("tab").alias("table_name"), F.lit("APP").alias("username"),
-        _statement().alias("sql_redo"), F.format_string("R%012d", "k").alias("row_id"), F.lit(0).alias("csf"), F.concat(F.lit("T"), F.col("x")).alias("xid"),
+        _statement().alias("sql_redo"), F.format_string("R%012d", "k").alias("row_id"), F.lit(0).alias("csf"), xid.alias("xid"),
         F.expr("CASE WHEN k % 89 = 0 THEN 2 ELSE 0 END").alias("status"),
     )
     ends = o.groupBy("x").agg(F.max("k").alias("k"), F.max("block").alias("block")).join(F.broadcast(last), F.col("block") < F.col("last_block"))
@@ -55,12 +57,18 @@ def redo(spark: SparkSession, sf_dir: str, users: bool = True) -> DataFrame:
         F.expr("(k + 1) * 10 + 1").alias("seq"), F.expr("(k + 1) * 10 + 1").alias("scn"), F.timestamp_seconds(F.expr("1577836800 + k")).alias("timestamp"),
         F.expr("CASE WHEN x % 3 = 1 THEN 'ROLLBACK' ELSE 'COMMIT' END").alias("operation"), F.expr("CASE WHEN x % 3 = 1 THEN 36 ELSE 7 END").alias("operation_code"), F.lit(0).alias("rollback"),
         F.lit(None).cast("string").alias("seg_owner"), F.lit(None).cast("string").alias("table_name"), named.alias("username"), F.expr("CASE WHEN x % 3 = 1 THEN 'rollback' ELSE 'commit' END").alias("sql_redo"),
-        F.lit("R0").alias("row_id"), F.lit(0).alias("csf"), F.concat(F.lit("T"), F.col("x")).alias("xid"), F.lit(0).alias("status"),
+        F.lit("R0").alias("row_id"), F.lit(0).alias("csf"), xid.alias("xid"), F.lit(0).alias("status"),
     )
     out = changes.unionByName(ends)
     return out.select(*[F.col(f.name).cast(f.dataType) for f in LOG])
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """What SALES.``name`` holds of the orders, as a database gives it, with row_id and row_scn: an order is there from its change on."""
+    o = _orders(spark, sf_dir).where(F.expr(f"k % 17 <> 0 AND (k % 13 = 0) = {name == 'ORDERS_HIST'}"))
+    return o.select(F.col("k").alias("ID"), F.col("cust").alias("CUST"), F.col("cents").alias("CENTS"), F.col("prio").alias("PRIO"), F.col("placed").cast("timestamp_ntz").alias("PLACED"), F.format_string("R%012d", "k").alias("row_id"), F.expr("(k + 1) * 10").alias("row_scn"))
+
+
 def split(log: DataFrame, piece: int = PIECE) -> DataFrame:
     """The log with its statements cut into rows of at most ``piece`` characters; ``seq`` is spread to make room."""
     n = F.greatest(F.ceil(F.length("sql_redo") / piece), F.lit(1)).cast("int")
