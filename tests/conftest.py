@@ -10,7 +10,7 @@ sys.path.insert(0, str(Path(__file__).parents[1]))
 def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
-    b = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false").config("spark.driver.memory", "6g")
+    b = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false").config("spark.driver.memory", "6g").config("spark.python.sql.dataFrameDebugging.enabled", "false")
     out = b.config("spark.sql.session.timeZone", "UTC").config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared"))).getOrCreate()
     out.sparkContext.setLogLevel("ERROR")
     yield out

@@ -11,6 +11,8 @@ parsed wrongly.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -181,7 +183,13 @@ def parse(changes: DataFrame) -> DataFrame:
 
     The images are generated, one for each row: no filter or projection above can be put below and so parse again.
     """
-    return changes.select("*", F.inline(F.array(images(F.col("sql_redo")))))
+    return changes.select("*", _generator(changes.sparkSession.sparkContext.applicationId))
+
+
+@lru_cache(maxsize=1)
+def _generator(application: str) -> Column:
+    """The generator of an application: some thousand calls make its expression, so it is made once and not in each batch of a stream."""
+    return F.inline(F.array(images(F.col("sql_redo"))))
 
 
 def spread(changes: DataFrame) -> DataFrame:

@@ -36,8 +36,8 @@ def change_rows(log: DataFrame, selectors: list[Selector], from_scn: int = 0) ->
 
 
 def scan(log: DataFrame, selectors: list[Selector], change_from: int = 0, control_from: int = 0) -> DataFrame:
-    """Both kinds of rows in one pass over the log; all predicates reach the reader."""
-    return log.where((F.col("rollback") == 0) & (is_control(control_from) | is_change(change_from, selectors))).select(*LOG_COLUMNS)
+    """Both kinds of rows in one pass over the log; all predicates reach the reader, and the lower bound of both chooses files."""
+    return log.where((F.col("scn") >= min(change_from, control_from)) & (F.col("rollback") == 0) & (is_control(control_from) | is_change(change_from, selectors))).select(*LOG_COLUMNS)
 
 
 def bounds(scn: int, commit_scn: int, complete: bool) -> tuple[int, int]:

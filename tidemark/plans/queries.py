@@ -11,7 +11,8 @@ from tidemark.functions import convert, names, types
 from tidemark.operators import envelope, parse, reassembly, scan, transactions
 from tidemark.plans import cdc, ledger
 from tidemark.plans.cdc import CONNECTOR
-from tidemark.sources import catalog, logfiles, snapshot, synth
+from tidemark.schema import LOG
+from tidemark.sources import catalog, logfiles, logsource, snapshot, synth
 
 SALES = [Selector("SALES")]
 ORDERS = [Selector("SALES", "ORDERS"), Selector("TMP", "ORDERS_HIST")]
@@ -548,6 +549,23 @@ def _write_in_parts(spark: SparkSession, log: DataFrame, path: str, parts: range
         log.where(F.expr(f"seq div {step} = {i}")).coalesce(1).write.mode("append").parquet(path)
 
 
+@query(f"{REDO} SELECT 'batch' AS part, {_SLIM} FROM redo, (SELECT max(scn) AS m FROM redo) WHERE scn >= m // 3 AND scn < 2 * m // 3 UNION ALL SELECT 'stream', {_SLIM} FROM redo, (SELECT max(scn) AS m FROM redo) WHERE scn >= m // 3")
+def log_source_read(spark: SparkSession, sf: str) -> DataFrame:
+    """A range of SCNs out of log files, of which only those that hold it are opened, and the log from an SCN on as a stream that ends and goes on as files come."""
+    base, log = shared.scratch(spark, "source"), synth.redo(spark, sf)
+    last = _current(spark, sf)
+    step = last // 8 + 1
+    for parts in (range(5), range(5, 8)):
+        for i in parts:
+            log.where(F.expr(f"scn div {step} = {i}")).coalesce(1).write.parquet(f"{base}/log/{i}")
+        found = [(i * step, (i + 1) * step, f"{base}/log/{i}") for i in parts]
+        spark.createDataFrame(found, "first long, next long, name string").coalesce(1).write.mode("append").parquet(f"{base}/manifest")
+        rows = logsource.log(spark, f"{base}/manifest", last // 3, stream=True)
+        rows.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    batch = logsource.log(spark, f"{base}/manifest").where((F.col("scn") >= last // 3) & (F.col("scn") < 2 * last // 3))
+    return batch.select(F.lit("batch").alias("part"), *SLIM).unionByName(spark.read.schema(LOG).parquet(f"{base}/out").select(F.lit("stream").alias("part"), *SLIM))
+
+
 # The whole job
 
 _CATALOG = [c | {"owner": "SALES", "table_name": t, "in_key": c["column_name"] == "ID", "comments": None, "data_default": None} for t in ("ORDERS", "ORDERS_HIST") for c in _COLUMNS]
