@@ -1,6 +1,7 @@
 """What a job delivers over several runs: resumes with reused ids, the list of batches, rejected changes, order, streams from an offset."""
 
 import random
+import time
 from collections import Counter
 
 import pytest
@@ -120,6 +121,35 @@ def test_rejected_changes_have_a_reason(spark, tmp_path):
     assert {r["reason"] or r["part"]: r["count"] for r in whole} == {0: 4, 1: 1, cdc.UNREADABLE: 1, cdc.UNPARSABLE: 1, cdc.NO_TABLE: 1, cdc.INVALID: 1}
 
 
+def test_many_tables_and_versions_make_a_small_plan(spark):
+    """500 tables of three versions: each change is typed by its table's columns at its SCN."""
+    rows = []
+    for t in range(500):
+        for v, scn in enumerate((1, 100, 200)):
+            kinds = (("NUMBER", 8, 0), ("DATE", None, None), ("NUMBER", 30, 2))[: v + 1]
+            rows += [c | {"from_scn": scn} for c in columns(*((f"C{k}", *kind, "Y") for k, kind in enumerate(kinds)), table_name=f"T{t}")]
+    catalog = known(spark, rows, kind=TYPE + ", from_scn long")
+    log, seq = [], 0
+    for scn, text in ((50, "(\"ID\",\"C0\") values ('1','7')"), (150, "(\"ID\",\"C0\",\"C1\") values ('1','7',DATE ' 2020-01-02')"), (250, "(\"ID\",\"C2\",\"A\") values ('1','2.50','é\"x')")):
+        for t in (0, 7, 499):
+            seq += 1
+            log.append((seq, scn, *row(seq, "INSERT", "X", f'insert into "S"."T{t}"{text}', table=f"T{t}")[2:]))
+    log = spark.createDataFrame([*log, (99, 300, *row(99, "COMMIT", "X")[2:])], LOG)
+    one = config(**{"table.whitelist": "S", "db.dictionary": "REDO_LOG"})
+    begin = time.time()
+    texts = cdc.texts(log, one, catalog)
+    plan = texts._jdf.queryExecution().executedPlan().toString()
+    assert time.time() - begin < 60 and len(plan) < 400_000
+    after = {r["seq"]: r["after"] for r in texts.select("seq", F.regexp_extract("value", r'"after":(\{[^}]*\})', 1).alias("after")).collect()}
+    assert after == {k: x for k, x in enumerate(['{"ID":1,"C0":7}'] * 3 + ['{"ID":1,"C0":7,"C1":"2020-01-02"}'] * 3 + ['{"ID":1,"A":"é\\"x","C2":2.50}'] * 3, 1)}
+    typed = cdc.records(log, config(**{"table.whitelist": "S.T7", "db.dictionary": "REDO_LOG"}), catalog)
+    assert {r["seq"]: r["x"] for p in typed.values() for r in p.select("seq", F.to_json("value.after").alias("x")).collect()} == {k: after[k] for k in (2, 5, 8)}
+    with pytest.raises(Exception, match="unknown column of this schema: C2"):
+        cdc.texts(log, config(**{"table.whitelist": "S.T7"}), known(spark, [c for c in rows if c["from_scn"] == 100], kind=TYPE + ", from_scn long")).collect()
+    with pytest.raises(LookupError):
+        cdc.texts(log, config(**{"table.whitelist": "S.GONE"}), catalog)
+
+
 def in_order(spark, path):
     """The places of records as they lie in files, by the names of batches and files."""
     out = []

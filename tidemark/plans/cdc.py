@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 
 from tidemark import shared
 from tidemark.config import Config
-from tidemark.operators import envelope, parse, reassembly, scan, transactions
+from tidemark.operators import asof, envelope, parse, reassembly, scan, transactions
 from tidemark.plans import ledger
 from tidemark.sources import snapshot
 from tidemark.sources.catalog import Catalog, tables_of
@@ -91,21 +91,17 @@ UNREADABLE, UNPARSABLE, NO_TABLE, NO_COLUMN, INVALID = "unreadable", "unparsable
 def texts_of(rows: DataFrame, config: Config, catalog: Catalog, outcomes: bool = False) -> DataFrame:
     """The records of parsed changes of all tables: topic, key and value as JSON (a null value for a tombstone), part, and the place.
 
-    One pass: each change is typed by the schema of its table, in a branch of one expression, and generates its records.  A column that
-    the schema lacks is an error; with ``outcomes`` (of changes with ``parsed``) a change without records is a row, too, with a
+    One pass: each change is typed by the columns that its table had then (see ``operators.asof``), and generates its records.  A column that
+    the table lacks is an error; with ``outcomes`` (of changes with ``parsed``) a change without records is a row, too, with a
     ``reason`` and itself as ``change``.
     """
+    given = rows.columns
     rows = rows.withColumn("image", parse.after_image(envelope.op_code(F.col("operation")), F.col("before"), F.col("after"))).withColumn("op", envelope.op_letter(F.col("operation")))
-    made = F.lit(None).cast(f"struct<records:{envelope.TEXTS},drift:boolean>")
-    for _, own, value, key in kinds(config, catalog):
-        drift = sum((F.coalesce(F.size(envelope.unknown_columns(F.col(x), value)), F.lit(0)) for x in ("before", "image")), F.lit(0)) > 0 if outcomes else F.lit(False)
-        records = envelope.texts(value, key, config["db.name"], CONNECTOR, config["db.timezone"], config["tombstones.on.delete"], not outcomes)
-        made = F.when(own, F.struct(F.when(~drift, records).alias("records"), drift.alias("drift"))).otherwise(made)
-    place = [c for c in ("offset", "commit_seq", "seq") if c in rows.columns]
+    place = [c for c in ("offset", "commit_seq", "seq") if c in given]
+    rows = asof.made(rows, config, catalog, CONNECTOR, not outcomes)
     if not outcomes:
-        return rows.select(F.inline(made["records"]), *place)
-    rows = rows.withColumn("_change", F.struct(*[c for c in rows.columns if c not in ("image", "op")])).withColumn("_made", F.when(F.col("parsed"), made))
-    out = rows.select(F.inline_outer(F.col("_made.records")), *place, "_change", "parsed", F.col("_made").isNotNull().alias("_known"), F.col("_made.drift").alias("_drift"))
+        return rows.select(F.inline(F.col("_made.records")), *place)
+    out = rows.select(F.inline_outer(F.when(F.col("parsed"), F.col("_made.records"))), *place, F.struct(*given).alias("_change"), "parsed", F.col("_made").isNotNull().alias("_known"), F.col("_made.drift").alias("_drift"))
     reason = F.when(~F.col("parsed"), UNPARSABLE).when(~F.col("_known"), NO_TABLE).when(F.col("_drift"), NO_COLUMN).when(F.col("topic").isNull(), INVALID)
     return out.withColumn("reason", reason).withColumn("change", F.when(F.col("reason").isNotNull(), F.col("_change"))).drop("_change", "parsed", "_known", "_drift")
 

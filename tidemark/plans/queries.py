@@ -629,6 +629,19 @@ def cdc_split(spark: SparkSession, sf: str) -> DataFrame:
     return _sent(rows, F.col("offset.scn").alias("offset_scn"), F.col("offset.commitScn").alias("offset_commit_scn"), F.col("offset.isTransactionComplete").alias("offset_complete"))
 
 
+@query(f"""{_KEPT}, v AS (SELECT max(scn) // 2 AS half FROM redo)
+SELECT sent.seq, 0 AS part, CASE WHEN op <> 'd' THEN CASE WHEN sent.seq < half THEN replace(placed, ' ', 'T') || '.000Z' ELSE placed END END AS placed FROM sent JOIN o ON sent.k = o.k, v
+UNION ALL SELECT seq, 1, NULL FROM sent WHERE op = 'd'""")
+def cdc_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """With the log's own dictionary: a column is a timestamp up to half of the log, and a text from there on."""
+    half = _current(spark, sf) // 2
+    later = [c | {"data_type": "VARCHAR2", "data_scale": None} if c["column_name"] == "PLACED" else c for c in _CATALOG]
+    rows = [c | {"from_scn": scn} for scn, version in ((1, _CATALOG), (half, later)) for c in version]
+    known = catalog.Catalog(lambda: spark.createDataFrame(rows, _CATALOG_TYPE + ", from_scn long"))
+    out = cdc.texts(synth.redo(spark, sf, users=False), _config(**{"db.dictionary": "REDO_LOG"}), known)
+    return out.select("seq", "part", F.get_json_object("value", "$.after.PLACED").alias("placed"))
+
+
 _HALF = "(SELECT max(scn) // 2 AS half FROM redo)"
 _OFFSETS_OF = ("offset.scn AS offset_scn", "offset.commitScn AS offset_commit_scn", "offset.isTransactionComplete AS offset_complete")
 _RESUMED = f"""{_KEPT} SELECT s.*, CASE WHEN offset_commit_scn <= half THEN 0 ELSE 1 END AS batch FROM ({_SENT.format(more='offset_scn, offset_commit_scn, offset_complete')}) AS s, {_HALF}"""
