@@ -20,6 +20,10 @@ from tidemark.operators.scan import selected
 from tidemark.sources.catalog import Catalog
 
 
+#: Columns of a catalog, of all versions together, up to which it is broadcast.
+SMALL = 200_000
+
+
 def _let(value: Column, then) -> Column:
     """``then`` of a value that is computed once."""
     return F.get(F.transform(F.array(value), then), F.lit(0))
@@ -65,7 +69,7 @@ def tables(catalog: Catalog, config: Config, strict: bool = True) -> tuple[DataF
     order = table.orderBy("from_scn")
     first = F.row_number().over(order) == 1
     out = out.withColumn("until_scn", F.lead("from_scn").over(order)).withColumn("from_scn", F.when(~first, F.col("from_scn")))
-    return out, found
+    return F.broadcast(out) if own.count() <= SMALL else out, found
 
 
 def _object(columns: Column, fragments: Column) -> Column:
@@ -81,6 +85,7 @@ def made(rows: DataFrame, config: Config, catalog: Catalog, connector: str, stri
     """
     zone = config["db.timezone"]
     of, kinds = tables(catalog, config, strict)
+    # a hint stays with the plan below a projection
     of = of.select(F.col("owner").alias("_owner"), F.col("table_name").alias("_table"), F.col("from_scn").alias("_from"), F.col("until_scn").alias("_until"), F.col("columns").alias("_columns"))
     on = (F.col("seg_owner") == F.col("_owner")) & (F.col("table_name") == F.col("_table")) & (F.col("_from").isNull() | (F.col("scn") >= F.col("_from"))) & (F.col("_until").isNull() | (F.col("scn") < F.col("_until")))
     rows = rows.join(of, on, "left")
