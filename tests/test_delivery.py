@@ -12,6 +12,7 @@ from tidemark import shared
 from tidemark.operators import scan, transactions
 from tidemark.plans import cdc, ledger
 from tidemark.schema import LOG
+from tidemark.sources import adapters
 from tidemark.streaming import transactions as streaming
 
 
@@ -215,6 +216,42 @@ def test_a_snapshot_that_was_broken_off_goes_on_and_hands_over(spark, tmp_path):
     assert got == {("db.S.T", "r"): 3, ("db.S.U", "r"): 3, ("db.S.T", "i"): after} and after > 10
 
 
+def test_a_snapshot_in_ranges_goes_on_after_the_last_row(spark, tmp_path):
+    """Row ids that are numbers (9 is before 10), tables without rows and of one range, ends after each batch: every row is there once, in
+    ranges that don't overlap, and the log can't begin before the end."""
+    path, catalog = str(tmp_path / "out"), known(spark, columns() + columns(table_name="U") + columns(table_name="V"))
+    one, sizes = config(**{"table.whitelist": "S.T, S.U, S.V"}), {"T": 40, "U": 0, "V": 3}
+    tables = lambda owner, table, scn: spark.range(sizes[table]).selectExpr("CAST(id AS INT) AS ID", "concat('" + table + "', id) AS A", "id * 3 AS row_id", "1L AS row_scn")
+    n = 0
+    while not n or ledger.entry(spark, path, n - 1)["open"]:
+        if n:
+            with pytest.raises(ValueError, match="not whole"):
+                cdc.begin(spark, one, path)
+        assert cdc.write_snapshot(tables, 50 + n, one, catalog, path, 10, 1) == 50
+        n += 1
+        assert ledger.listed(spark, path) == list(range(n)) and n < 20
+    assert cdc.begin(spark, one, path)["scn"] == 50 and cdc.write_snapshot(tables, 99, one, catalog, path, 10) == 50 and len(ledger.listed(spark, path)) == n
+    got = [(r["batch"], r["topic"][-1], int(r["row_id"])) for r in ledger.read(spark, path).select("batch", "topic", "row_id").collect()]
+    assert sorted(r[1:] for r in got) == [("T", 3 * k) for k in range(40)] + [("V", 3 * k) for k in range(3)]
+    in_t = sorted(r for r in got if r[1] == "T")
+    assert [r[2] for r in in_t] == [3 * k for k in range(40)] and len({r[0] for r in in_t}) >= 4
+
+    # a table that isn't selected any more doesn't keep the snapshot open, and one that is new can't come after the log
+    short = str(tmp_path / "short")
+    cdc.write_snapshot(tables, 50, one, catalog, short, 100, 1)
+    less = config(**{"table.whitelist": "S.T"})
+    cdc.write_snapshot(tables, 50, less, catalog, short, 100)
+    assert cdc.begin(spark, less, short)["scn"] == 50
+    cdc.go_on(spark.createDataFrame(reused_log(120, 8), LOG), less, catalog, short)
+    with pytest.raises(ValueError, match="has the log already"):
+        cdc.write_snapshot(tables, 50, one, catalog, short, 100)
+
+
+def test_a_range_is_a_query_of_its_own():
+    assert adapters.snapshot_query("S", "T", 7).endswith("AS OF SCN 7 t") and adapters.snapshot_query("S", "T", 7, "A").endswith(" t WHERE t.ROWID > 'A'")
+    assert adapters.snapshot_query("S", "T", 7, "A", "B").endswith(" t WHERE t.ROWID > 'A' AND t.ROWID <= 'B'")
+
+
 def test_the_bounds_of_the_scan_stay_those_of_the_offset(spark):
     assert scan.bounds(90, 150, True) == (90, 151) and scan.bounds(150, 150, True) == (151, 151) and scan.bounds(90, 150, False) == (90, 150)
     rows = spark.createDataFrame(reused_log(60, 9), LOG)

@@ -24,6 +24,8 @@ from tidemark.sources.catalog import Catalog, tables_of
 from tidemark.streaming import transactions as streaming
 
 CONNECTOR = "tidemark"
+#: Rows of a table that a snapshot delivers together.
+RANGE_ROWS = 20_000_000
 
 
 def _left(log: DataFrame, config: Config, scn: int, commit_scn: int, complete: bool) -> DataFrame:
@@ -208,6 +210,9 @@ def bounds_of(at: dict | None) -> dict:
 
 def begin(spark: SparkSession, config: Config, path: str) -> dict:
     """Where a job over a path goes on, as arguments of ``write``: at its offset, at the SCN of its snapshot, or at start.scn."""
+    done = ledger.listed(spark, path)
+    if done and (more := ledger.entry(spark, path, done[-1]).get("open")):
+        raise ValueError(f"the snapshot in {path} is not whole (more of its {'last ' * (more == 'table')}{more} is to come); go on with write_snapshot")
     kind, at = snapshot.plan(ledger.offset(spark, path), config["start.scn"])
     return bounds_of(snapshot.handover(at) if kind == "snapshot" and at else at)
 
@@ -217,30 +222,43 @@ def go_on(log: DataFrame, config: Config, catalog: Catalog, path: str) -> dict:
     return write(log, config, catalog, path, **begin(log.sparkSession, config, path))
 
 
-def write_snapshot(tables: Callable[[str, str, int], DataFrame], scn: int, config: Config, catalog: Catalog, path: str) -> int:
-    """Deliver a snapshot of all selected tables as batches of a path, one a table, before the log; the SCN that it is of.
+def write_snapshot(tables: Callable[[str, str, int], DataFrame], scn: int, config: Config, catalog: Catalog, path: str, range_rows: int = RANGE_ROWS, most: int | None = None) -> int:
+    """Deliver a snapshot of all selected tables as batches of a path, one for about ``range_rows`` rows of a table by row id, before
+    the log; the SCN that it is of.
 
-    ``tables`` gives a table's rows as of an SCN, with row_id and row_scn.  A snapshot that was broken off goes on at its own SCN with the tables that
-    are not listed yet; tables that come twice in the list of selectors are read once.
+    ``tables`` gives a table's rows as of an SCN, with row_id and row_scn.  A snapshot that was broken off, or ended after ``most`` batches, goes on at
+    its own SCN after the last row id that is listed; ``begin`` refuses a path whose snapshot has not come to its end.  Tables that come twice in
+    the list of selectors are read once.  Within a batch rows come in no order.
     """
     spark = catalog.columns.sparkSession
     done = {n: ledger.entry(spark, path, n) for n in ledger.listed(spark, path)}
-    offsets = [e["offset"] for e in done.values() if (e["offset"] or {}).get("type") == "select"]
-    scn, known = offsets[0]["scn"] if offsets else scn, {(x["owner"], x["table"]) for x in offsets}
-    n = max(done, default=-1)
-    for owner, table in dict.fromkeys(tables_of(catalog.columns, config.selectors)):
-        if (owner, table) in known:
-            continue
-        n += 1
+    n, at_table = max(done, default=-1), {}
+    for e in done.values():
+        if (e["offset"] or {}).get("type") == "select":
+            scn, at_table[e["offset"]["owner"], e["offset"]["table"]] = e["offset"]["scn"], e
+    wanted = list(dict.fromkeys(tables_of(catalog.columns, config.selectors)))
+    left = [t for t in wanted if t not in at_table or at_table[t].get("open") == "table"]
+    if left and done and (done[n]["offset"] or {}).get("type") == "cdc":
+        raise ValueError(f"{path} has the log already; these tables need a snapshot of their own path: {left}")
+    for k, (owner, table) in enumerate(left):
         value, key = catalog.schemas(owner, table)
-        rows = snapshot.read(snapshot.extract(tables(owner, table, scn), value, config["db.timezone"]), owner, table, scn, CONNECTOR)
-        keys = F.to_json(F.struct(*[F.col("after")[f.name].alias(f.name) for f in key])) if key else F.lit(None).cast("string")
-        made = F.to_json(F.struct("op", "before", "after", "source", F.current_timestamp().alias("ts_ms")))
-        out = rows.select(envelope.topic_name(config["db.name"], F.lit(owner), F.lit(table)).alias("topic"), keys.alias("key"), made.alias("value"), F.lit(0).alias("part"), F.col("offset.rowId").alias("row_id"))
-        out.write.mode("overwrite").parquet(ledger.folder(path, n))
-        count, last = spark.read.parquet(ledger.folder(path, n)).agg(F.count("*"), F.max("row_id")).first()
-        offset = {"type": "select", "scn": scn, "owner": owner, "table": table, "rowId": last}
-        ledger.put(spark, path, n, {"source": config.source_partition, "offset": offset, "counts": {"record": count}})
+        rows = snapshot.extract(tables(owner, table, scn), value, config["db.timezone"])
+        last = at_table[owner, table]["offset"]["rowId"] if (owner, table) in at_table else None
+        for begin_, upto in snapshot.ranges(snapshot.after(rows, last), range_rows):
+            if most is not None and n - max(done, default=-1) >= most:
+                return scn
+            n += 1
+            part = snapshot.read(snapshot.between(rows, last if begin_ is None else begin_, upto), owner, table, scn, CONNECTOR)
+            keys = F.to_json(F.struct(*[F.col("after")[f.name].alias(f.name) for f in key])) if key else F.lit(None).cast("string")
+            made = F.to_json(F.struct("op", "before", "after", "source", F.current_timestamp().alias("ts_ms")))
+            out = part.select(envelope.topic_name(config["db.name"], F.lit(owner), F.lit(table)).alias("topic"), keys.alias("key"), made.alias("value"), F.lit(0).alias("part"), F.col("offset.rowId").alias("row_id"))
+            out.write.mode("overwrite").parquet(ledger.folder(path, n))
+            count, end = spark.read.parquet(ledger.folder(path, n)).agg(F.count("*"), F.max(F.col("row_id").cast(rows.schema["row_id"].dataType)).cast("string")).first()
+            offset = {"type": "select", "scn": scn, "owner": owner, "table": table, "rowId": end}
+            more = "table" if upto is not None else "tables" if k + 1 < len(left) else None
+            ledger.put(spark, path, n, {"source": config.source_partition, "offset": offset, "counts": {"record": count}, "open": more})
+    if not left and done and done[n].get("open"):  # the tables that it had before it aren't selected any more
+        ledger.put(spark, path, n, done[n] | {"open": None})
     return scn
 
 

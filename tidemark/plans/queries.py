@@ -695,6 +695,18 @@ def cdc_stream_hand_over(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("topic", (F.get_json_object("value", "$.op") == "r").alias("snapshot"), F.get_json_object("key", "$.ID").cast("long").alias("id"))
 
 
+@query(f"""{REDO} SELECT 'shop-db.SALES.' || tab AS topic, k AS id, k AS record_id, (k + 1) * 10 AS record_scn FROM o, {_HALF} WHERE own = 'SALES' AND (k + 1) * 10 <= half""")
+def snapshot_resume_many(spark: SparkSession, sf: str) -> DataFrame:
+    """A snapshot of two tables in ranges of row ids that ends after two batches, within the first table, then after one more, and then goes on."""
+    path, one, half = shared.scratch(spark, "out"), _config(), _current(spark, sf) // 2
+    tables = lambda _, table, scn: snapshot.as_of(synth.table(spark, sf, table), scn)
+    size = max(tables(None, "ORDERS", half).count() // 4, 1)
+    for scn, most in ((half, 2), (half * 2, 1), (half * 2, None)):  # it stays a snapshot of the first SCN
+        cdc.write_snapshot(tables, scn, one, _catalog(spark), path, size, most)
+    rows = ledger.read(spark, path)
+    return rows.select("topic", F.get_json_object("key", "$.ID").cast("long").alias("id"), F.get_json_object("value", "$.after.ID").cast("long").alias("record_id"), F.get_json_object("value", "$.source.scn").cast("long").alias("record_scn"))
+
+
 @query(f"""{REDO}, h AS (SELECT d.seq, d.k FROM d JOIN t ON d.xid = t.xid, (SELECT max(scn) // 2 AS half FROM redo) WHERE t.operation = 'COMMIT' AND d.scn >= half AND t.scn >= half AND NOT d.undone AND d.seg_owner = 'SALES' AND d.status <> 2 AND d.k % 101 <> 0 AND d.k % 103 <> 0)
 SELECT 'snapshot' AS part, o_orderkey AS id FROM orders, (SELECT max(scn) // 2 AS half FROM redo) WHERE (o_orderkey + 1) * 10 <= half UNION ALL SELECT 'log', k FROM h""")
 def cdc_hand_over(spark: SparkSession, sf: str) -> DataFrame:

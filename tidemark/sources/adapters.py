@@ -7,6 +7,7 @@ the files, returns its rows numbered in their order (``seq``), and ends the sess
 from __future__ import annotations
 
 import time
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,10 +53,16 @@ def log_query(files: list[str], from_scn: int, strategy: str) -> str:
     return f"SELECT {columns} FROM TABLE(mined_log(file_list({names}), {from_scn}, '{how}'))"
 
 
-def snapshot_query(owner: str, table: str, scn: int, last_row_id: str | None = None) -> str:
-    """A table's rows as of an SCN, with row ids and versions, after the last that was read."""
-    after = f" WHERE t.ROWID > '{last_row_id}'" if last_row_id else ""
-    return f'SELECT t.*, t.ROWID AS "row_id", t.ORA_ROWSCN AS "row_scn" FROM "{owner}"."{table}" AS OF SCN {scn} t{after}'
+def snapshot_query(owner: str, table: str, scn: int, last_row_id: str | None = None, upto: str | None = None) -> str:
+    """A table's rows as of an SCN, with row ids and versions, after a row id and up to another (None: all)."""
+    bounds = [f"t.ROWID {sign} '{at}'" for sign, at in ((">", last_row_id), ("<=", upto)) if at]
+    where = f" WHERE {' AND '.join(bounds)}" if bounds else ""
+    return f'SELECT t.*, t.ROWID AS "row_id", t.ORA_ROWSCN AS "row_scn" FROM "{owner}"."{table}" AS OF SCN {scn} t{where}'
+
+
+def snapshot_rows(spark: SparkSession, config: Config, owner: str, table: str, scn: int, ranges: list[tuple[str | None, str | None]]) -> DataFrame:
+    """The rows of a table as of an SCN, with a query, and so a connection and a task, for each range of row ids (see ``snapshot.ranges``)."""
+    return reduce(DataFrame.unionByName, [jdbc(spark, config, snapshot_query(owner, table, scn, *r)) for r in ranges])
 
 
 def broker(records: DataFrame, servers: str, checkpoint: str | None = None):

@@ -20,7 +20,28 @@ def as_of(rows: DataFrame, scn: int, version: str = "row_scn") -> DataFrame:
 
 def after(rows: DataFrame, last: object | None, row_id: str = "row_id") -> DataFrame:
     """The rows after the last one that was read."""
-    return rows if last is None else rows.where(F.col(row_id) > F.lit(last))
+    return between(rows, last, None, row_id)
+
+
+def between(rows: DataFrame, last: object | None, upto: object | None, row_id: str = "row_id") -> DataFrame:
+    """The rows after a row id and up to another; None: from the begin, to the end.  Ids may be given as texts."""
+    kind = rows.schema[row_id].dataType
+    rows = rows if last is None else rows.where(F.col(row_id) > F.lit(last).cast(kind))
+    return rows if upto is None else rows.where(F.col(row_id) <= F.lit(upto).cast(kind))
+
+
+def ranges(rows: DataFrame, size: int, row_id: str = "row_id") -> list[tuple[object | None, object | None]]:
+    """Ranges of row ids, as (after, up to) in their order, that have about ``size`` rows each; None: open.
+
+    Only row ids are read; Spark deals them to ranges by a sample of them, and their last ids come to the driver, one for ``size`` rows.
+    """
+    ids = rows.select(row_id)
+    n = -(-ids.count() // size)
+    if n < 2:
+        return [(None, None)]
+    last = ids.repartitionByRange(n, row_id).groupBy(F.spark_partition_id().alias("part")).agg(F.max(row_id).alias("last"))
+    ends = [r["last"] for r in last.orderBy("last").collect()][:-1]
+    return list(zip([None, *ends], [*ends, None]))
 
 
 def page(rows: DataFrame, size: int, last: object | None = None, row_id: str = "row_id") -> DataFrame:
