@@ -192,6 +192,26 @@ def test_a_stream_has_the_offsets_and_the_order_of_the_batch_job(spark, tmp_path
     assert records(late) == records(cdc.texts(log, config(), catalog, scn=101, commit_scn=101, complete=False)) and min(r[0] for r in records(late)) >= 101
 
 
+def test_rows_of_one_id_are_sorted_in_runs(spark, tmp_path, monkeypatch):
+    """Batches of many runs of three rows, in no order, with ids used again within and across batches, give what the batch job gives."""
+    monkeypatch.setattr(streaming, "PART", 3)
+    monkeypatch.setattr(streaming, "BLOCK", 2)
+    streaming.use_rocksdb(spark)
+    drawn, rows = random.Random(5), []
+    for seq in range(1, 601):
+        end = drawn.random() < 0.02
+        rows.append(row(seq, drawn.choice(["COMMIT", "ROLLBACK"]) if end else "INSERT", f"X{seq % 2}", None if end else insert(seq)))
+    for k in range(3):
+        some = rows[200 * k : 200 * k + 200]
+        drawn.shuffle(some)
+        spark.createDataFrame(some, LOG).coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
+        time.sleep(0.05)
+    streaming.write(streaming.committed(streaming.log_files(spark, str(tmp_path / "log"))), str(tmp_path / "out"), str(tmp_path / "checkpoint")).awaitTermination()
+    got = [(r["seq"], r["commit_seq"]) for r in spark.read.parquet(str(tmp_path / "out")).select("seq", "commit_seq").collect()]
+    want = [(r["seq"], r["commit_seq"]) for r in transactions.committed_changes(spark.createDataFrame(rows, LOG)).select("seq", "commit_seq").collect()]
+    assert sorted(got) == sorted(want) and len(want) > 100
+
+
 def test_a_snapshot_that_was_broken_off_goes_on_and_hands_over(spark, tmp_path):
     """Tables that are listed are not read again, the SCN stays that of the first attempt, and the log begins there."""
     path, log = str(tmp_path / "out"), spark.createDataFrame(reused_log(120, 8), LOG)

@@ -8,13 +8,20 @@ read and sent on row by row.
 Besides, a narrow row tells that a transaction has begun, in the batch after which it is open for the first time, and that it has ended; of
 these the low watermark of a batch is made (see ``plans.cdc``).  It begins with its first change that counts: one that is readable and not of a
 temporary table.
+
+Rows of one batch come in no order.  Those of an id are sorted as runs of ``PART`` rows: all but the last run wait in the state store in blocks
+of ``BLOCK`` rows, and the runs are merged.  So a worker's memory holds PART rows and a block for each run (a million rows of one id: 100
+blocks, 20,000 rows), and the terminators that the id has in the batch.
 """
 
 from __future__ import annotations
 
+import heapq
+import pickle
 import time
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import batched, chain
+from operator import itemgetter
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -32,8 +39,10 @@ Record = Row(*TRACED.names)
 #: Where a transaction began, and, before that is known, the begin of the statement whose pieces come, the end of its text so far, and whether it is a temporary table's.
 BEGIN = "start_seq long, min_scn long, piece_seq long, piece_scn long, tail string, temporary boolean"
 NOTHING = (None, None, None, None, "", False)
-#: Rows of an open transaction that are added to its state together.
+#: Rows of an open transaction that are added to its state together, and of a batch that are sorted together.
 PART = 10_000
+#: Rows of a sorted run that are read together.
+BLOCK = 100
 
 
 def _begun(begin: tuple, rows: list[tuple]) -> tuple:
@@ -55,44 +64,71 @@ def _begun(begin: tuple, rows: list[tuple]) -> tuple:
 
 
 class Transactions(StatefulProcessor):
-    def __init__(self, control_from: int = 0, done_seq: int | None = None):
+    def __init__(self, control_from: int = 0, done_seq: int | None = None, part: int = PART, block: int = BLOCK):
         """Transactions that end before the SCN, or at or before the place, are settled and emit nothing."""
-        self.control_from, self.done_seq = control_from, done_seq
+        self.control_from, self.done_seq, self.part, self.block = control_from, done_seq, part, block
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.open = handle.getListState("open", CHANGE)
         self.begin = handle.getValueState("begin", BEGIN)
+        self.runs = handle.getMapState("runs", "run int, block int", "rows binary")  # empty between batches
 
     def settled(self, end: tuple) -> bool:
         return end[SCN] < self.control_from if self.done_seq is None else end[SEQ] <= self.done_seq
 
+    def run(self, k: int, blocks: int) -> Iterator[tuple]:
+        for b in range(blocks):
+            yield from pickle.loads(self.runs.getValue((k, b))[0])
+
+    def in_order(self, rows: Iterator[Row]) -> tuple[list[tuple], Iterator[tuple]]:
+        """The terminators and the changes of a batch, both by their places."""
+        ends, part, sizes = [], [], []
+        for r in rows:
+            r = tuple(r[x] for x in FIELDS)
+            (ends if r[OPERATION] in ("COMMIT", "ROLLBACK") else part).append(r)
+            if len(part) == self.part:
+                sizes.append(0)
+                for rows_ in batched(sorted(part, key=itemgetter(SEQ)), self.block):
+                    self.runs.updateValue((len(sizes) - 1, sizes[-1]), (pickle.dumps(rows_),))
+                    sizes[-1] += 1
+                part = []
+        runs = [self.run(k, n) for k, n in enumerate(sizes)]
+        return sorted(ends, key=itemgetter(SEQ)), heapq.merge(sorted(part, key=itemgetter(SEQ)), *runs, key=itemgetter(SEQ))
+
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        # rows of one batch come in no order
-        got = sorted((tuple(r[x] for x in FIELDS) for r in rows), key=lambda r: r[SEQ])
-        held, at = self.open.exists(), 0
+        ends, changes = self.in_order(rows)
+        held = self.open.exists()
         begin = tuple(self.begin.get()) if self.begin.exists() else NOTHING
         known = begin[0] is not None
         told = lambda what, end: Record(*[key[0] if k == XID else None for k in range(len(FIELDS))], end, None, what, *begin[:2])
-        for i in [i for i, r in enumerate(got) if r[OPERATION] in ("COMMIT", "ROLLBACK")]:
-            begin = _begun(begin, got[at:i])
-            if got[i][OPERATION] == "COMMIT" and not self.settled(got[i]):
-                place = (got[i][SEQ], got[i][SCN])
-                for r in chain(self.open.get() if held else (), got[at:i]):
+        r = next(changes, None)
+        for end in ends:
+            place = (end[SEQ], end[SCN])
+            wanted = end[OPERATION] == "COMMIT" and not self.settled(end)
+            if wanted and held:
+                for x in self.open.get():
+                    yield Record(*x, *place, "change", None, None)
+            while r is not None and r[SEQ] < end[SEQ]:
+                begin = _begun(begin, [r])
+                if wanted:
                     yield Record(*r, *place, "change", None, None)
+                r = next(changes, None)
             if begin[0] is not None:
-                yield told("ended", got[i][SEQ])
+                yield told("ended", end[SEQ])
             if held:
                 self.open.clear()
             if self.begin.exists():
                 self.begin.clear()
-            held, at, begin, known = False, i + 1, NOTHING, False
-        for k in range(at, len(got), PART):
-            self.open.appendList(got[k : k + PART])
-        if at < len(got):
-            begin = _begun(begin, got[at:])
+            held, begin, known = False, NOTHING, False
+        if r is not None:
+            for some in batched(chain([r], changes), self.part):
+                begin = _begun(begin, some)
+                self.open.appendList(list(some))
             self.begin.update(begin)
             if begin[0] is not None and not known:
                 yield told("opened", None)
+        if self.runs.exists():
+            self.runs.clear()
 
     def close(self) -> None:
         pass
@@ -103,7 +139,7 @@ def traced(stream: DataFrame, control_from: int = 0, done_seq: int | None = None
     from pyspark.sql import functions as F
 
     rows = stream if "operation_code" in stream.columns else stream.withColumn("operation_code", _code(F))
-    return rows.select(*FIELDS).groupBy("xid").transformWithState(statefulProcessor=Transactions(control_from, done_seq), outputStructType=TRACED, outputMode="Append", timeMode="None")
+    return rows.select(*FIELDS).groupBy("xid").transformWithState(statefulProcessor=Transactions(control_from, done_seq, PART, BLOCK), outputStructType=TRACED, outputMode="Append", timeMode="None")
 
 
 def committed(stream: DataFrame) -> DataFrame:
