@@ -29,8 +29,12 @@ WINDOW = 8
 #: A document is rejected if less than this share of its word characters is in lines that stay.
 KEEP_SHARE = 0.5
 
+#: Signs that end a sentence in Latin and Cyrillic; East Asian; Indic; Arabic; Armenian, Ethiopic, Khmer and Burmese writing.
+STOPS = ("[.!?:;]", "…", "。", "｡", "．", "！", "？", "：", "；", "।", "॥", "۔", "؟", "؛", "։", "።", "፧", "។", "။")
+#: Quotes and brackets that may follow.
+CLOSERS = ("[\"')\\]]", "’", "”", "“", "»", "›", "」", "』", "）", "】", "》")
 #: The end of a sentence, then quotes or brackets, then white space or the end.
-ENDS = "(?:[.!?:;]|…|。|！|？)(?:[\"')\\]]|’|”|»)*(?:[ \\t\\r\\v\\f]|$)"
+ENDS = f"(?:{'|'.join(STOPS)})(?:{'|'.join(CLOSERS)})*(?:[ \\t\\r\\v\\f]|$)"
 SYMBOL = r"[#*$%&|<>!~^=+{}\\@_\[\]]"
 SEPARATORS = ("|", "/", ">", ">>", "-", "*", "•", "·", "»", "›")
 #: Stock phrases in English, German, French and Spanish; letters A to Z match in either case.
