@@ -1,4 +1,5 @@
-"""Adapters to databases and brokers.  They need drivers that this machine lacks and are not tested here.
+"""Adapters to databases and brokers.  Reading by JDBC is tested with the small database that Spark ships; the queries of the database
+whose log is mined, and the broker, need drivers that this machine lacks.
 
 ``log_query`` calls a table function ``mined_log`` that the database's owner has to install: it starts a mining session over
 the files, returns its rows numbered in their order (``seq``), and ends the session.
@@ -15,11 +16,11 @@ from pyspark.sql import functions as F
 from tidemark.config import Config
 
 
-def jdbc(spark: SparkSession, config: Config, query: str) -> DataFrame:
-    """A query's rows; connecting is tried db.attempts times, db.backoff.ms apart."""
+def jdbc(spark: SparkSession, config: Config, query: str, url: str | None = None) -> DataFrame:
+    """A query's rows; connecting is tried db.attempts times, db.backoff.ms apart.  ``url``: of another kind of database."""
     config = config.for_database()
     options = {
-        "url": f"jdbc:oracle:thin:@{config['db.hostname']}:{config['db.port']}:{config['db.sid']}", "user": config["db.user"], "password": config["db.user.password"],
+        "url": url or f"jdbc:oracle:thin:@{config['db.hostname']}:{config['db.port']}:{config['db.sid']}", "user": config["db.user"], "password": config["db.user.password"],
         "query": query, "fetchsize": str(config["db.fetch.size"]),
     }
     for attempt in range(1, config["db.attempts"] + 1):
