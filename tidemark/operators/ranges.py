@@ -42,3 +42,17 @@ def last_before(rows: DataFrame, by: list[str], place: str, value: Column, name:
     inside = F.max("_value").over(Window.partitionBy(*by, "_range").orderBy(place).rowsBetween(Window.unboundedPreceding, 0))
     joined = rows.withColumn("_inside", inside).join(per, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in [*by, "_range"]])
     return joined.withColumn(name, F.coalesce("_inside", "_before")).drop("_range", "_value", "_inside", "_before", *[f"_of_{c}" for c in [*by, "_range"]])
+
+
+def earlier(rows: DataFrame, place: str, n: str, name: str, levels: int = 2, bits: int = BITS) -> DataFrame:
+    """``rows`` with the sum of ``n`` over all rows of smaller places (unique).
+
+    Ranges are summed up by ranges of ranges, and so on; what is summed in one task at the end is a row for 1 << (levels * bits) places.
+    """
+    if not levels:
+        return rows.withColumn(name, F.coalesce(F.sum(n).over(Window.orderBy(place).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    own, of, before = f"_range_{levels}", f"_of_{levels}", f"_before_{levels}"
+    rows = rows.withColumn(own, range_of(place, bits))
+    per = earlier(rows.groupBy(own).agg(F.sum(n).alias(of)), own, of, before, levels - 1, bits).select(own, before)
+    inside = F.sum(n).over(Window.partitionBy(own).orderBy(place).rowsBetween(Window.unboundedPreceding, -1))
+    return rows.withColumn(name, F.coalesce(inside, F.lit(0))).join(per, own).withColumn(name, F.col(name) + F.col(before)).drop(own, before)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ranges import range_of, ranked
+from tidemark.operators.ranges import earlier, ranked
 
 def is_terminator() -> Column:
     return F.col("operation").isin("COMMIT", "ROLLBACK")
@@ -44,16 +44,11 @@ def with_ordinal(committed: DataFrame, total: str | None = None) -> DataFrame:
 def emission_order(committed: DataFrame) -> DataFrame:
     """The ``place`` of each change in the order of commits, then of the log, from 1.
 
-    Commits are few rows each, ranked by ranges of the log; a change comes ``ordinal`` after the changes of earlier commits.
+    A change comes ``ordinal`` after the changes of earlier commits, which are counted by ranges of the log.
     """
     done = with_ordinal(committed)
-    per = committed.groupBy("commit_seq").agg(F.count("*").alias("_n")).withColumn("_range", range_of("commit_seq"))
-    up_to = Window.partitionBy("_range").orderBy("commit_seq").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = per.groupBy("_range").agg(F.sum("_n").alias("_of_range"))
-    # one row for each range of 1 << BITS places
-    ranges = ranges.select(F.col("_range").alias("_r"), F.coalesce(F.sum("_of_range").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_earlier"))
-    starts = per.withColumn("_inside", F.coalesce(F.sum("_n").over(up_to), F.lit(0))).join(ranges, F.col("_range") == F.col("_r"))
-    starts = starts.select(F.col("commit_seq").alias("_commit"), (F.col("_earlier") + F.col("_inside")).alias("_start"))
+    starts = earlier(committed.groupBy("commit_seq").agg(F.count("*").alias("_n")), "commit_seq", "_n", "_start")
+    starts = starts.select(F.col("commit_seq").alias("_commit"), "_start")
     return done.join(starts, F.col("commit_seq") == F.col("_commit")).withColumn("place", F.col("_start") + F.col("ordinal")).drop("_commit", "_start")
 
 
