@@ -122,3 +122,8 @@ def test_one_tokeniser_in_a_plan(spark):
 
     plan = core.QUERIES["change_envelope"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract_all") == 1
+
+
+def test_what_an_expression_uses_again_is_computed_once(spark):
+    plan = parse.parse(spark.createDataFrame([(1, "x")], "seq long, sql_redo string"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_position(") < 20  # 100 when each use of a run's = looked for it again

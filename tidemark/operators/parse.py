@@ -19,83 +19,108 @@ from pyspark.sql import functions as F
 from tidemark.schema import UPDATE
 
 _STRING, _NAME = r"'(?:[^']++|'')*+'", r'"[^"]*+"'
-#: Gaps; literals with a type or a prefix; strings; names; numbers; words; signs.
-TOKEN = "|".join((
-    r"(?i)(?:\s++|--[^\n]*+|/\*(?s:.*?)\*/)++", rf"\b(?:TIMESTAMP|DATE)\s*+{_STRING}", rf"(?:\b[NU])?{_STRING}", _NAME,
-    r"\d[\d.]*+(?:e[+-]?\d++)?(?![\w$#])", r"[\w$#.@]++", r"\|\||[<>!^]=|<>|[^\s\w]",
-))
+_GAP = r"(?:\s++|--[^\n]*+|/\*(?s:.*?)\*/)++"
+#: With the gap in front: literals with a type or a prefix; strings; names; numbers; words; signs; or the end.
+TOKEN = rf"(?i)(?:{_GAP})?+(" + "|".join((
+    rf"\b(?:TIMESTAMP|DATE)\s*+{_STRING}", rf"(?:\b[NU])?{_STRING}", _NAME, r"\d[\d.]*+(?:e[+-]?\d++)?(?![\w$#])", r"[\w$#.@]++", r"\|\||[<>!^]=|<>|[^\s\w]", r"\z",
+)) + ")"
+#: No brackets, or an insert whose two lists hold none: nothing is to be put together.
+_PLAIN = r"(?i)\A(?:\s*+insert\b[^()]*+\([^()]*+\)[^()]*+\([^()]*+\))?+[^()]*+\z"
 #: Words and signs after which a bracket of a condition groups conditions; after others it belongs to an expression.
 _GROUPS = ("where", "and", "or", "not", "set", "(")
 _WALK = "struct<depth:int,inside:int,start:int,closed:boolean,found:array<struct<first:int,last:int>>>"
 
 
-def _is_gap(token: Column) -> Column:
-    return F.ascii(token).isin(9, 10, 11, 12, 13, 32) | token.startswith("--") | token.startswith("/*")
+def _let(value: Column, then) -> Column:
+    """``then`` of a value that is computed once: a lambda's variable is never put back as its expression."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
 def _bracket(t: Column, x: Column, i: Column) -> Column:
-    """A bracket at place i (from 0) of tokens with gaps: the sign, its place, and the token in front of it with its place, from 1."""
-    back = F.when(_is_gap(F.coalesce(F.get(t, i - 1), F.lit("x"))), i - 1).otherwise(i)
-    return F.struct(x.alias("sign"), (i + 1).alias("at"), F.lower(F.coalesce(F.get(t, back - 1), F.lit(""))).alias("before"), back.alias("before_at"))
+    """A bracket at place i (from 0) of tokens: the sign, its place from 1, and the token in front of it."""
+    return F.struct(x.alias("sign"), (i + 1).alias("at"), F.lower(F.coalesce(F.get(t, i - 1), F.lit(""))).alias("before"))
 
 
 def _walk(insert: Column, acc: Column, b: Column) -> Column:
     """One bracket further: how deep, from which depth and place on an expression's bracket is open, and those found so far."""
     depth, inside, start, closed, found = (acc[x] for x in ("depth", "inside", "start", "closed", "found"))
-    opens, ends = b["sign"] == "(", (b["sign"] == ")") & (inside > 0) & (inside == depth)
+    opens = b["sign"] == "("
     # an insert's outer brackets are its lists
-    begins = opens & (inside == 0) & F.when(insert, depth > 0).otherwise(~b["before"].isin(*_GROUPS))
+    begins = (inside == 0) & opens & F.when(insert, depth > 0).otherwise(~b["before"].isin(*_GROUPS))
+    ends = ~opens & (inside > 0) & (inside == depth)
     called = b["before"].rlike(r"^[\w$#.]+$") & ~b["before"].isin("and", "or", "not", "values")
-    return F.struct(
-        F.when(opens, depth + 1).otherwise(depth - 1).alias("depth"), F.when(begins, depth + 1).when(ends, 0).otherwise(inside).alias("inside"),
-        F.when(begins, F.when(called, b["before_at"]).otherwise(b["at"])).otherwise(start).alias("start"), (closed & (opens | (depth > 0))).alias("closed"),
-        F.when(ends, F.array_append(found, F.struct(start.alias("first"), b["at"].alias("last")))).otherwise(found).alias("found"),
-    ).cast(_WALK)
+    return F.when(begins, F.struct((depth + 1).alias("depth"), (depth + 1).alias("inside"), F.when(called, b["at"] - 1).otherwise(b["at"]).alias("start"), closed.alias("closed"), found.alias("found")).cast(_WALK)).when(
+        ends, F.struct((depth - 1).alias("depth"), F.lit(0).alias("inside"), start.alias("start"), (closed & (depth > 0)).alias("closed"), F.array_append(found, F.struct(start.alias("first"), b["at"].alias("last"))).alias("found")).cast(_WALK)
+    ).otherwise(F.struct(F.when(opens, depth + 1).otherwise(depth - 1).alias("depth"), inside.alias("inside"), start.alias("start"), (closed & (opens | (depth > 0))).alias("closed"), found.alias("found")).cast(_WALK))
 
 
-def _fold(t: Column, walked: Column) -> Column:
-    """Tokens without gaps, and with one for each expression's bracket; null if brackets don't match."""
-    whole = F.filter(t, lambda x: ~_is_gap(x))
-    text = lambda g: F.array_join(F.transform(F.slice(t, g["first"], g["last"] - g["first"] + 1), lambda x: F.when(_is_gap(x), " ").otherwise(x)), "")
+def _fold(spaced: Column, t: Column, walked: Column) -> Column:
+    """Tokens with one for each expression's bracket; null if brackets don't match."""
+    text = lambda g: F.ltrim(F.array_join(F.slice(spaced, g["first"], g["last"] - g["first"] + 1), ""))
     last = lambda found, k: F.coalesce(F.get(found, k - 1)["last"], F.lit(0))
-    between = lambda found, k, stop: F.filter(F.slice(t, last(found, k) + 1, stop - last(found, k) - 1), lambda x: ~_is_gap(x))
+    between = lambda found, k, stop: _let(last(found, k), lambda x: F.slice(t, x + 1, stop - x - 1))
     parts = lambda found: F.concat(F.flatten(F.transform(found, lambda g, k: F.array_append(between(found, k, g["first"]), text(g)))), between(found, F.size(found), F.size(t) + 1))
-    return F.when(walked["closed"] & (walked["depth"] == 0), F.when(F.size(walked["found"]) > 0, parts(walked["found"])).otherwise(whole))
+    return F.when(walked["closed"] & (walked["depth"] == 0), F.when(F.size(walked["found"]) > 0, parts(walked["found"])).otherwise(t))
 
 
 def tokens(sql: Column) -> Column:
-    """The tokens of a statement, without gaps and a semicolon at the end, each bracket of an expression as one; null if brackets don't match."""
+    """The tokens of a statement, without gaps and a semicolon at the end, each bracket of an expression as one; null if brackets don't match
+    (``_PLAIN`` statements are not looked at for that: their brackets are counted, see ``_images``)."""
     none = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("inside"), F.lit(0).alias("start"), F.lit(True).alias("closed"), F.array().alias("found")).cast(_WALK)
 
-    def folded(t: Column) -> Column:
+    def walked(spaced: Column, t: Column) -> Column:
         brackets = F.array_compact(F.transform(t, lambda x, i: F.when(x.isin("(", ")"), _bracket(t, x, i))))
-        insert = F.lower(F.coalesce(F.get(F.filter(F.slice(t, 1, 2), lambda x: ~_is_gap(x)), F.lit(0)), F.lit(""))) == "insert"
-        return _let(F.aggregate(brackets, none, lambda acc, b: _walk(insert, acc, b)), lambda walked: _fold(t, walked))
+        insert = lambda done: F.aggregate(brackets, none, lambda acc, b: _walk(done, acc, b))
+        return _let(_let(F.lower(F.coalesce(F.get(t, F.lit(0)), F.lit(""))) == "insert", insert), lambda w: _fold(spaced, t, w))
+
+    def folded(found: Column) -> Column:
+        gap = lambda x: (x < "!") | x.startswith("--") | x.startswith("/*")
+        # a gap is one blank in front of its token
+        blank = F.transform(found, lambda x: F.when(gap(x), F.regexp_replace(x, rf"\A{_GAP}", " ")).otherwise(x))
+        bare = lambda spaced: F.transform(spaced, lambda x: F.when(x.startswith(" "), F.substr(x, F.lit(2))).otherwise(x))
+        return _let(F.filter(blank, lambda x: ~x.isin("", " ", ";", " ;")), lambda spaced: _let(bare(spaced), lambda t: walked(spaced, t)))
+
+    def of(plain: Column) -> Column:
+        found = F.regexp_extract_all(sql, F.lit(TOKEN), F.when(plain, 1).otherwise(0))
+        return _let(found, lambda x: F.when(plain, F.filter(x, lambda y: ~y.isin("", ";"))).otherwise(folded(x)))
 
-    return _let(F.filter(F.regexp_extract_all(sql, F.lit(TOKEN), F.lit(0)), lambda x: x != ";"), folded)
+    return _let(F.coalesce(sql.rlike(_PLAIN), F.lit(True)), of)
+
+
+def _inner(token: Column) -> Column:
+    """A token without its first and last character."""
+    return F.substr(token, F.lit(2), F.length(token) - 2)
 
 
 def decode_literal(token: Column) -> Column:
     """NULL is null; of a date, timestamp or string the text inside; of a name the name; anything else as it stands."""
-    inside = F.replace(F.regexp_extract(token, r"(?s)'(.*)'$", 1), F.lit("''"), F.lit("'"))
-    return (
-        F.when(F.upper(token) == "NULL", F.lit(None).cast("string")).when(token.rlike("(?i)^[NU]?'"), inside).when(token.rlike(r"(?i)^(?:TIMESTAMP|DATE)\s*'"), F.ltrim(inside))
-        .when(token.startswith('"'), F.regexp_replace(token, '^"|"$', "")).otherwise(token)
-    )
+
+    def decoded(x: Column) -> Column:
+        inside = F.replace(F.regexp_extract(x, r"(?s)'(.*)'$", 1), F.lit("''"), F.lit("'"))
+        return (
+            F.when(x.startswith("'") & x.endswith("'"), F.replace(_inner(x), F.lit("''"), F.lit("'"))).when(F.upper(x) == "NULL", F.lit(None).cast("string")).when(x.rlike("(?i)^[NU]?'"), inside)
+            .when(x.rlike(r"(?i)^(?:TIMESTAMP|DATE)\s*'"), F.ltrim(inside)).when(x.startswith('"') & x.endswith('"'), _inner(x)).when(x.startswith('"'), F.regexp_replace(x, '^"|"$', "")).otherwise(x)
+        )
+
+    return _let(token, decoded)
 
 
 def _text(part: Column) -> Column:
     """The value that some tokens stand for: of one its literal, of more their text (null for none)."""
-    # a sign in front belongs to what comes after it
-    signed = F.concat(F.array(F.concat(part[0], F.get(part, F.lit(1)))), F.slice(part, 3, F.greatest(F.size(part) - 2, F.lit(0))))
-    joined = F.array_join(F.when(part[0].isin("-", "+") & (F.size(part) > 1), signed).otherwise(part), " ")
-    return F.when(F.size(part) == 1, decode_literal(part[0])).when(F.size(part) > 1, joined)
+
+    def of(p: Column) -> Column:
+        # a sign in front belongs to what comes after it
+        signed = F.concat(F.array(F.concat(p[0], F.get(p, F.lit(1)))), F.slice(p, 3, F.greatest(F.size(p) - 2, F.lit(0))))
+        joined = F.array_join(F.when(p[0].isin("-", "+") & (F.size(p) > 1), signed).otherwise(p), " ")
+        return F.when(F.size(p) == 1, decode_literal(p[0])).when(F.size(p) > 1, joined)
+
+    return _let(part, of)
 
 
 def _name(part: Column) -> Column:
     """The column that tokens name: of a qualified name the last."""
-    last = F.try_element_at(part, F.lit(-1))
-    return F.when(last.startswith('"'), decode_literal(last)).otherwise(F.array_join(part, " "))
+    of = lambda p: _let(F.try_element_at(p, F.lit(-1)), lambda last: F.when(last.startswith('"'), decode_literal(last)).otherwise(F.array_join(p, " ")))
+    return _let(part, of)
 
 
 def _between(array: Column, first: Column, stop: Column) -> Column:
@@ -103,15 +128,14 @@ def _between(array: Column, first: Column, stop: Column) -> Column:
     return F.slice(array, F.greatest(first, F.lit(1)), F.greatest(stop - first, F.lit(0)).cast("int"))
 
 
-def _let(value: Column, then) -> Column:
-    """``then`` of a value that is computed once: a lambda's variable is never put back as its expression."""
-    return F.get(F.transform(F.array(value), then), F.lit(0))
-
-
 def _split(part: Column, is_cut) -> Column:
     """The runs of tokens between those that ``is_cut`` takes; an empty list of tokens is one empty run."""
-    ends = F.filter(F.sequence(F.lit(1), F.size(part) + 1), lambda i: (i > F.size(part)) | is_cut(F.lower(F.coalesce(F.try_element_at(part, i), F.lit("")))))
-    return _let(ends, lambda e: F.transform(e, lambda stop, k: _between(part, F.coalesce(F.get(e, k - 1), F.lit(0)) + 1, stop)))
+
+    def of(p: Column) -> Column:
+        ends = F.array_append(F.array_compact(F.transform(p, lambda x, i: F.when(is_cut(x), i + 1))), F.size(p) + 1)
+        return _let(ends, lambda e: F.transform(e, lambda stop, k: _let(F.coalesce(F.get(e, k - 1), F.lit(0)) + 1, lambda first: F.slice(p, first, stop - first))))
+
+    return _let(part, of)
 
 
 def _commas(part: Column) -> Column:
@@ -120,9 +144,9 @@ def _commas(part: Column) -> Column:
 
 def _equality(part: Column) -> Column:
     """The name and value around the = of a run of tokens; a null name if there is none."""
-    at = F.array_position(part, "=").cast("int")
-    two = (at > 1) & (at < F.size(part))
-    return F.struct(F.when(two, _name(_between(part, F.lit(1), at))).alias("name"), F.when(two, _text(_between(part, at + 1, F.size(part) + 1))).alias("value"))
+    none = F.lit(None).cast("string")
+    both = lambda at: F.struct(_name(_between(part, F.lit(1), at)).alias("name"), _text(_between(part, at + 1, F.size(part) + 1)).alias("value"))
+    return _let(F.array_position(part, "=").cast("int"), lambda at: F.when((at > 1) & (at < F.size(part)), both(at)).otherwise(F.struct(none.alias("name"), none.alias("value"))))
 
 
 def _map(pairs: Column) -> Column:
@@ -142,7 +166,7 @@ def _parts(t: Column, at: Column) -> Column:
     """The runs of tokens of a statement: names and items of an insert, assignments and conditions of the others."""
     end, opens, values, sets, where = F.size(t) + 1, at["opens"], at["values"], at["sets"], at["where"]
     insert, update = at["kind"] == "insert", at["kind"] == "update"
-    separates = lambda x: x.isin("and", "or", "not", "(", ")")
+    separates = lambda x: F.lower(x).isin("and", "or", "not", "(", ")")
     return F.struct(
         F.when(insert, _commas(_between(t, opens + 1, values - 1))).alias("names"), F.when(insert, _commas(_between(t, values + 2, end - 1))).alias("items"),
         F.when(update & (sets > 0), _commas(_between(t, sets + 1, F.when(where > 0, where).otherwise(end)))).alias("new"),
@@ -169,8 +193,12 @@ def _images(t: Column, at: Column, part: Column, pairs: Column) -> Column:
         .when(at["kind"] == "delete", (where > 0) & balanced)
     )
     ok = F.coalesce(ok, F.lit(False)) & ~F.array_contains(t, "'") & ~F.array_contains(t, '"')
-    before, after = F.when(ok & (at["kind"] != "insert"), _map(pairs["old"])), F.when(ok & (at["kind"] != "delete"), _map(pairs["new"]))
-    return F.struct(before.alias("before"), after.alias("after"), ok.alias("parsed"))
+
+    def made(ok: Column) -> Column:
+        before, after = F.when(ok & (at["kind"] != "insert"), _map(pairs["old"])), F.when(ok & (at["kind"] != "delete"), _map(pairs["new"]))
+        return F.struct(before.alias("before"), after.alias("after"), ok.alias("parsed"))
+
+    return _let(ok, made)
 
 
 def images(sql: Column) -> Column:
