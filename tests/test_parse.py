@@ -127,3 +127,18 @@ def test_one_tokeniser_in_a_plan(spark):
 def test_what_an_expression_uses_again_is_computed_once(spark):
     plan = parse.parse(spark.createDataFrame([(1, "x")], "seq long, sql_redo string"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("array_position(") < 20  # 100 when each use of a run's = looked for it again
+
+
+def test_usual_statements_are_read_as_others(spark):
+    """By places where all values are literals; a comment in front makes the same statement one that is searched."""
+    import re
+
+    usual = [
+        """insert into "S"."T"("A","B","A") values ('it''s (a) where', NULL ,TIMESTAMP ' 2020-01-01 00:00:00');""", """insert into "S"."T"("A","B") values ('1')""", """insert into "S"."T"("A","B","C") values ('1')""",
+        """update "S"."T" set "A" = 'x', "where"=NULL where "ID" = '1' and "B" IS NULL and "ID" = DATE '2020-01-01'""", """delete from "S"."T" where "" = '' and "B" IS NULL ; """, """delete from "S"."T" where "B" IS NULL""",
+    ]
+    assert all(re.match(parse.USUAL.replace(r"\z", r"\Z"), x) for x in usual)
+    got = images(spark, *usual)
+    assert got == images(spark, *["/**/" + x for x in usual])
+    assert got[0] == (None, {"B": None, "A": "2020-01-01 00:00:00"}, True) and got[1:3] == [NO] * 2 and got[5] == ({}, None, True)
+    assert got[3] == ({"ID": "2020-01-01"}, {"A": "x", "where": None}, True) and got[4] == ({"": ""}, None, True)

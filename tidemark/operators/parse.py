@@ -26,6 +26,14 @@ TOKEN = rf"(?i)(?:{_GAP})?+(" + "|".join((
 )) + ")"
 #: No brackets, or an insert whose two lists hold none: nothing is to be put together.
 _PLAIN = r"(?i)\A(?:\s*+insert\b[^()]*+\([^()]*+\)[^()]*+\([^()]*+\))?+[^()]*+\z"
+_LITERAL, _TABLE, _AND = rf"(?:(?:(?:TIMESTAMP|DATE)\s*+)?+{_STRING}|NULL)", rf"{_NAME}\.{_NAME}", r"\s++and\s++"
+_SET, _TEST = rf"{_NAME}\s*+=\s*+{_LITERAL}", rf"{_NAME}(?:\s*+=\s*+{_LITERAL}|\s++IS\s++NULL)"
+_LIST = lambda item: rf"\s*+\(\s*+{item}(?:\s*+,\s*+{item})*+\s*+\)"
+#: Statements as a log writes them where all values are literals: each name, sign and value is one token, at a place that can be told.
+USUAL = (
+    rf"\A(?:insert\s++into\s++{_TABLE}{_LIST(_NAME)}\s*+values{_LIST(_LITERAL)}"
+    rf"|(?:delete\s++from\s++{_TABLE}|update\s++{_TABLE}\s++set\s++{_SET}(?:\s*+,\s*+{_SET})*+)\s++where\s++{_TEST}(?:{_AND}{_TEST})*+)\s*+;?+\s*+\z"
+)
 #: Words and signs after which a bracket of a condition groups conditions; after others it belongs to an expression.
 _GROUPS = ("where", "and", "or", "not", "set", "(")
 _WALK = "struct<depth:int,inside:int,start:int,closed:boolean,found:array<struct<first:int,last:int>>>"
@@ -63,7 +71,7 @@ def _fold(spaced: Column, t: Column, walked: Column) -> Column:
     return F.when(walked["closed"] & (walked["depth"] == 0), F.when(F.size(walked["found"]) > 0, parts(walked["found"])).otherwise(t))
 
 
-def tokens(sql: Column) -> Column:
+def tokens(sql: Column, usual: Column) -> Column:
     """The tokens of a statement, without gaps and a semicolon at the end, each bracket of an expression as one; null if brackets don't match
     (``_PLAIN`` statements are not looked at for that: their brackets are counted, see ``_images``)."""
     none = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("inside"), F.lit(0).alias("start"), F.lit(True).alias("closed"), F.array().alias("found")).cast(_WALK)
@@ -84,7 +92,7 @@ def tokens(sql: Column) -> Column:
         found = F.regexp_extract_all(sql, F.lit(TOKEN), F.when(plain, 1).otherwise(0))
         return _let(found, lambda x: F.when(plain, F.filter(x, lambda y: ~y.isin("", ";"))).otherwise(folded(x)))
 
-    return _let(F.coalesce(sql.rlike(_PLAIN), F.lit(True)), of)
+    return _let(usual | F.coalesce(sql.rlike(_PLAIN), F.lit(True)), of)
 
 
 def _inner(token: Column) -> Column:
@@ -201,9 +209,26 @@ def _images(t: Column, at: Column, part: Column, pairs: Column) -> Column:
     return _let(ok, made)
 
 
+def _usual(t: Column) -> Column:
+    """The images of a ``USUAL`` statement: names and values stand two tokens apart in lists, and four in assignments and conditions."""
+    kind, insert, where = t[0], t[0] == "insert", F.array_position(t, "where").cast("int")
+    pair = lambda name, value: F.struct(decode_literal(F.get(t, name)).alias("name"), decode_literal(F.get(t, value)).alias("value"))
+    upto = lambda n: F.sequence(F.lit(0), n - 1)
+    n = F.floor((F.size(t) - 8) / 4).cast("int")
+    # the first list ends there if both are of one length
+    ok = ~insert | ((F.size(t) == n * 4 + 8) & (F.get(t, n * 2 + 5) == ")"))
+    listed = lambda: F.transform(upto(n), lambda i: pair(i * 2 + 6, n * 2 + i * 2 + 8))
+    assigned = lambda: F.transform(upto(F.floor((where - 5) / 4).cast("int")), lambda i: pair(i * 4 + 5, i * 4 + 7))
+    tests = F.filter(upto(F.floor((F.size(t) - where + 1) / 4).cast("int")), lambda i: F.get(t, where + i * 4 + 1) == "=")
+    before = F.when(ok & ~insert, _map(F.transform(tests, lambda i: pair(where + i * 4, where + i * 4 + 2))))
+    after = F.when(ok & insert, _map(listed())).when(ok & (kind == "update"), _map(assigned()))
+    return F.struct(before.alias("before"), after.alias("after"), ok.alias("parsed"))
+
+
 def images(sql: Column) -> Column:
     """A statement as struct<before, after, parsed>; it is cut into tokens once."""
-    return _let(tokens(sql), lambda t: _let(_places(F.transform(t, F.lower)), lambda at: _let(_parts(t, at), lambda part: _let(_pairs(at, part), lambda pairs: _images(t, at, part, pairs)))))
+    general = lambda t: _let(_places(F.transform(t, F.lower)), lambda at: _let(_parts(t, at), lambda part: _let(_pairs(at, part), lambda pairs: _images(t, at, part, pairs))))
+    return _let(F.coalesce(sql.rlike(USUAL), F.lit(False)), lambda usual: _let(tokens(sql, usual), lambda t: F.when(usual, _usual(t)).otherwise(general(t))))
 
 
 def parse(changes: DataFrame) -> DataFrame:
