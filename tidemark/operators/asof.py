@@ -29,10 +29,14 @@ def _let(value: Column, then) -> Column:
     return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
-def _fragment(value: Column) -> Column:
-    """A value as JSON; null if it is null."""
-    whole = F.to_json(F.struct(value.alias("v")))
-    return F.when(whole != "{}", F.substr(whole, F.lit(6), F.length(whole) - 6))
+def _fragment(value: Column, kind: str = "") -> Column:
+    """A value as JSON; null if it is null.  Whole numbers, and strings (of this ``kind``) without a sign to be escaped, are their texts."""
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return value.cast("string")
+    made = lambda v: _let(F.to_json(F.struct(v.alias("v"))), lambda whole: F.when(whole != "{}", F.substr(whole, F.lit(6), F.length(whole) - 6)))
+    if kind != "string":
+        return made(value)
+    return _let(value, lambda v: F.when(v.rlike(r"\A[ !#-\[\]-~]*+\z"), F.concat(F.lit('"'), v, F.lit('"'))).otherwise(made(v)))
 
 
 def tables(catalog: Catalog, config: Config, strict: bool = True) -> tuple[DataFrame, list[StructField]]:
@@ -93,10 +97,13 @@ def made(rows: DataFrame, config: Config, catalog: Catalog, connector: str, stri
 
     def fragments(image: Column) -> Column:
         def one(c: Column) -> Column:
-            text, out = F.try_element_at(image, c["name"]), F.lit(None).cast("string")
-            for k, f in enumerate(kinds):
-                out = F.when(c["type_no"] == k, _fragment(types.typed(text, f, zone))).otherwise(out)
-            return out
+            def typed(text: Column) -> Column:
+                out = F.lit(None).cast("string")
+                for k, f in enumerate(kinds):
+                    out = F.when(c["type_no"] == k, _fragment(types.typed(text, f, zone), f.dataType.simpleString())).otherwise(out)
+                return F.when(text.isNotNull(), out)
+
+            return _let(F.try_element_at(image, c["name"]), typed)
 
         return F.transform(columns, one)
 
@@ -115,13 +122,20 @@ def made(rows: DataFrame, config: Config, catalog: Catalog, connector: str, stri
         keys = F.filter(F.zip_with(columns, F.when(fresh, new).otherwise(old), lambda c, x: F.when(c["in_key"], F.struct(c["label"].alias("label"), x.alias("x")))), lambda x: x.isNotNull())
         keyed = F.when(F.exists(columns, lambda c: c["in_key"]), F.concat(F.lit("{"), F.array_join(F.array_compact(F.transform(F.coalesce(keys, F.array()), lambda x: F.concat(x["label"], F.lit(":"), x["x"]))), ","), F.lit("}")))
         lacks = F.exists(F.zip_with(columns, new, lambda c, x: ~c["nullable"] & x.isNull()), lambda x: x)
-        record = lambda value, part: F.struct(topic.alias("topic"), keyed.alias("key"), value.alias("value"), F.lit(part).alias("part"))
-        tombstone = F.when((F.col("op") == "d") & F.lit(config["tombstones.on.delete"]), record(F.lit(None).cast("string"), 1))
-        return F.when(~(fresh & new.isNotNull() & F.coalesce(lacks, F.lit(False))), F.array_compact(F.array(record(text, 0), tombstone)))
+
+        def both(head: Column) -> Column:
+            record = lambda value, part: F.struct(head["topic"].alias("topic"), head["key"].alias("key"), value.alias("value"), F.lit(part).alias("part"))
+            tombstone = record(F.lit(None).cast("string"), 1)
+            return F.when((F.col("op") == "d") & F.lit(config["tombstones.on.delete"]), F.array(record(text, 0), tombstone)).otherwise(F.array(record(text, 0)))
+
+        return F.when(~(fresh & new.isNotNull() & F.coalesce(lacks, F.lit(False))), _let(F.struct(topic.alias("topic"), keyed.alias("key")), both))
 
     pair = F.struct(F.when(F.col("before").isNotNull(), fragments(F.col("before"))).alias("old"), F.when(F.col("image").isNotNull(), fragments(F.col("image"))).alias("new"))
     built = _let(pair, lambda p: records(p["old"], p["new"])).cast(envelope.TEXTS)
-    error = F.raise_error(F.concat(F.lit(f"{envelope.UNKNOWN} of this schema: "), F.array_join(unknown, ", "))).cast(envelope.TEXTS)
-    drift = F.size(unknown) > 0
-    out = F.struct(F.when(drift, error if strict else F.lit(None).cast(envelope.TEXTS)).otherwise(built).alias("records"), drift.alias("drift"))
-    return rows.withColumn("_made", F.when(columns.isNotNull(), out)).drop("_owner", "_table", "_from", "_until", "_columns")
+
+    def out(unknown: Column) -> Column:
+        error = F.raise_error(F.concat(F.lit(f"{envelope.UNKNOWN} of this schema: "), F.array_join(unknown, ", "))).cast(envelope.TEXTS)
+        drift = F.size(unknown) > 0
+        return F.struct(F.when(drift, error if strict else F.lit(None).cast(envelope.TEXTS)).otherwise(built).alias("records"), drift.alias("drift"))
+
+    return rows.withColumn("_made", F.when(columns.isNotNull(), _let(unknown, out))).drop("_owner", "_table", "_from", "_until", "_columns")
