@@ -1,10 +1,45 @@
 """What a row or a transaction costs, told by plans and by calls."""
 
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tidemark.config import Config
 from tidemark.operators import asof
 from tidemark.plans import queries as core
+from tidemark.streaming import transactions as streaming
+
+
+class State:
+    """A state that counts its calls."""
+
+    def __init__(self, calls):
+        self.calls, self.held = calls, None
+
+    def __getattr__(self, name):
+        def call(*args):
+            self.calls.append(name)
+            if name == "appendList":
+                self.held = (self.held or []) + args[0]
+            elif name == "update":
+                self.held = args[0]
+            elif name == "clear":
+                self.held = None
+            return self.held is not None if name == "exists" else iter(self.held or []) if name == "get" and not isinstance(self.held, tuple) and self.held else self.held
+
+        return call
+
+
+def test_a_transaction_within_a_batch_asks_the_state_once():
+    calls = []
+    tx = streaming.Transactions()
+    tx.open, tx.begin, tx.runs = State(calls), State(calls), State(calls)
+    row = lambda seq, op: Row(*streaming.FIELDS)(seq, seq, None, op, 1, "S", "T", "APP", "x", "R", 0, "T1", 0)
+    told = list(tx.handleInputRows(("T1",), iter([row(1, "INSERT"), row(3, "COMMIT"), row(2, "DELETE")]), None))
+    assert [(r["seq"], r["commit_seq"], r["what"]) for r in told] == [(1, 3, "change"), (2, 3, "change"), (None, 3, "ended")]
+    assert calls == ["get"]
+    told = list(tx.handleInputRows(("T1",), iter([row(5, "INSERT")]), None)) + list(tx.handleInputRows(("T1",), iter([row(7, "COMMIT"), row(6, "DELETE")]), None))
+    assert [(r["seq"], r["commit_seq"], r["what"]) for r in told] == [(None, None, "opened"), (5, 7, "change"), (6, 7, "change"), (None, 7, "ended")]
+    assert tx.open.held is None and tx.begin.held is None
 
 
 def test_a_value_is_typed_once(spark):

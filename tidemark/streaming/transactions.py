@@ -80,8 +80,8 @@ class Transactions(StatefulProcessor):
         for b in range(blocks):
             yield from pickle.loads(self.runs.getValue((k, b))[0])
 
-    def in_order(self, rows: Iterator[Row]) -> tuple[list[tuple], Iterator[tuple]]:
-        """The terminators and the changes of a batch, both by their places."""
+    def in_order(self, rows: Iterator[Row]) -> tuple[list[tuple], Iterator[tuple], int]:
+        """The terminators and the changes of a batch, both by their places, and how many runs wait in the state."""
         ends, part, sizes = [], [], []
         for r in rows:
             r = tuple(r[x] for x in FIELDS)
@@ -93,12 +93,13 @@ class Transactions(StatefulProcessor):
                     sizes[-1] += 1
                 part = []
         runs = [self.run(k, n) for k, n in enumerate(sizes)]
-        return sorted(ends, key=itemgetter(SEQ)), heapq.merge(sorted(part, key=itemgetter(SEQ)), *runs, key=itemgetter(SEQ))
+        return sorted(ends, key=itemgetter(SEQ)), heapq.merge(sorted(part, key=itemgetter(SEQ)), *runs, key=itemgetter(SEQ)), len(runs)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        ends, changes = self.in_order(rows)
-        held = self.open.exists()
-        begin = tuple(self.begin.get()) if self.begin.exists() else NOTHING
+        ends, changes, runs = self.in_order(rows)
+        # each call of a state is a way to the JVM and back; changes are held just where a begin is
+        kept = self.begin.get()
+        held, begin = kept is not None, NOTHING if kept is None else tuple(kept)
         known = begin[0] is not None
         told = lambda what, end: Record(*[key[0] if k == XID else None for k in range(len(FIELDS))], end, None, what, *begin[:2])
         r = next(changes, None)
@@ -117,7 +118,6 @@ class Transactions(StatefulProcessor):
                 yield told("ended", end[SEQ])
             if held:
                 self.open.clear()
-            if self.begin.exists():
                 self.begin.clear()
             held, begin, known = False, NOTHING, False
         if r is not None:
@@ -127,7 +127,7 @@ class Transactions(StatefulProcessor):
             self.begin.update(begin)
             if begin[0] is not None and not known:
                 yield told("opened", None)
-        if self.runs.exists():
+        if runs:
             self.runs.clear()
 
     def close(self) -> None:
