@@ -543,21 +543,25 @@ def streaming_txn(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _write_in_parts(spark: SparkSession, log: DataFrame, path: str, parts: range) -> None:
-    """The quarters of a log that ``parts`` names, one file each, in the order of the log."""
-    step = (log.agg(F.max("seq").alias("m")).first()["m"] or 0) // 4 + 1
-    for i in parts:
-        log.where(F.expr(f"seq div {step} = {i}")).coalesce(1).write.mode("append").parquet(path)
+    """The quarters of a log that ``parts`` names, one file each, in the order of the log.
+
+    The log is made once and by all tasks; what one task does is to write a file's rows.
+    """
+    with shared.held(log, "redo") as log:
+        step = (log.agg(F.max("seq").alias("m")).first()["m"] or 0) // 4 + 1
+        for i in parts:
+            log.where((F.col("seq") >= step * i) & (F.col("seq") < step * (i + 1))).repartition(1).write.mode("append").parquet(path)
 
 
 @query(f"{REDO} SELECT 'batch' AS part, {_SLIM} FROM redo, (SELECT max(scn) AS m FROM redo) WHERE scn >= m // 3 AND scn < 2 * m // 3 UNION ALL SELECT 'stream', {_SLIM} FROM redo, (SELECT max(scn) AS m FROM redo) WHERE scn >= m // 3")
 def log_source_read(spark: SparkSession, sf: str) -> DataFrame:
     """A range of SCNs out of log files, of which only those that hold it are opened, and the log from an SCN on as a stream that ends and goes on as files come."""
-    base, log = shared.scratch(spark, "source"), synth.redo(spark, sf)
-    last = _current(spark, sf)
+    base, log = shared.scratch(spark, "source"), shared.written(synth.redo(spark, sf), "redo")
+    last = snapshot.current_scn(log).first()["current_scn"] or 0
     step = last // 8 + 1
     for parts in (range(5), range(5, 8)):
         for i in parts:
-            log.where(F.expr(f"scn div {step} = {i}")).coalesce(1).write.parquet(f"{base}/log/{i}")
+            log.where((F.col("scn") >= step * i) & (F.col("scn") < step * (i + 1))).repartition(1).write.parquet(f"{base}/log/{i}")
         found = [(i * step, (i + 1) * step, f"{base}/log/{i}") for i in parts]
         spark.createDataFrame(found, "first long, next long, name string").coalesce(1).write.mode("append").parquet(f"{base}/manifest")
         rows = logsource.log(spark, f"{base}/manifest", last // 3, stream=True)
