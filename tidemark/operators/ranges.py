@@ -44,6 +44,22 @@ def last_before(rows: DataFrame, by: list[str], place: str, value: Column, name:
     return joined.withColumn(name, F.coalesce("_inside", "_before")).drop("_range", "_value", "_inside", "_before", *[f"_of_{c}" for c in [*by, "_range"]])
 
 
+def next_after(rows: DataFrame, by: str, place: str, value: Column, name: str, bits: int = BITS) -> DataFrame:
+    """``rows`` with the first ``value`` that is not null after each row, by ``place`` in its group; values, structs, ascend with places.
+
+    Rows of a null group get none.  Groups may be few and long: what meets is a range of a group, and one narrow row for each range.
+    """
+    rows = rows.withColumn("_range", range_of(place, bits)).withColumn("_value", value)
+    later = Window.partitionBy(f"_of_{by}").orderBy(F.col("_of__range").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    per = rows.groupBy(F.col(by).alias(f"_of_{by}"), F.col("_range").alias("_of__range")).agg(F.min("_value").alias("_first"))
+    per = per.select(f"_of_{by}", "_of__range", F.min("_first").over(later).alias("_later"))
+    # from the last place on, as Spark goes through a frame that ends behind a row again for each row
+    back = Window.partitionBy(by, "_range").orderBy(F.col(place).desc(), F.col("_value").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    # keys that are compared as they are keep the rows where the window has dealt them
+    joined = rows.withColumn("_inside", F.last("_value", True).over(back)).join(per, (F.col(by) == F.col(f"_of_{by}")) & (F.col("_range") == F.col("_of__range")), "left")
+    return joined.withColumn(name, F.when(F.col(by).isNotNull(), F.coalesce("_inside", "_later"))).drop("_range", "_value", "_inside", "_later", f"_of_{by}", "_of__range")
+
+
 def earlier(rows: DataFrame, place: str, n: str, name: str, levels: int = 2, bits: int = BITS) -> DataFrame:
     """``rows`` with the sum of ``n`` over all rows of smaller places (unique).
 

@@ -60,9 +60,14 @@ def gap(log: DataFrame, expected_scn: int) -> DataFrame:
     return log.where(F.col("scn") >= expected_scn).agg(F.min("scn").alias("first_scn")).withColumn("gap", F.col("first_scn") > expected_scn)
 
 
+def not_temporary() -> Column:
+    """Whether a row is no change of a temporary table; a statement that is null isn't one."""
+    return F.coalesce(F.col("operation").isin("COMMIT", "ROLLBACK"), F.lit(False)) | ~F.coalesce(F.col("sql_redo").contains(TEMPORARY), F.lit(False))
+
+
 def drop_temporary(rows: DataFrame) -> DataFrame:
     """Without changes of temporary tables; a statement that is null stays."""
-    return rows.where(F.col("operation").isin("COMMIT", "ROLLBACK") | ~F.coalesce(F.col("sql_redo").contains(TEMPORARY), F.lit(False)))
+    return rows.where(not_temporary())
 
 
 def drop_unreadable(rows: DataFrame) -> DataFrame:

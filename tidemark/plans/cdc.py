@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import ExitStack, contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,10 +28,25 @@ CONNECTOR = "tidemark"
 RANGE_ROWS = 20_000_000
 
 
-def _left(log: DataFrame, config: Config, scn: int, commit_scn: int, complete: bool) -> DataFrame:
-    """The log from an offset's first change on, reassembled: terminators, too, as each change has to meet its own."""
+Put = Callable[[DataFrame, str], DataFrame]
+
+
+def _scanned(rows: DataFrame) -> DataFrame:
+    """Rows of a log to be written: with the mark of temporary tables, so that readers of narrow columns needn't look into statements."""
+    return rows.withColumn("_temporary", ~scan.not_temporary())
+
+
+def _statements(scanned: DataFrame, put: Put) -> DataFrame:
+    """The whole statements of what was ``_scanned`` and written, without temporary tables; where none is in pieces, its rows as they are."""
+    if scanned.where("csf = 1").isEmpty():
+        return scanned.where("NOT _temporary").drop("_temporary")
+    return put(scan.drop_temporary(reassembly.reassemble(scanned.drop("_temporary"))), "kept")
+
+
+def _left(log: DataFrame, config: Config, scn: int, commit_scn: int, complete: bool, put: Put = shared.written) -> DataFrame:
+    """The log from an offset's first change on, reassembled and written: terminators, too, as each change has to meet its own."""
     change_from, control_from = scan.bounds(scn, commit_scn, complete)
-    return scan.drop_temporary(reassembly.reassemble(scan.scan(log, config.selectors, change_from, min(change_from, control_from))))
+    return _statements(put(_scanned(scan.scan(log, config.selectors, change_from, min(change_from, control_from))), "scanned"), put)
 
 
 def _unsettled(kept: DataFrame, scn: int, commit_scn: int, complete: bool, done_seq: int | None) -> DataFrame:
@@ -39,14 +54,19 @@ def _unsettled(kept: DataFrame, scn: int, commit_scn: int, complete: bool, done_
     return transactions.unfinished(kept, control_from, done_seq) if control_from > change_from or done_seq is not None else kept
 
 
+def _ready(kept: DataFrame, config: Config, scn: int, commit_scn: int, complete: bool, done_seq: int | None, put: Put = shared.written) -> DataFrame:
+    """Committed, readable changes after an offset, with offsets, of what is ``_left``; commits, numbers and watermarks read its narrow columns."""
+    rows = scan.drop_unreadable(_unsettled(kept.select("seq", "xid", "scn", "operation", "status"), scn, commit_scn, complete, done_seq))
+    return transactions.record_offsets(rows, config["batch.size"], scan.drop_unreadable(kept), put)
+
+
 def changes(log: DataFrame, config: Config, scn: int = 0, commit_scn: int = 0, complete: bool = False, done_seq: int | None = None) -> DataFrame:
     """Committed, readable changes of the selected tables after an offset, with offsets; statements are not parsed yet.
 
     What is left of the log is written once: commits, numbers and watermarks then read its narrow columns, not the log again.
     Transactions that ended before the offset (with ``done_seq``: up to that place of the log) are taken out once their changes have met their ends.
     """
-    kept = shared.written(_left(log, config, scn, commit_scn, complete), "kept")
-    return transactions.record_offsets(scan.drop_unreadable(_unsettled(kept, scn, commit_scn, complete, done_seq)), config["batch.size"])
+    return _ready(_left(log, config, scn, commit_scn, complete), config, scn, commit_scn, complete, done_seq)
 
 
 def parsed(log: DataFrame, config: Config, **offset) -> DataFrame:
@@ -54,7 +74,7 @@ def parsed(log: DataFrame, config: Config, **offset) -> DataFrame:
 
     Changes that can't be parsed are not among them; ``outcomes`` has them, too.
     """
-    return parse.drop_unparsable(parse.spread(changes(log, config, **offset)))
+    return parse.drop_unparsable(changes(log, config, **offset))
 
 
 def kinds(config: Config, catalog: Catalog) -> Iterator[tuple[tuple[str, str, int | None], Column, StructType, StructType | None]]:
@@ -135,7 +155,7 @@ def _unread(rows: DataFrame, like: DataFrame) -> DataFrame:
 @contextmanager
 def _delivered(ready: DataFrame, unread: DataFrame, config: Config, catalog: Catalog) -> Iterator[DataFrame]:
     """Outcomes of committed changes with offsets, and of unreadable ones; held, as they are read several times."""
-    first = texts_of(parse.parse(parse.spread(ready)), config, catalog, True)
+    first = texts_of(parse.parse(ready), config, catalog, True)
     with shared.held(first.unionByName(_unread(unread, first)), "outcomes") as held:
         retyped = _retyped(held, config, catalog)
         if retyped is held:
@@ -151,14 +171,14 @@ def outcomes(log: DataFrame, config: Config, catalog: Catalog, scn: int = 0, com
 
     Each committed change that is not of a temporary table is there: as a record of part 0, or with a reason.
     """
-    kept = shared.written(_left(log, config, scn, commit_scn, complete), "kept")
-    rows = _unsettled(kept, scn, commit_scn, complete, done_seq)
-    first = texts_of(parse.parse(parse.spread(transactions.record_offsets(scan.drop_unreadable(rows), config["batch.size"]))), config, catalog, True)
-    return first.unionByName(_unread(_unreadable(rows), first))
+    kept = _left(log, config, scn, commit_scn, complete)
+    first = texts_of(parse.parse(_ready(kept, config, scn, commit_scn, complete, done_seq)), config, catalog, True)
+    return first.unionByName(_unread(_unreadable(kept, scn, commit_scn, complete, done_seq), first))
 
 
-def _unreadable(rows: DataFrame) -> DataFrame:
-    return transactions.committed_changes(rows).where(F.col("status") == scan.UNREADABLE)
+def _unreadable(kept: DataFrame, scn: int, commit_scn: int, complete: bool, done_seq: int | None) -> DataFrame:
+    rows = kept.where(transactions.is_terminator() | (F.col("status") == scan.UNREADABLE))
+    return transactions.committed_changes(_unsettled(rows, scn, commit_scn, complete, done_seq)).where(F.col("status") == scan.UNREADABLE)
 
 
 #: The order of delivery.
@@ -188,11 +208,12 @@ def write(log: DataFrame, config: Config, catalog: Catalog, path: str, scn: int
     A batch that fails leaves the list as it was, and the next one replaces its files.
     """
     done = ledger.listed(log.sparkSession, path)
-    with shared.held(_left(log, config, scn, commit_scn, complete), "kept") as kept:
-        rows = _unsettled(kept, scn, commit_scn, complete, done_seq)
-        ready = transactions.record_offsets(scan.drop_unreadable(rows), config["batch.size"])
-        with _delivered(ready, _unreadable(rows), config, catalog) as out:
-            return _put(out, config, path, done[-1] + 1 if done else 0)
+    with ExitStack() as held:
+        at = (scn, commit_scn, complete, done_seq)
+        put = lambda df, name: held.enter_context(shared.held(df, name))
+        kept = _left(log, config, scn, commit_scn, complete, put)
+        out = held.enter_context(_delivered(_ready(kept, config, *at, put), _unreadable(kept, *at), config, catalog))
+        return _put(out, config, path, done[-1] + 1 if done else 0)
 
 
 def stored_offset(spark: SparkSession, path: str) -> dict | None:
@@ -296,15 +317,16 @@ def stream(log: DataFrame, config: Config, catalog: Catalog, path: str, checkpoi
 
     def batch(rows: DataFrame, k: int) -> None:
         n = first + k
-        # a batch that is read twice would go through the state twice
-        with shared.held(rows, "batch") as rows:
+        with ExitStack() as held:
+            put = lambda df, name: held.enter_context(shared.held(df, name))
+            # a batch that is read twice would go through the state twice
+            rows = put(_scanned(rows), "batch")
             before = spark.read.parquet(ledger.folder(path, n - 1, "_open")) if k and shared.exists(spark, ledger.folder(path, n - 1, "_open")) else None
             low, open_ = _watermarks(rows, before)
             open_.write.mode("overwrite").parquet(ledger.folder(path, n, "_open"))
-            whole = scan.drop_temporary(reassembly.reassemble(rows.where("what = 'change'").select(*streaming.OUT.names)))
+            whole = _statements(rows.where("what = 'change'").select(*streaming.OUT.names, "_temporary"), put)
             ready = transactions.with_offsets(scan.drop_unreadable(whole), low, config["batch.size"])
-            with _delivered(ready, whole.where(F.col("status") == scan.UNREADABLE), config, catalog) as out:
-                _put(out, config, path, n)
+            _put(held.enter_context(_delivered(ready, whole.where(F.col("status") == scan.UNREADABLE), config, catalog)), config, path, n)
             shared.delete(spark, ledger.folder(path, n - 2, "_open"))
 
     out = streaming.traced(scan.scan(log, config.selectors, change_from, min(change_from, control_from)), control_from, start["done_seq"]).writeStream.foreachBatch(batch)
