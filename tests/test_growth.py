@@ -1,11 +1,15 @@
 """What a row or a transaction costs, told by plans and by calls."""
 
+import re
+
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tidemark.config import Config
-from tidemark.operators import asof
+from tidemark.operators import asof, transactions
+from tidemark.plans import cdc
 from tidemark.plans import queries as core
+from tidemark.schema import LOG
 from tidemark.streaming import transactions as streaming
 
 
@@ -50,3 +54,49 @@ def test_a_value_is_typed_once(spark):
     plan = made._jdf.queryExecution().analyzed().toString()
     assert plan.count("yyyy-MM-dd HH:mm:ss") <= 2  # of the old and the new image; 6 before
     assert '"before":{"ID":1,"CUST":2,"PRIO":"a\\"b","PLACED":"2020-01-01T00:00:00.000Z"}' in made.first()["records"][0]["value"]
+
+
+def _log(spark, n: int, ids: int):
+    """n transactions of two changes each, of so many ids in turn; each ends before its id comes again."""
+    rows = spark.range(n).select(F.explode(F.expr(f"""array(
+        named_struct('seq', id * 10 + 10, 'xid', concat('T', id % {ids}), 'op', 'INSERT', 'code', 1), named_struct('seq', id * 10 + 11, 'xid', concat('T', id % {ids}), 'op', 'DELETE', 'code', 2),
+        named_struct('seq', id * 10 + 12, 'xid', concat('T', id % {ids}), 'op', IF(id % 3 = 1, 'ROLLBACK', 'COMMIT'), 'code', IF(id % 3 = 1, 36, 7)))""")).alias("r"))
+    values = {"seq": "r.seq", "scn": "r.seq", "operation": "r.op", "operation_code": "r.code", "xid": "r.xid", "rollback": "0", "seg_owner": "'SALES'", "table_name": "'ORDERS'", "username": "'APP'", "sql_redo": "'x'", "csf": "0", "status": "0"}
+    return rows.select(*[F.expr(values.get(f.name, "NULL")).cast(f.dataType).alias(f.name) for f in LOG])
+
+
+def test_changes_meet_their_ends_within_a_range_and_across(spark):
+    """Few ids that are used again and again: no pairs of all changes and all ends of an id."""
+    rows = _log(spark, 40_000, 3)  # six ranges of places
+    met = transactions.with_terminator(rows)
+    got = met.select("seq", "end_seq", "end_scn", "end_operation").agg(F.count("*"), F.expr("count_if(end_seq = seq div 10 * 10 + 2 AND end_scn = end_seq AND end_operation = IF((seq div 10 - 1) % 3 = 1, 'ROLLBACK', 'COMMIT'))")).first()
+    assert tuple(got) == (80_000, 80_000)
+    joins = re.findall(r"Join .*", met._jdf.queryExecution().optimizedPlan().toString())
+    assert joins and all("_range" in x for x in joins)
+    # an end that is ranges away, an id that is null, and a change after the last end
+    some = [(5, "A", "INSERT"), (300_000, "A", "COMMIT"), (300_001, "A", "INSERT"), (7, None, "INSERT"), (9, None, "COMMIT"), (200_000, "B", "ROLLBACK"), (200_001, "B", "INSERT"), (900_000, "B", "COMMIT")]
+    few = spark.createDataFrame([(seq, seq, xid, op) for seq, xid, op in some], "seq long, scn long, xid string, operation string")
+    assert sorted((r["seq"], r["end_seq"]) for r in transactions.with_terminator(few).collect()) == [(5, 300_000), (7, None), (200_001, 900_000), (300_001, None)]
+    assert [r["seq"] for r in transactions.unfinished(few, 0, 300_000).orderBy("seq").collect()] == [7, 200_001, 300_001, 900_000]
+
+
+def test_a_log_is_read_once_and_its_statements_move_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    made = cdc.changes(_log(spark, 200, 50).mapInArrow(counted, LOG), Config.of({"db.name": "db", "table.whitelist": "SALES", "batch.size": 3}))
+    assert made.count() == 266 and read.value == 600
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    moves = [x for x in re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: (.*)", made._jdf.queryExecution().explainString(made._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))) if "sql_redo" in x]
+    assert len(moves) == 1, plan
+
+
+def test_quarters_are_of_one_number_of_files(spark, tmp_path):
+    files = core._write_in_parts(spark, _log(spark, 1000, 50), str(tmp_path / "log"), range(2), 200)
+    files_ = core._write_in_parts(spark, _log(spark, 1000, 50), str(tmp_path / "log"), range(2, 4), 200)
+    assert files == files_ == 3 and len(list((tmp_path / "log").glob("*.parquet"))) == 12
+    assert spark.read.parquet(str(tmp_path / "log")).count() == 3000

@@ -532,25 +532,33 @@ def catalog_columns(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"{REDO} SELECT seq, xid, commit_seq, commit_scn FROM done")
 def streaming_txn(spark: SparkSession, sf: str) -> DataFrame:
-    """The log as four files, read one in each batch; open transactions are state between them."""
+    """The log as four quarters, read one in each batch; open transactions are state between them."""
     from tidemark.streaming import transactions as streaming
 
     base = shared.scratch(spark, "stream")
-    _write_in_parts(spark, synth.redo(spark, sf), f"{base}/log", range(4))
+    files = _write_in_parts(spark, synth.redo(spark, sf), f"{base}/log", range(4))
     streaming.use_rocksdb(spark)
-    streaming.write(streaming.committed(streaming.log_files(spark, f"{base}/log")), f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    streaming.write(streaming.committed(streaming.log_files(spark, f"{base}/log", files)), f"{base}/out", f"{base}/checkpoint").awaitTermination()
     return spark.read.schema(streaming.OUT).parquet(f"{base}/out").select("seq", "xid", "commit_seq", "commit_scn")
 
 
-def _write_in_parts(spark: SparkSession, log: DataFrame, path: str, parts: range) -> None:
-    """The quarters of a log that ``parts`` names, one file each, in the order of the log.
+#: Rows of a quarter's file, at least.
+FILE_ROWS = 1_000_000
 
-    The log is made once and by all tasks; what one task does is to write a file's rows.
+
+def _write_in_parts(spark: SparkSession, log: DataFrame, path: str, parts: range, rows: int = FILE_ROWS) -> int:
+    """The quarters of a log that ``parts`` names, in the order of the log, and of how many files each quarter is: a batch takes so many.
+
+    The log is made once and by all tasks, and a task writes about ``rows`` rows.  All quarters are of one number of files, none of them empty
+    (a file has ``rows`` rows on average, so that some task deals rows to all of them), or else a batch would end within a quarter.
     """
     with shared.held(log, "redo") as log:
         step = (log.agg(F.max("seq").alias("m")).first()["m"] or 0) // 4 + 1
+        sizes = [r["count"] for r in log.groupBy(F.expr(f"seq div {step}")).count().collect()]  # four rows
+        files = max(min(sizes) // rows, 1) if len(sizes) == 4 else 1
         for i in parts:
-            log.where((F.col("seq") >= step * i) & (F.col("seq") < step * (i + 1))).repartition(1).write.mode("append").parquet(path)
+            log.where((F.col("seq") >= step * i) & (F.col("seq") < step * (i + 1))).repartition(files).write.mode("append").parquet(path)
+    return files
 
 
 @query(f"{REDO} SELECT 'batch' AS part, {_SLIM} FROM redo, (SELECT max(scn) AS m FROM redo) WHERE scn >= m // 3 AND scn < 2 * m // 3 UNION ALL SELECT 'stream', {_SLIM} FROM redo, (SELECT max(scn) AS m FROM redo) WHERE scn >= m // 3")
@@ -621,8 +629,8 @@ def cdc_stream(spark: SparkSession, sf: str) -> DataFrame:
     from tidemark.streaming import transactions as streaming
 
     for parts in (range(2), range(2, 4)):
-        _write_in_parts(spark, log, f"{base}/log", parts)
-        cdc.stream(streaming.log_files(spark, f"{base}/log"), _config(), catalog_, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+        files = _write_in_parts(spark, log, f"{base}/log", parts)
+        cdc.stream(streaming.log_files(spark, f"{base}/log", files), _config(), catalog_, f"{base}/out", f"{base}/checkpoint").awaitTermination()
     return _sent(spark.read.parquet(f"{base}/out"), "commit_seq")
 
 
@@ -680,8 +688,8 @@ def cdc_stream_offsets(spark: SparkSession, sf: str) -> DataFrame:
 
     base, log = shared.scratch(spark, "stream"), synth.redo(spark, sf, users=False, ids=50)
     for parts in (range(1), range(1, 4)):
-        _write_in_parts(spark, log, f"{base}/log", parts)
-        cdc.stream(streaming.log_files(spark, f"{base}/log"), _config(), _catalog(spark), f"{base}/out", f"{base}/checkpoint").awaitTermination()
+        files = _write_in_parts(spark, log, f"{base}/log", parts)
+        cdc.stream(streaming.log_files(spark, f"{base}/log", files), _config(), _catalog(spark), f"{base}/out", f"{base}/checkpoint").awaitTermination()
     return _sent(ledger.read(spark, f"{base}/out"), *map(F.expr, _OFFSETS_OF))
 
 
@@ -693,8 +701,8 @@ def cdc_stream_hand_over(spark: SparkSession, sf: str) -> DataFrame:
 
     base, log, one = shared.scratch(spark, "stream"), synth.redo(spark, sf, users=False, ids=50), _config(**{"tombstones.on.delete": False})
     cdc.write_snapshot(lambda _, table, scn: snapshot.as_of(synth.table(spark, sf, table), scn), _current(spark, sf) // 2, one, _catalog(spark), f"{base}/out")
-    _write_in_parts(spark, log, f"{base}/log", range(4))
-    cdc.stream(streaming.log_files(spark, f"{base}/log", 4), one, _catalog(spark), f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    files = _write_in_parts(spark, log, f"{base}/log", range(4))
+    cdc.stream(streaming.log_files(spark, f"{base}/log", 4 * files), one, _catalog(spark), f"{base}/out", f"{base}/checkpoint").awaitTermination()
     rows = spark.read.option("basePath", f"{base}/out").option("mergeSchema", True).parquet(*[ledger.folder(f"{base}/out", n) for n in ledger.listed(spark, f"{base}/out")])
     return rows.select("topic", (F.get_json_object("value", "$.op") == "r").alias("snapshot"), F.get_json_object("key", "$.ID").cast("long").alias("id"))
 
