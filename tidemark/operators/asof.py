@@ -26,7 +26,8 @@ SMALL = 200_000
 
 def _let(value: Column, then) -> Column:
     """``then`` of a value that is computed once."""
-    return F.get(F.transform(F.array(value), then), F.lit(0))
+    # an element_at knows its type; a get asks all expressions below for theirs again for each row
+    return F.try_element_at(F.transform(F.array(value), then), F.lit(1))
 
 
 def _fragment(value: Column, kind: str = "") -> Column:

@@ -41,7 +41,8 @@ _WALK = "struct<depth:int,inside:int,start:int,closed:boolean,found:array<struct
 
 def _let(value: Column, then) -> Column:
     """``then`` of a value that is computed once: a lambda's variable is never put back as its expression."""
-    return F.get(F.transform(F.array(value), then), F.lit(0))
+    # an element_at knows its type; a get asks all expressions below for theirs again for each row
+    return F.try_element_at(F.transform(F.array(value), then), F.lit(1))
 
 
 def _bracket(t: Column, x: Column, i: Column) -> Column:
@@ -106,7 +107,7 @@ def decode_literal(token: Column) -> Column:
     def decoded(x: Column) -> Column:
         inside = F.replace(F.regexp_extract(x, r"(?s)'(.*)'$", 1), F.lit("''"), F.lit("'"))
         return (
-            F.when(x.startswith("'") & x.endswith("'"), F.replace(_inner(x), F.lit("''"), F.lit("'"))).when(F.upper(x) == "NULL", F.lit(None).cast("string")).when(x.rlike("(?i)^[NU]?'"), inside)
+            F.when(x.startswith("'") & x.endswith("'"), F.replace(_inner(x), F.lit("''"), F.lit("'"))).when((F.length(x) == 4) & (F.upper(x) == "NULL"), F.lit(None).cast("string")).when(x.rlike("(?i)^[NU]?'"), inside)
             .when(x.rlike(r"(?i)^(?:TIMESTAMP|DATE)\s*'"), F.ltrim(inside)).when(x.startswith('"') & x.endswith('"'), _inner(x)).when(x.startswith('"'), F.regexp_replace(x, '^"|"$', "")).otherwise(x)
         )
 
@@ -211,18 +212,22 @@ def _images(t: Column, at: Column, part: Column, pairs: Column) -> Column:
 
 def _usual(t: Column) -> Column:
     """The images of a ``USUAL`` statement: names and values stand two tokens apart in lists, and four in assignments and conditions."""
-    kind, insert, where = t[0], t[0] == "insert", F.array_position(t, "where").cast("int")
-    pair = lambda name, value: F.struct(decode_literal(F.get(t, name)).alias("name"), decode_literal(F.get(t, value)).alias("value"))
+    # names are whole tokens in quotes
+    pair = lambda name, value: F.struct(_inner(F.get(t, name)).alias("name"), decode_literal(F.get(t, value)).alias("value"))
     upto = lambda n: F.sequence(F.lit(0), n - 1)
-    n = F.floor((F.size(t) - 8) / 4).cast("int")
-    # the first list ends there if both are of one length
-    ok = ~insert | ((F.size(t) == n * 4 + 8) & (F.get(t, n * 2 + 5) == ")"))
-    listed = lambda: F.transform(upto(n), lambda i: pair(i * 2 + 6, n * 2 + i * 2 + 8))
-    assigned = lambda: F.transform(upto(F.floor((where - 5) / 4).cast("int")), lambda i: pair(i * 4 + 5, i * 4 + 7))
-    tests = F.filter(upto(F.floor((F.size(t) - where + 1) / 4).cast("int")), lambda i: F.get(t, where + i * 4 + 1) == "=")
-    before = F.when(ok & ~insert, _map(F.transform(tests, lambda i: pair(where + i * 4, where + i * 4 + 2))))
-    after = F.when(ok & insert, _map(listed())).when(ok & (kind == "update"), _map(assigned()))
-    return F.struct(before.alias("before"), after.alias("after"), ok.alias("parsed"))
+
+    def inserted(n: Column) -> Column:
+        # the first list ends there if both are of one length
+        ok = (F.size(t) == n * 4 + 8) & (F.get(t, n * 2 + 5) == ")")
+        after = lambda ok: F.struct(F.lit(None).cast("map<string,string>").alias("before"), F.when(ok, _map(F.transform(upto(n), lambda i: pair(i * 2 + 6, n * 2 + i * 2 + 8)))).alias("after"), ok.alias("parsed"))
+        return _let(ok, after)
+
+    def changed(where: Column) -> Column:
+        places = F.filter(F.sequence(where, F.size(t) - 1, F.lit(4)), lambda i: F.get(t, i + 1) == "=")
+        assigned = F.transform(upto(F.floor((where - 5) / 4).cast("int")), lambda i: pair(i * 4 + 5, i * 4 + 7))
+        return F.struct(_map(F.transform(places, lambda i: pair(i, i + 2))).alias("before"), F.when(t[0] == "update", _map(assigned)).alias("after"), F.lit(True).alias("parsed"))
+
+    return F.when(t[0] == "insert", _let(F.floor((F.size(t) - 8) / 4).cast("int"), inserted)).otherwise(_let(F.array_position(t, "where").cast("int"), changed))
 
 
 def images(sql: Column) -> Column:
