@@ -1,5 +1,7 @@
 """What a row or a transaction costs, told by plans and by calls."""
 
+import datetime
+import json
 import re
 
 from pyspark.sql import Row
@@ -47,6 +49,49 @@ def test_a_transaction_within_a_batch_asks_the_state_once():
     assert tx.open.held is None and tx.begin.held is None
 
 
+class Map:
+    """A state of keys and values that counts its calls."""
+
+    def __init__(self, calls):
+        self.calls, self.held = calls, {}
+
+    def __getattr__(self, name):
+        own = {"iterator": lambda: list(self.held.items()), "updateValue": self.held.__setitem__, "getValue": self.held.get, "removeKey": self.held.pop, "clear": self.held.clear}
+
+        def call(*args):
+            self.calls.append(name)
+            return own[name](*args)
+
+        return call
+
+
+def test_transactions_within_a_batch_ask_the_state_once_for_all(spark):
+    calls = []
+    tx = streaming.Group(part=4, block=1)
+    tx.begins, tx.open, tx.runs = Map(calls), Map(calls), Map(calls)
+    row = lambda seq, xid, op: Row("row", "group")(json.dumps({str(k): v for k, v in enumerate((seq, seq, None, op, 1, "S", "T", "APP", "x", "R", 0, xid, 0))}), 5)
+    of = lambda r: (None, None) if r["row"] is None else [json.loads(r["row"])[k] for k in ("11", "0")]
+    ran = lambda *rows: [(r["xid"] or of(r)[0], of(r)[1], r["commit_seq"], r["what"]) for r in tx.handleInputRows((5,), iter([row(*x) for x in rows]), None)]
+    assert ran((1, "A", "INSERT"), (2, "B", "INSERT"), (4, "B", "ROLLBACK"), (3, "A", "COMMIT"), (5, None, "DELETE"), (6, None, "COMMIT"), (9, "C", "COMMIT")) == [
+        (None, 5, 6, "change"), (None, None, 6, "ended"), ("A", 1, 3, "change"), ("A", None, 3, "ended"), ("B", None, 4, "ended"),
+    ]
+    assert calls == ["iterator"]
+    many = [(k, "D", "INSERT") for k in range(20, 45)]
+    assert ran((11, "A", "INSERT"), (12, "B", "INSERT"), *reversed(many)) == [("A", None, None, "opened"), ("B", None, None, "opened"), ("D", None, None, "opened")]
+    assert not tx.runs.held and sorted(tx.begins.held) == [("A",), ("B",), ("D",)]
+    assert ran((51, "D", "INSERT"), (50, "B", "COMMIT")) == [("B", 12, 50, "change"), ("B", None, 50, "ended")]
+    assert ran((60, "D", "COMMIT"), (61, "D", "INSERT"), (62, "D", "COMMIT"), (63, "A", "ROLLBACK")) == [("D", k, 60, "change") for k in (*range(20, 45), 51)] + [("D", None, 60, "ended"), ("D", 61, 62, "change"), ("D", None, 62, "ended"), ("A", None, 63, "ended")]
+    assert not tx.begins.held and not tx.open.held
+
+
+def test_a_packed_row_comes_back(spark):
+    values = [(1, 2, datetime.datetime(2020, 1, 2, 3, 4, 5, 678901), "INSERT", 1, "S", "", None, 'a"\\\n\u00e9\u0001\U0001f600 <', "R", 0, None, None), (3, *[None] * 12)]
+    rows = spark.createDataFrame(values, streaming.CHANGE)
+    made = rows.select(streaming.packed().alias("row"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in streaming.PACKED[1:]])
+    assert [tuple(r)[:13] for r in streaming.unpacked(made).orderBy("seq").collect()] == values
+    assert streaming.unpacked(made).schema == streaming.TRACED
+
+
 def test_a_value_is_typed_once(spark):
     """Not once for its JSON and again for each use of that."""
     images = "CAST(map('ID', '1', 'CUST', '2', 'PRIO', 'a\"b', 'PLACED', '2020-01-01 00:00:00') AS map<string,string>)"

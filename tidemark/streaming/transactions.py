@@ -1,7 +1,8 @@
 """Transactions of a redo log that is read as a stream.
 
-State is kept for each transaction id: its changes so far, as a list that is appended to, never rewritten, and where it began.  A
-commit emits them with its place, a rollback drops them, and the terminator of an unknown transaction emits nothing.  An open
+State is kept for each transaction id: its changes so far, as a list that is appended to, never rewritten, and where it began.  Ids are
+dealt to ``BUCKETS`` groups, which are the keys of the state, as a key costs far more than a row: a group asks the state once for what
+is open in it, and again only for ids that were open before or stay so.  A commit emits them with its place, a rollback drops them, and the terminator of an unknown transaction emits nothing.  An open
 transaction is never timed out.  State lives in the RocksDB store, spilled and checkpointed by Spark; at a commit it is
 read and sent on row by row.
 
@@ -9,21 +10,23 @@ Besides, a narrow row tells that a transaction has begun, in the batch after whi
 these the low watermark of a batch is made (see ``plans.cdc``).  It begins with its first change that counts: one that is readable and not of a
 temporary table.
 
-Rows of one batch come in no order.  Those of an id are sorted as runs of ``PART`` rows: all but the last run wait in the state store in blocks
+Rows of one batch come in no order.  Those of a group are sorted as runs of ``PART`` rows: all but the last run wait in the state store in blocks
 of ``BLOCK`` rows, and the runs are merged.  So a worker's memory holds PART rows and a block for each run (a million rows of one id: 100
-blocks, 20,000 rows), and the terminators that the id has in the batch.
+blocks, 20,000 rows), the terminators that the group has in the batch, and a narrow row for each of its transactions that is open.
 """
 
 from __future__ import annotations
 
 import heapq
+import json
 import pickle
 import time
 from collections.abc import Callable, Iterator
-from itertools import batched, chain
+from itertools import batched, chain, groupby
 from operator import itemgetter
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -36,6 +39,10 @@ OUT = StructType([*CHANGE.fields, StructField("commit_seq", LongType()), StructF
 TRACED = StructType([*OUT.fields, StructField("what", StringType()), StructField("start_seq", LongType()), StructField("min_scn", LongType())])
 SEQ, SCN, OPERATION, TEXT, CSF, XID, STATUS = (FIELDS.index(x) for x in ("seq", "scn", "operation", "sql_redo", "csf", "xid", "status"))
 Record = Row(*TRACED.names)
+_NUMBERS = [str(k) for k in range(len(FIELDS))]
+#: The same with a change as one text, see ``packed``.
+PACKED = StructType([StructField("row", StringType()), *(TRACED[x] for x in ("xid", "commit_seq", "commit_scn", "what", "start_seq", "min_scn"))])
+PackedRecord = Row(*PACKED.names)
 #: Where a transaction began, and, before that is known, the begin of the statement whose pieces come, the end of its text so far, and whether it is a temporary table's.
 BEGIN = "start_seq long, min_scn long, piece_seq long, piece_scn long, tail string, temporary boolean"
 NOTHING = (None, None, None, None, "", False)
@@ -43,6 +50,8 @@ NOTHING = (None, None, None, None, "", False)
 PART = 10_000
 #: Rows of a sorted run that are read together.
 BLOCK = 100
+#: Groups of transaction ids.
+BUCKETS = 1024
 
 
 def _begun(begin: tuple, rows: list[tuple]) -> tuple:
@@ -63,7 +72,29 @@ def _begun(begin: tuple, rows: list[tuple]) -> tuple:
     return start, low, piece, piece_scn, tail, temporary
 
 
+def packed() -> Column:
+    """A row as JSON, its fields by their numbers."""
+    return F.to_json(F.struct(*[(F.unix_micros(x) if x == "timestamp" else F.col(x)).alias(str(k)) for k, x in enumerate(FIELDS)]))
+
+
+def _unpacked(r: Row) -> tuple:
+    """The fields of a ``packed`` row, and itself."""
+    found = json.loads(r[0])
+    return (*[found.get(k) for k in _NUMBERS], r[0])
+
+
+def unpacked(rows: DataFrame) -> DataFrame:
+    """``PACKED`` rows as ``TRACED`` ones."""
+    kind = ", ".join(f"`{k}` {'bigint' if x == 'timestamp' else LOG[x].dataType.simpleString()}" for k, x in enumerate(FIELDS))
+    of = lambda k, x: F.timestamp_micros(F.col(f"row.`{k}`")) if x == "timestamp" else F.coalesce(F.col("xid"), F.col(f"row.`{k}`")) if x == "xid" else F.col(f"row.`{k}`")
+    return rows.withColumn("row", F.from_json("row", kind)).select(*[of(k, x).alias(x) for k, x in enumerate(FIELDS)], *TRACED.names[len(FIELDS) :])
+
+
 class Transactions(StatefulProcessor):
+    """The transactions of one id."""
+
+    order = staticmethod(itemgetter(SEQ))
+
     def __init__(self, control_from: int = 0, done_seq: int | None = None, part: int = PART, block: int = BLOCK):
         """Transactions that end before the SCN, or at or before the place, are settled and emit nothing."""
         self.control_from, self.done_seq, self.part, self.block = control_from, done_seq, part, block
@@ -84,62 +115,133 @@ class Transactions(StatefulProcessor):
         """The terminators and the changes of a batch, both by their places, and how many runs wait in the state."""
         ends, part, sizes = [], [], []
         for r in rows:
-            r = tuple(r[x] for x in FIELDS)
+            r = tuple(r)  # by place, as by name each is searched for
             (ends if r[OPERATION] in ("COMMIT", "ROLLBACK") else part).append(r)
             if len(part) == self.part:
                 sizes.append(0)
-                for rows_ in batched(sorted(part, key=itemgetter(SEQ)), self.block):
+                for rows_ in batched(sorted(part, key=self.order), self.block):
                     self.runs.updateValue((len(sizes) - 1, sizes[-1]), (pickle.dumps(rows_),))
                     sizes[-1] += 1
                 part = []
         runs = [self.run(k, n) for k, n in enumerate(sizes)]
-        return sorted(ends, key=itemgetter(SEQ)), heapq.merge(sorted(part, key=itemgetter(SEQ)), *runs, key=itemgetter(SEQ)), len(runs)
+        return sorted(ends, key=self.order), heapq.merge(sorted(part, key=self.order), *runs, key=self.order), len(runs)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         ends, changes, runs = self.in_order(rows)
+        yield from self.settle(key[0], ends, changes, self.begin.get())
+        if runs:
+            self.runs.clear()
+
+    def stored(self, xid: str | None) -> Iterator[tuple]:
+        return self.open.get()
+
+    def forget(self, xid: str | None) -> None:
+        self.open.clear()
+        self.begin.clear()
+
+    def add(self, xid: str | None, rows: tuple) -> None:
+        self.open.appendList(list(rows))
+
+    def put(self, xid: str | None, begin: tuple) -> None:
+        self.begin.update(begin)
+
+    def change(self, row: tuple, place: tuple[int, int]) -> Row:
+        return Record(*row, *place, "change", None, None)
+
+    def told(self, xid: str | None, what: str, end: int | None, begin: tuple) -> Row:
+        return Record(*[xid if k == XID else None for k in range(len(FIELDS))], end, None, what, *begin[:2])
+
+    def settle(self, xid: str | None, ends: list[tuple], changes: Iterator[tuple], kept: tuple | None) -> Iterator[Row]:
+        """What the terminators and the changes of an id give after what was ``kept``."""
         # each call of a state is a way to the JVM and back; changes are held just where a begin is
-        kept = self.begin.get()
         held, begin = kept is not None, NOTHING if kept is None else tuple(kept)
         known = begin[0] is not None
-        told = lambda what, end: Record(*[key[0] if k == XID else None for k in range(len(FIELDS))], end, None, what, *begin[:2])
         r = next(changes, None)
         for end in ends:
             place = (end[SEQ], end[SCN])
             wanted = end[OPERATION] == "COMMIT" and not self.settled(end)
             if wanted and held:
-                for x in self.open.get():
-                    yield Record(*x, *place, "change", None, None)
+                for x in self.stored(xid):
+                    yield self.change(x, place)
             while r is not None and r[SEQ] < end[SEQ]:
                 begin = _begun(begin, [r])
                 if wanted:
-                    yield Record(*r, *place, "change", None, None)
+                    yield self.change(r, place)
                 r = next(changes, None)
             if begin[0] is not None:
-                yield told("ended", end[SEQ])
+                yield self.told(xid, "ended", end[SEQ], begin)
             if held:
-                self.open.clear()
-                self.begin.clear()
+                self.forget(xid)
             held, begin, known = False, NOTHING, False
         if r is not None:
             for some in batched(chain([r], changes), self.part):
                 begin = _begun(begin, some)
-                self.open.appendList(list(some))
-            self.begin.update(begin)
+                self.add(xid, some)
+            self.put(xid, begin)
             if begin[0] is not None and not known:
-                yield told("opened", None)
-        if runs:
-            self.runs.clear()
+                yield self.told(xid, "opened", None, begin)
 
     def close(self) -> None:
         pass
 
 
+class Group(Transactions):
+    """The transactions of a group of ids, one id after the other.
+
+    A row comes, waits and goes as one text, since each column of each row costs on its way to Python and back.
+    """
+
+    # a null id comes first
+    order = staticmethod(lambda r: (r[XID] is not None, r[XID] or "", r[SEQ]))
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.begins = handle.getMapState("begins", "xid string", f"{BEGIN}, blocks int")
+        self.open = handle.getMapState("open", "xid string, block int", "rows binary")
+        self.runs = handle.getMapState("runs", "run int, block int", "rows binary")  # empty between batches
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        ends, changes, runs = self.in_order(map(_unpacked, rows))
+        kept = {k[0]: tuple(v) for k, v in self.begins.iterator()}
+        self.blocks = {xid: v[-1] for xid, v in kept.items()}
+        of = {xid: list(some) for xid, some in groupby(ends, itemgetter(XID))}
+        known = lambda xid: kept[xid][:-1] if xid in kept else None
+        for xid, some in groupby(changes, itemgetter(XID)):
+            yield from self.settle(xid, of.pop(xid, []), some, known(xid))
+        for xid, some in of.items():
+            yield from self.settle(xid, some, iter(()), known(xid))
+        if runs:
+            self.runs.clear()
+
+    def change(self, row: tuple, place: tuple[int, int]) -> Row:
+        return PackedRecord(row[-1], None, *place, "change", None, None)
+
+    def told(self, xid: str | None, what: str, end: int | None, begin: tuple) -> Row:
+        return PackedRecord(None, xid, end, None, what, *begin[:2])
+
+    def stored(self, xid: str | None) -> Iterator[tuple]:
+        for b in range(self.blocks[xid]):
+            yield from pickle.loads(self.open.getValue((xid, b))[0])
+
+    def forget(self, xid: str | None) -> None:
+        for b in range(self.blocks.pop(xid)):
+            self.open.removeKey((xid, b))
+        self.begins.removeKey((xid,))
+
+    def add(self, xid: str | None, rows: tuple) -> None:
+        for some in batched(rows, 10 * self.block):
+            b = self.blocks.get(xid, 0)
+            self.open.updateValue((xid, b), (pickle.dumps(some),))
+            self.blocks[xid] = b + 1
+
+    def put(self, xid: str | None, begin: tuple) -> None:
+        self.begins.updateValue((xid,), (*begin, self.blocks[xid]))
+
+
 def traced(stream: DataFrame, control_from: int = 0, done_seq: int | None = None) -> DataFrame:
     """Changes of committed transactions of a streaming log, and where transactions begin and end (see ``TRACED``)."""
-    from pyspark.sql import functions as F
-
     rows = stream if "operation_code" in stream.columns else stream.withColumn("operation_code", _code(F))
-    return rows.select(*FIELDS).groupBy("xid").transformWithState(statefulProcessor=Transactions(control_from, done_seq, PART, BLOCK), outputStructType=TRACED, outputMode="Append", timeMode="None")
+    rows = rows.select(packed().alias("row"), F.pmod(F.hash("xid"), F.lit(BUCKETS)).alias("group"))
+    return unpacked(rows.groupBy("group").transformWithState(statefulProcessor=Group(control_from, done_seq, PART, BLOCK), outputStructType=PACKED, outputMode="Append", timeMode="None"))
 
 
 def committed(stream: DataFrame) -> DataFrame:
